@@ -71,6 +71,7 @@ def catalogue_changes(old: DataFrame, new: DataFrame) -> DataFrame:
 
     def state(df: DataFrame, suffix: str) -> DataFrame:
         kept = one_per_key(df.select(*CATALOGUE), "id")
+        kept = kept.withColumn("id", F.col("id").cast("string"))
         return kept.select(*[F.col(c).alias(f"{c}{suffix}") for c in CATALOGUE])
 
     before, after = state(old, "_old"), state(new, "_new")

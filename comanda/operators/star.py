@@ -2,28 +2,22 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from comanda.functions.calendar import calendar_columns, hour_key
 from comanda.functions.keys import one_per_key, surrogate_key
 from comanda.functions.numbers import line_amount
 from comanda.schemas import MONEY, WAREHOUSE
 from comanda.session import broadcast_if_small
-from comanda.sources.tables import Tables, read_table
+from comanda.sources.tables import LazyTables, Tables, read_table
 
 
-@dataclass(frozen=True)
-class Star:
-    dim_tiempo: DataFrame
-    dim_usuario: DataFrame
-    dim_restaurante: DataFrame
-    dim_producto: DataFrame
-    fact_items_pedido: DataFrame
-    fact_reservaciones: DataFrame
+class Star(LazyTables):
+    NAMES = tuple(WAREHOUSE)
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -117,7 +111,8 @@ def _conform(
         member = dim.select(
             F.col(f"{name}_id").alias(f"_{name}_id"), F.col(key).alias(f"_{key}")
         )
-        fact = fact.join(member, fact[source_column] == member[f"_{name}_id"], "left")
+        own_id = fact[source_column].cast("string")
+        fact = fact.join(member, own_id == member[f"_{name}_id"], "left")
         keys[key] = F.col(f"_{key}")
     if dims is None:
         keys["tiempo_key"] = F.col("tiempo_key")
@@ -134,28 +129,35 @@ def fact_items_pedido(
     dims: Star | None = None,
     key_strategy: str = "xxhash64",
 ) -> DataFrame:
-    """One row per order item, with the attributes of its order."""
+    """One row per order item, with the attributes of its order.
+
+    Orders and items meet on the keys as the source types them; ids become
+    text afterwards.
+    """
+    own, other = orders.schema["id"].dataType, order_items.schema["order_id"].dataType
+    key_type = own if own == other else T.StringType()
     heads = orders.select(
-        F.col("id").cast("string").alias("pedido_id"),
-        F.col("user_id").cast("string").alias("user_id"),
-        F.col("restaurant_id").cast("string").alias("restaurant_id"),
+        F.col("id").cast(key_type).alias("order_id"),
+        "user_id",
+        "restaurant_id",
         F.col("status").alias("estado_pedido"),
         F.col("pickup").try_cast("boolean").alias("es_para_llevar"),
         hour_key(F.col("created_at").try_cast("timestamp")).alias("tiempo_key"),
     )
     lines = order_items.select(
         F.col("id").cast("string").alias("item_id"),
-        F.col("order_id").cast("string").alias("pedido_id"),
-        F.col("product_id").cast("string").alias("product_id"),
+        F.col("order_id").cast(key_type).alias("order_id"),
+        "product_id",
         F.col("quantity").try_cast("int").alias("cantidad"),
         F.col("price").try_cast(MONEY).alias("precio_unitario"),
     )
     fact, keys = _conform(
-        lines.join(heads, "pedido_id"),
+        lines.join(heads, "order_id"),
         dims,
         {"usuario": "user_id", "restaurante": "restaurant_id", "producto": "product_id"},
         key_strategy,
     )
+    keys["pedido_id"] = F.col("order_id").cast("string")
     keys["monto_total"] = line_amount(F.col("cantidad"), F.col("precio_unitario"))
     return _shaped(fact, "fact_items_pedido", keys)
 
@@ -166,8 +168,8 @@ def fact_reservaciones(
     """One row per reservation, placed at the hour it is for."""
     booked = reservations.select(
         F.col("id").cast("string").alias("reservacion_id"),
-        F.col("user_id").cast("string").alias("user_id"),
-        F.col("restaurant_id").cast("string").alias("restaurant_id"),
+        "user_id",
+        "restaurant_id",
         F.col("party_size").try_cast("int").alias("tamano_grupo"),
         F.col("status").cast("string").alias("estado"),
         hour_key(F.col("date").try_cast("timestamp")).alias("tiempo_key"),
@@ -189,30 +191,26 @@ def build_star(
     """Compose the star from the operational tables.
 
     ``resolve`` looks every foreign key up in its dimension, as a stored star
-    needs; the hours are counted for it. A query that joins the dimensions
-    itself can do without, and then nothing runs here.
+    needs. A query that joins the dimensions itself can do without. Each table
+    is composed when first asked for.
     """
-    dims = Star(
-        dim_tiempo=dim_tiempo(source.orders, source.reservations),
-        dim_usuario=dim_usuario(source.users, key_strategy),
-        dim_restaurante=dim_restaurante(source.restaurants, key_strategy),
-        dim_producto=dim_producto(source.products, key_strategy),
-        fact_items_pedido=None,
-        fact_reservaciones=None,
-    )
-    known = dims if resolve else None
-    return Star(
-        dim_tiempo=dims.dim_tiempo,
-        dim_usuario=dims.dim_usuario,
-        dim_restaurante=dims.dim_restaurante,
-        dim_producto=dims.dim_producto,
-        fact_items_pedido=fact_items_pedido(
-            source.orders, source.order_items, known, key_strategy
+    star = Star(
+        dim_tiempo=lambda: dim_tiempo(source.orders, source.reservations),
+        dim_usuario=lambda: dim_usuario(source.users, key_strategy),
+        dim_restaurante=lambda: dim_restaurante(source.restaurants, key_strategy),
+        dim_producto=lambda: dim_producto(source.products, key_strategy),
+        fact_items_pedido=lambda: fact_items_pedido(
+            source.orders, source.order_items, star if resolve else None, key_strategy
+        ),
+        fact_reservaciones=lambda: fact_reservaciones(
+            source.reservations, star if resolve else None, key_strategy
         ),
-        fact_reservaciones=fact_reservaciones(source.reservations, known, key_strategy),
     )
+    return star
 
 
 def read_star(spark: SparkSession, database: str) -> Star:
     """The star as stored by the nightly load."""
-    return Star(**{name: read_table(spark, name, database) for name in WAREHOUSE})
+    return Star(
+        **{name: partial(read_table, spark, name, database) for name in WAREHOUSE}
+    )

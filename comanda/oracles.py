@@ -728,22 +728,30 @@ ORACLES: dict[str, str] = {
     ),
     "extract_orders_with_items": with_sources(
         """
-        SELECT o.id AS order_id, o.user_id, o.restaurant_id, o.total, o.status AS order_status,
+        SELECT CAST(o.id AS BIGINT) AS order_id, CAST(o.user_id AS BIGINT) AS user_id,
+               CAST(o.restaurant_id AS BIGINT) AS restaurant_id, o.total,
+               o.status AS order_status,
                o.pickup, strftime(o.created_at, '%Y-%m-%d %H:%M:%S') AS order_created_at,
-               i.id AS item_id, i.product_id, i.quantity, i.price AS item_price
+               i.id AS item_id, CAST(i.product_id AS BIGINT) AS product_id, i.quantity, i.price AS item_price
         FROM src_orders o JOIN src_items i ON i.order_id = o.id
         """
     ),
     "extract_reservations": with_sources(
         """
-        SELECT id, restaurant_id, user_id, strftime(date, '%Y-%m-%d %H:%M:%S') AS date,
+        SELECT CAST(id AS BIGINT) AS id, CAST(restaurant_id AS BIGINT) AS restaurant_id,
+               CAST(user_id AS BIGINT) AS user_id, strftime(date, '%Y-%m-%d %H:%M:%S') AS date,
                party_size, status
         FROM src_reservations
         """
     ),
-    "extract_users": with_sources("SELECT id, name, role FROM src_users"),
-    "extract_restaurants": with_sources("SELECT id, name, address, capacity FROM src_restaurants"),
+    "extract_users": with_sources(
+        "SELECT CAST(id AS BIGINT) AS id, name, role FROM src_users"
+    ),
+    "extract_restaurants": with_sources(
+        "SELECT CAST(id AS BIGINT) AS id, name, address, capacity FROM src_restaurants"
+    ),
     "extract_products": with_sources(
-        "SELECT id, name, category, price, available, restaurant_id FROM src_products"
+        "SELECT CAST(id AS BIGINT) AS id, name, category, price, available,"
+        " CAST(restaurant_id AS BIGINT) AS restaurant_id FROM src_products"
     ),
 }

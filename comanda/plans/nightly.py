@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from comanda.operators import star as star_operators
 from comanda.operators.quality import CATALOGUE, catalogue_changes, fingerprint, require_rows
-from comanda.operators.star import Star, read_star
+from comanda.operators.star import read_star
 from comanda.schemas import DATABASE
 from comanda.session import prepare
 from comanda.sinks.files import publish_changes
@@ -36,15 +36,9 @@ def load_dimensions(source: Tables, database: str) -> dict[str, int]:
     return {name: write_table(df, name, database) for name, df in dims.items()}
 
 
-def stored_dimensions(spark: SparkSession, database: str) -> Star:
-    names = ("dim_tiempo", "dim_usuario", "dim_restaurante", "dim_producto")
-    tables = {name: spark.table(f"{database}.{name}") for name in names}
-    return Star(**tables, fact_items_pedido=None, fact_reservaciones=None)
-
-
 def load_facts(spark: SparkSession, source: Tables, database: str) -> dict[str, int]:
     """Both facts, side by side, against the dimensions just stored."""
-    dims = stored_dimensions(spark, database)
+    dims = read_star(spark, database)
     facts = {
         "fact_items_pedido": star_operators.fact_items_pedido(
             source.orders, source.order_items, dims
@@ -89,5 +83,3 @@ def run(
     published = publish_catalogue(spark, source.products, database, changes_path)
     return LoadReport(rows, published)
 
-
-__all__ = ["LoadReport", "load_dimensions", "load_facts", "publish_catalogue", "read_star", "run"]

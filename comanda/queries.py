@@ -83,12 +83,13 @@ def _fact_reservations(source: Tables) -> DataFrame:
 def _table_counts(source: Tables) -> DataFrame:
     built = star.build_star(source, resolve=False)
     return quality.row_counts(
-        {name: getattr(built, name) for name in Star.__dataclass_fields__}
+        {name: getattr(built, name) for name in Star.NAMES}
     )
 
 
 def _perturbed(products: DataFrame) -> DataFrame:
     """A later catalogue: some products gone, dearer, renamed, sold out or new."""
+    products = products.withColumn("id", F.col("id").cast("string"))
     rest = F.col("id").cast("bigint") % 17
     moved = products.where(rest != 0).withColumns(
         {
@@ -104,8 +105,9 @@ def _perturbed(products: DataFrame) -> DataFrame:
 
 
 def _upsert(source: Tables) -> DataFrame:
-    products = source.products.select("id", "name", "category", "price")
-    later = _perturbed(source.products).select("id", "name", "category", "price")
+    columns = [F.col("id").cast("string").alias("id"), "name", "category", "price"]
+    products = source.products.select(*columns)
+    later = _perturbed(source.products).select(*columns)
     return graph.upsert(products, later, "id")
 
 

@@ -81,9 +81,9 @@ def normalise_reservations(raw: DataFrame) -> DataFrame:
 
 def normalise(raw: Tables) -> Tables:
     return Tables(
-        users=normalise_users(raw.users),
-        products=normalise_products(raw.products),
-        orders=normalise_orders(raw.orders),
-        order_items=normalise_order_items(raw.order_items),
-        reservations=normalise_reservations(raw.reservations),
+        users=lambda: normalise_users(raw.users),
+        products=lambda: normalise_products(raw.products),
+        orders=lambda: normalise_orders(raw.orders),
+        order_items=lambda: normalise_order_items(raw.order_items),
+        reservations=lambda: normalise_reservations(raw.reservations),
     )

@@ -2,101 +2,119 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from comanda.constants import DEPOT_LATITUDE, DEPOT_LONGITUDE
+from comanda.constants import DEPOT_LATITUDE, DEPOT_LONGITUDE, UNKNOWN_STATUS
 from comanda.schemas import MONEY
 from comanda.sources.tables import Tables
 
 STATUS_OF = {"F": "confirmed", "O": "pending", "P": "cancelled"}
 
+# Schemas already read, so that a table's footer is read once per process.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
+def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
-def read(spark: SparkSession, folder: str) -> Tables:
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
 
-    # 25 rows whatever the scale.
-    nation = F.broadcast(table("nation").select("n_nationkey", "n_name"))
+def _nations(spark: SparkSession, folder: str) -> DataFrame:
+    """25 rows whatever the scale."""
+    return F.broadcast(_table(spark, folder, "nation").select("n_nationkey", "n_name"))
 
-    def text(name: str):
-        return F.col(name).cast("string")
 
-    customer = table("customer")
-    users = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
-        text("c_custkey").alias("id"),
+def _users(spark: SparkSession, folder: str) -> DataFrame:
+    customer = _table(spark, folder, "customer")
+    nation = _nations(spark, folder)
+    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
+        F.col("c_custkey").alias("id"),
         F.col("c_name").alias("name"),
         F.col("c_mktsegment").alias("role"),
         F.col("n_name").alias("zone"),
         F.lit(None).cast("timestamp").alias("created_at"),
-        F.when(F.col("c_custkey") % 2 == 1, F.expr("c_custkey div 3").cast("string")).alias(
-            "referred_by"
-        ),
+        F.when(F.col("c_custkey") % 2 == 1, F.expr("c_custkey div 3")).alias("referred_by"),
     )
 
-    supplier = table("supplier")
-    restaurants = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
-        text("s_suppkey").alias("id"),
+
+def _restaurants(spark: SparkSession, folder: str) -> DataFrame:
+    supplier = _table(spark, folder, "supplier")
+    nation = _nations(spark, folder)
+    return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
+        F.col("s_suppkey").alias("id"),
         F.col("s_name").alias("name"),
         F.col("n_name").alias("address"),
         F.lit(None).cast("int").alias("capacity"),
     )
 
-    products = table("part").select(
-        text("p_partkey").alias("id"),
+
+def _products(spark: SparkSession, folder: str) -> DataFrame:
+    return _table(spark, folder, "part").select(
+        F.col("p_partkey").alias("id"),
         F.col("p_name").alias("name"),
         F.col("p_type").alias("category"),
         F.col("p_retailprice").cast(MONEY).alias("price"),
         (F.col("p_size") > 5).alias("available"),
-        (F.col("p_partkey") % 10).cast("string").alias("restaurant_id"),
+        (F.col("p_partkey") % 10).alias("restaurant_id"),
     )
 
-    def offset(multiplier: int):
+
+def _orders(spark: SparkSession, folder: str) -> DataFrame:
+    def offset(multiplier: int) -> Column:
         return ((F.col("o_custkey") * multiplier) % 1000 - 500) / F.lit(5000.0)
 
-    status = F.lit("unknown")
+    status = F
     for code, name in STATUS_OF.items():
-        status = F.when(F.col("o_orderstatus") == code, name).otherwise(status)
-    orders = table("orders").select(
-        text("o_orderkey").alias("id"),
-        text("o_custkey").alias("user_id"),
-        ((F.col("o_orderkey") * 7 + F.col("o_custkey")) % 10).cast("string").alias("restaurant_id"),
-        status.alias("status"),
+        status = status.when(F.col("o_orderstatus") == code, name)
+    hour = F.make_dt_interval(F.lit(0), (F.col("o_orderkey") % 24).cast("int"))
+    return _table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.col("o_custkey").alias("user_id"),
+        ((F.col("o_orderkey") * 7 + F.col("o_custkey")) % 10).alias("restaurant_id"),
+        status.otherwise(UNKNOWN_STATUS).alias("status"),
         F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").alias("pickup"),
-        (
-            F.col("o_orderdate").cast("timestamp")
-            + F.make_dt_interval(F.lit(0), (F.col("o_orderkey") % 24).cast("int"))
-        ).alias("created_at"),
+        (F.col("o_orderdate").cast("timestamp") + hour).alias("created_at"),
         F.col("o_totalprice").cast(MONEY).alias("total"),
         (F.lit(DEPOT_LATITUDE) + offset(37)).alias("delivery_latitude"),
         (F.lit(DEPOT_LONGITUDE) + offset(91)).alias("delivery_longitude"),
     )
 
-    order_items = table("lineitem").select(
+
+def _order_items(spark: SparkSession, folder: str) -> DataFrame:
+    return _table(spark, folder, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"),
-        text("l_orderkey").alias("order_id"),
-        text("l_partkey").alias("product_id"),
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("l_extendedprice").cast(MONEY).alias("price"),
     )
 
-    party = F.get_json_object("props", "$.k").try_cast("int")
+
+def _reservations(spark: SparkSession, folder: str) -> DataFrame:
     ts = F.col("ts").cast("timestamp")
-    reservations = table("events").select(
-        text("event_id").alias("id"),
-        text("user_id").alias("user_id"),
-        (F.col("user_id") % 10).cast("string").alias("restaurant_id"),
+    party = F.get_json_object("props", "$.k").try_cast("int")
+    return _table(spark, folder, "events").select(
+        F.col("event_id").alias("id"),
+        "user_id",
+        (F.col("user_id") % 10).alias("restaurant_id"),
         ts.alias("date"),
         (1 + party % 8).alias("party_size"),
         F.col("event_type").alias("status"),
         ts.alias("created_at"),
     )
 
+
+def read(spark: SparkSession, folder: str) -> Tables:
+    """The operational tables; each is read when a query first needs it."""
     return Tables(
-        users=users,
-        products=products,
-        orders=orders,
-        order_items=order_items,
-        reservations=reservations,
-        restaurants=restaurants,
+        users=lambda: _users(spark, folder),
+        products=lambda: _products(spark, folder),
+        orders=lambda: _orders(spark, folder),
+        order_items=lambda: _order_items(spark, folder),
+        reservations=lambda: _reservations(spark, folder),
+        restaurants=lambda: _restaurants(spark, folder),
     )

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -12,24 +11,38 @@ from pyspark.sql import types as T
 log = logging.getLogger(__name__)
 
 
-@dataclass(frozen=True)
-class Tables:
-    """Operational tables, raw or normalised. ``restaurants`` only feeds the star."""
+class LazyTables:
+    """Named tables; one given as a function is built when first asked for."""
+
+    NAMES: tuple[str, ...] = ()
 
-    users: DataFrame
-    products: DataFrame
-    orders: DataFrame
-    order_items: DataFrame
-    reservations: DataFrame
-    restaurants: DataFrame | None = None
+    def __init__(self, **tables: DataFrame | Callable[[], DataFrame]):
+        unknown = set(tables) - set(self.NAMES)
+        if unknown:
+            raise TypeError(f"unknown tables: {sorted(unknown)}")
+        self._tables = tables
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._tables:
+            raise AttributeError(name)
+        table = self._tables[name]
+        if not isinstance(table, DataFrame):
+            table = self._tables[name] = table()
+        return table
 
     def items(self) -> list[tuple[str, DataFrame]]:
-        pairs = [(f.name, getattr(self, f.name)) for f in fields(self)]
-        return [(name, df) for name, df in pairs if df is not None]
+        return [(name, getattr(self, name)) for name in self.NAMES if name in self._tables]
 
 
 TABLE_NAMES = ("users", "products", "orders", "order_items", "reservations")
 
+
+class Tables(LazyTables):
+    """Operational tables, raw or normalised. ``restaurants`` only feeds the star."""
+
+    NAMES = (*TABLE_NAMES, "restaurants")
+
+
 # SQL that hashes a key to an int on the database side.
 KEY_HASH = {
     "postgresql": "hashtext({column}::text)",
