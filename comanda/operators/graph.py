@@ -88,9 +88,10 @@ def upsert(old: DataFrame, new: DataFrame, *keys: str) -> DataFrame:
 
 def _between_known(edges: DataFrame, ends: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Keep the edges whose named ends exist."""
+    columns = edges.columns
     for column, (nodes, key) in ends.items():
         edges = edges.join(nodes.select(F.col(key).alias(column)), column, "left_semi")
-    return edges
+    return edges.select(*columns)
 
 
 def build_nodes(data: Tables, routes: DataFrame) -> Nodes:

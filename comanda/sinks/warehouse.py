@@ -62,6 +62,9 @@ def write_table(df: DataFrame, name: str, database: str = DATABASE) -> int:
     writer.saveAsTable(staging)
     spark.sql(f"DROP TABLE IF EXISTS {target}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
+    if name in PARTITIONED:
+        # Some catalogs leave partitions at the place they were written to.
+        spark.sql(f"MSCK REPAIR TABLE {target} SYNC PARTITIONS")
     return seen.get["rows"]
 
 
