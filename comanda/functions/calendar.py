@@ -41,6 +41,17 @@ def hour_key(ts: Column) -> Column:
     return date_hour_key(ts, F.hour(ts))
 
 
+def date_of_key(key: Column) -> Column:
+    part = [F.floor(key / unit) for unit in (1000000, 10000, 100)]
+    return F.make_date(
+        part[0].cast("int"), (part[1] % 100).cast("int"), (part[2] % 100).cast("int")
+    )
+
+
+def hour_of_key(key: Column) -> Column:
+    return (key % 100).cast("int")
+
+
 def calendar_columns(date: Column, hour: Column) -> list[Column]:
     """The columns of ``dim_tiempo``, all functions of a date and an hour."""
     weekday = iso_weekday(date)

@@ -24,7 +24,7 @@ def _items(star: Star, sold: Sequence[str] | None = None) -> DataFrame:
 def _with(star: Star, fact: DataFrame, dim: str) -> DataFrame:
     """Inner join with a dimension: facts of unknown members drop out."""
     if dim == "tiempo":
-        return fact.join(star.calendar, "tiempo_key")
+        return star.with_calendar(fact)
     table = getattr(star, f"dim_{dim}")
     clashes = [c for c in table.columns if c in fact.columns and c != f"{dim}_key"]
     return fact.join(table.drop(*clashes), f"{dim}_key")

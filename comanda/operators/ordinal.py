@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from comanda.session import broadcast_if_small, materialise
+from comanda.session import materialise
 
 # monotonically_increasing_id() holds the partition above bit 33 and the
 # row's place in the partition below it.
@@ -29,12 +29,12 @@ def with_ordinal(df: DataFrame, order_by: Sequence[str], name: str = "ordinal")
     part = F.shiftright("_id", _PLACE_BITS)
     place = F.col("_id").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
-    # One row per partition of the write.
+    # One row per partition of the write: small enough to broadcast.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
     return (
         placed.withColumn("_part", part)
-        .join(broadcast_if_small(offsets), "_part")
+        .join(F.broadcast(offsets), "_part")
         .select(*df.columns, (F.col("_before") + place).alias(name))
     )
 

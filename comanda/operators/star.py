@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from comanda.functions.calendar import calendar_columns, hour_key
+from comanda.functions.calendar import calendar_columns, date_of_key, hour_key, hour_of_key
 from comanda.functions.keys import one_per_key, surrogate_key
 from comanda.functions.numbers import line_amount
 from comanda.schemas import MONEY, WAREHOUSE
@@ -17,13 +17,35 @@ from comanda.sources.tables import LazyTables, Tables, read_table
 
 
 class Star(LazyTables):
+    """The four dimensions and two facts.
+
+    ``keyed`` says that facts hold computed keys, not looked-up ones: their
+    time key is then a member's whenever it is not NULL.
+    """
+
     NAMES = tuple(WAREHOUSE)
 
+    def __init__(self, keyed: bool = False, **tables):
+        super().__init__(**tables)
+        self.keyed = keyed
+
     @cached_property
     def calendar(self) -> DataFrame:
         """``dim_tiempo`` for joins: broadcast once its row count is checked."""
         return broadcast_if_small(self.dim_tiempo)
 
+    def with_calendar(self, fact: DataFrame) -> DataFrame:
+        """The fact's rows of known hours, with the calendar's columns.
+
+        These are functions of the key, so a composed star need not gather
+        its hours from the sources first; a stored one joins its table.
+        """
+        if not self.keyed:
+            return fact.join(self.calendar, "tiempo_key")
+        key = F.col("tiempo_key")
+        columns = calendar_columns(date_of_key(key), hour_of_key(key))
+        return fact.where(key.isNotNull()).select("*", *columns[1:])
+
 
 def dim_tiempo(orders: DataFrame, reservations: DataFrame) -> DataFrame:
     """One row per hour in which something was ordered or reserved.
@@ -195,6 +217,7 @@ def build_star(
     is composed when first asked for.
     """
     star = Star(
+        keyed=not resolve,
         dim_tiempo=lambda: dim_tiempo(source.orders, source.reservations),
         dim_usuario=lambda: dim_usuario(source.users, key_strategy),
         dim_restaurante=lambda: dim_restaurante(source.restaurants, key_strategy),
