@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comanda.session import broadcast_if_small
+from comanda.session import broadcast_if_small, materialise
 
 # Distinct products of one order that are paired within one row.
 BLOCK = 64
@@ -68,11 +68,12 @@ def co_purchases(order_items: DataFrame, block: int = BLOCK) -> DataFrame:
 
     A product listed twice in an order counts once. Lines per order are
     counted first: orders of up to ``block`` lines are paired in one row each,
-    longer ones block by block.
+    longer ones block by block. The longer ones are few and written down, as
+    three steps ask for them.
     """
     items = order_items.select("order_id", "product_id")
     lines = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("lines"))
-    large = lines.where(F.col("lines") > block)
+    large = materialise(lines.where(F.col("lines") > block), "large_orders")
     if large.isEmpty():
         pairs = _small_order_pairs(items)
     else:
