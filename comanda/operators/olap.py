@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from comanda.constants import SOLD_IN_STAR
 from comanda.functions.numbers import growth_percent, money_avg, money_sum, percent_of
 from comanda.operators.ranking import rank_within
 from comanda.operators.star import Star
+from comanda.session import materialise
 
 MONTH = ("anio", "mes", "nombre_mes")
 
@@ -85,11 +87,14 @@ def order_status_mix(star: Star) -> DataFrame:
     )
 
 
-def consumption_ranking(star: Star, sold: Sequence[str] = SOLD_IN_STAR) -> DataFrame:
+def consumption_ranking(
+    star: Star, sold: Sequence[str] = SOLD_IN_STAR, write_sums: bool = True
+) -> DataFrame:
     """Products ranked by units within month and category.
 
     Lines are summed per product key before the product join, then per name:
-    equal names in a category are one product.
+    equal names in a category are one product. The ranks need the sums twice,
+    so these are written once; a view that must stay lazy does without.
     """
     per_key = (
         _sold_by_time(star, sold)
@@ -104,6 +109,8 @@ def consumption_ranking(star: Star, sold: Sequence[str] = SOLD_IN_STAR) -> DataF
             money_sum("monto").alias("ingresos"),
         )
     )
+    if write_sums:
+        sales = materialise(sales, "product_sales")
     return rank_within(
         sales, ("anio", "mes", "categoria"), "unidades_vendidas", "ranking_en_categoria"
     )
@@ -399,7 +406,7 @@ VIEWS = {
     "olap_ingresos_por_mes_categoria": revenue_by_month_category,
     "olap_actividad_usuarios_por_restaurante": user_activity_by_restaurant,
     "olap_estado_pedidos": order_status_mix,
-    "olap_tendencias_consumo": consumption_ranking,
+    "olap_tendencias_consumo": partial(consumption_ranking, write_sums=False),
     "olap_horarios_pico": peak_hours_weekday,
     "olap_crecimiento_mensual": monthly_growth,
 }

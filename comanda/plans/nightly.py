@@ -26,6 +26,15 @@ class LoadReport:
     published: bool
 
 
+def _write_all(tables: dict[str, DataFrame], database: str) -> dict[str, int]:
+    """Write tables that do not depend on each other side by side."""
+    with ThreadPoolExecutor(len(tables)) as pool:
+        running = {
+            name: pool.submit(write_table, df, name, database) for name, df in tables.items()
+        }
+        return {name: future.result() for name, future in running.items()}
+
+
 def load_dimensions(source: Tables, database: str) -> dict[str, int]:
     dims = {
         "dim_tiempo": star_operators.dim_tiempo(source.orders, source.reservations),
@@ -33,11 +42,11 @@ def load_dimensions(source: Tables, database: str) -> dict[str, int]:
         "dim_restaurante": star_operators.dim_restaurante(source.restaurants),
         "dim_producto": star_operators.dim_producto(source.products),
     }
-    return {name: write_table(df, name, database) for name, df in dims.items()}
+    return _write_all(dims, database)
 
 
 def load_facts(spark: SparkSession, source: Tables, database: str) -> dict[str, int]:
-    """Both facts, side by side, against the dimensions just stored."""
+    """Both facts against the dimensions just stored."""
     dims = read_star(spark, database)
     facts = {
         "fact_items_pedido": star_operators.fact_items_pedido(
@@ -45,11 +54,7 @@ def load_facts(spark: SparkSession, source: Tables, database: str) -> dict[str,
         ),
         "fact_reservaciones": star_operators.fact_reservaciones(source.reservations, dims),
     }
-    with ThreadPoolExecutor(len(facts)) as pool:
-        running = {
-            name: pool.submit(write_table, df, name, database) for name, df in facts.items()
-        }
-        return {name: future.result() for name, future in running.items()}
+    return _write_all(facts, database)
 
 
 def publish_catalogue(

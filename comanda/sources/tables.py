@@ -8,6 +8,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from comanda.schemas import GRAPH_FILES
+
 log = logging.getLogger(__name__)
 
 
@@ -121,6 +123,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.csv(path, schema=schema, header=True, enforceSchema=False)
 
 
+def read_graph_files(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The exchange files of the graph, typed, by name."""
+    return {
+        name: read_csv(spark, f"{folder}/{name}", schema) for name, schema in GRAPH_FILES.items()
+    }
+
+
 def read_table(spark: SparkSession, name: str, database: str | None = None) -> DataFrame:
     return spark.table(f"{database}.{name}" if database else name)
 

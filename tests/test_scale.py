@@ -7,10 +7,13 @@ from collections import Counter
 from pathlib import Path
 
 import pytest
+from compare import connect, differences
 from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from comanda.oracles import ORACLES
+from comanda.queries import QUERIES
 from comanda.operators import basket, graph, olap, paths, routing, sales, star
 from comanda.operators.ordinal import with_group_ordinal, with_ordinal
 from comanda.operators.ranking import rank_within
@@ -240,6 +243,37 @@ def test_no_raw_rows_in_one_task(spark):
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_ranking_reads_the_facts_once(spark):
+    built = star.build_star(retail.read(spark, FOLDER), resolve=False)
+    plan = olap.consumption_ranking(built)._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem.parquet" not in plan and "product_sales" in plan
+
+
+@pytest.mark.parametrize(
+    "name", ["revenue_by_month_category", "consumption_ranking", "influential_users",
+             "co_purchases", "graph_contains", "fact_items_pedido"],
+)
+def test_shuffle_joins_with_skew_splits(spark, name):
+    """The plans of large tables: no broadcast by size, every partition split."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        found = differences(QUERIES[name](spark, FOLDER), connect(FOLDER), ORACLES[name])
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert found is None
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     built = star.build_star(retail.read(spark, FOLDER), resolve=False)
     plan = olap.total_revenue(built)._jdf.queryExecution().executedPlan().toString()

@@ -12,7 +12,7 @@ from comanda.plans import analysis, nightly
 from comanda.schemas import GRAPH_FILES, WAREHOUSE
 from comanda.session import materialise
 from comanda.sinks import files, warehouse
-from comanda.sources.tables import Tables, read_csv
+from comanda.sources.tables import Tables, read_graph_files
 
 DB = "pruebas_dw"
 
@@ -113,7 +113,7 @@ def test_graph_files_come_back(spark, sample_data, tmp_path):
     routes = materialise(routing.route_assignments(data.orders), "routes")
     pairs = co_purchases(data.order_items)
     files.export_graph(data, pairs, routes, str(tmp_path))
-    back = {n: read_csv(spark, f"{tmp_path}/{n}", s) for n, s in GRAPH_FILES.items()}
+    back = read_graph_files(spark, str(tmp_path))
     tables = files.graph_tables(data, pairs, routes)
     for name in GRAPH_FILES:
         wanted = tables[name].withColumn("zone", F.nullif("zone", F.lit(""))) if name == "users" else tables[name]
