@@ -80,10 +80,15 @@ def co_purchases(order_items: DataFrame, block: int = BLOCK) -> DataFrame:
         large = broadcast_if_small(large)
         small = items.join(large, "order_id", "left_anti")
         pairs = _small_order_pairs(small).unionByName(_large_order_pairs(items, large, block))
-    return (
-        pairs.groupBy("product_a_id", "product_b_id")
-        .agg(F.count(F.lit(1)).alias("times_bought_together"))
-        .orderBy(F.desc("times_bought_together"), "product_a_id", "product_b_id")
+    counts = pairs.groupBy("product_a_id", "product_b_id").agg(
+        F.count(F.lit(1)).alias("times_bought_together")
+    )
+    return most_frequent_first(counts)
+
+
+def most_frequent_first(co_purchases: DataFrame) -> DataFrame:
+    return co_purchases.orderBy(
+        F.desc("times_bought_together"), "product_a_id", "product_b_id"
     )
 
 

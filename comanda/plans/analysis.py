@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import argparse
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from comanda.constants import DEFAULT_COURIERS, DEPOT_LATITUDE, DEPOT_LONGITUDE
 from comanda.operators import sales
-from comanda.operators.basket import co_purchases
+from comanda.operators.basket import co_purchases, most_frequent_first
 from comanda.operators.routing import route_assignments
 from comanda.session import materialise, prepare
 from comanda.sinks.files import export_graph, write_results
 from comanda.sinks.warehouse import write_tables
+from comanda.sources import sample
 from comanda.sources.normalise import normalise
-from comanda.sources.tables import Tables
+from comanda.sources.tables import Tables, collection_loader, jdbc_loader, load_source
 
 
 @dataclass(frozen=True)
@@ -46,12 +49,15 @@ def run(
 ) -> None:
     """Write every analysis as CSV, the graph files, and, if asked, tables.
 
-    What several outputs share (routes and product pairs) is computed once.
+    Routes, product pairs and a fact that goes to two places are computed once.
     """
     prepare(spark)
     data = normalise(source)
     results = analyses(data)
-    results["co_purchases"] = materialise(results["co_purchases"], "co_purchases")
+    pairs = materialise(results["co_purchases"], "co_purchases")
+    results["co_purchases"] = most_frequent_first(pairs)
+    if options.database:
+        results["fact_sales"] = materialise(results["fact_sales"], "fact_sales")
     routes = materialise(
         route_assignments(
             data.orders, options.couriers, options.stops_per_courier, options.depot
@@ -59,7 +65,7 @@ def run(
         "routes",
     )
     write_results({**results, "route_assignments": routes}, results_folder)
-    export_graph(data, results["co_purchases"], routes, graph_folder)
+    export_graph(data, pairs, routes, graph_folder, options.depot)
     if options.database:
         write_tables({**results, "route_assignments": routes}, options.database)
 
@@ -68,3 +74,52 @@ def register_views(data: Tables) -> None:
     """Offer the flat fact and the reservations to ``spark.sql``."""
     sales.fact_sales(data).createOrReplaceTempView("fact_sales")
     data.reservations.createOrReplaceTempView("reservations")
+
+
+def main(arguments: Sequence[str] | None = None) -> None:
+    """Run the job from a command line, e.g. through ``spark-submit``."""
+    parser = argparse.ArgumentParser(description="Sales analyses, routes and graph files")
+    parser.add_argument("--source", choices=["sample", "postgres", "mongo"], default="sample")
+    parser.add_argument("--fallback", choices=["sample"], help="read this if the source fails")
+    parser.add_argument("--results", required=True, help="folder of the result CSVs")
+    parser.add_argument("--graph", required=True, help="folder of the graph exchange CSVs")
+    parser.add_argument("--database", help="also write tables there")
+    parser.add_argument("--couriers", type=int, default=DEFAULT_COURIERS)
+    parser.add_argument("--stops-per-courier", type=int)
+    parser.add_argument("--center-lat", type=float, default=DEPOT_LATITUDE)
+    parser.add_argument("--center-lon", type=float, default=DEPOT_LONGITUDE)
+    parser.add_argument("--jdbc-url")
+    parser.add_argument("--jdbc-partitions", type=int, default=8)
+    parser.add_argument("--mongo-uri")
+    parser.add_argument("--mongo-database")
+    parser.add_argument(
+        "--option", action="append", default=[], metavar="NAME=VALUE", help="a reader option"
+    )
+    args = parser.parse_args(arguments)
+
+    options = dict(option.split("=", 1) for option in args.option)
+    mongo = {"connection.uri": args.mongo_uri, "database": args.mongo_database}
+    loaders = {
+        "sample": sample.load,
+        "postgres": jdbc_loader(
+            args.jdbc_url, {"driver": "org.postgresql.Driver", **options}, args.jdbc_partitions
+        ),
+        "mongo": collection_loader({k: v for k, v in mongo.items() if v} | options),
+    }
+    spark = SparkSession.builder.appName("comanda analysis").getOrCreate()
+    run(
+        spark,
+        load_source(spark, args.source, loaders, args.fallback),
+        args.results,
+        args.graph,
+        AnalysisOptions(
+            couriers=max(args.couriers, 1),
+            stops_per_courier=args.stops_per_courier,
+            depot=(args.center_lat, args.center_lon),
+            database=args.database,
+        ),
+    )
+
+
+if __name__ == "__main__":
+    main()

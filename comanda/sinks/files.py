@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from comanda.constants import DEPOT_LATITUDE, DEPOT_LONGITUDE
 from comanda.operators.graph import delivery_locations, recommendations
 from comanda.operators.routing import route_edges
 from comanda.sources.tables import Tables
@@ -23,7 +24,10 @@ def write_results(results: Mapping[str, DataFrame], folder: str) -> None:
 
 
 def graph_tables(
-    data: Tables, co_purchases: DataFrame, routes: DataFrame
+    data: Tables,
+    co_purchases: DataFrame,
+    routes: DataFrame,
+    depot: tuple[float, float] = (DEPOT_LATITUDE, DEPOT_LONGITUDE),
 ) -> dict[str, DataFrame]:
     """The nine exchange tables of the graph, in their file columns."""
     placed_at = F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at")
@@ -38,16 +42,20 @@ def graph_tables(
         ),
         "recommendations": recommendations(data.users),
         "co_purchases": co_purchases,
-        "locations": delivery_locations(routes),
+        "locations": delivery_locations(routes, depot),
         "route_assignments": routes,
         "route_edges": route_edges(routes),
     }
 
 
 def export_graph(
-    data: Tables, co_purchases: DataFrame, routes: DataFrame, folder: str
+    data: Tables,
+    co_purchases: DataFrame,
+    routes: DataFrame,
+    folder: str,
+    depot: tuple[float, float] = (DEPOT_LATITUDE, DEPOT_LONGITUDE),
 ) -> None:
-    write_results(graph_tables(data, co_purchases, routes), folder)
+    write_results(graph_tables(data, co_purchases, routes, depot), folder)
 
 
 def publish_changes(changes: DataFrame, path: str) -> None:

@@ -138,9 +138,22 @@ def test_graph_nodes_and_edges(spark, sample_data):
     assert [(r[0], r[2]) for r in rows(graph.uniqueness_violations(twice))] == [("users", 2)]
 
 
-def test_analysis_job(spark, raw_sample, tmp_path):
-    options = analysis.AnalysisOptions(database="analisis_dw")
-    analysis.run(spark, raw_sample, f"{tmp_path}/results", f"{tmp_path}/graph", options)
+def test_analysis_job(spark, tmp_path):
+    where = ["--results", f"{tmp_path}/results", "--graph", f"{tmp_path}/graph"]
+    place = ["--center-lat", "9.9326", "--center-lon", "-84.0796"]
+    analysis.main([*where, *place, "--couriers", "2", "--database", "analisis_dw"])
+    places = read_graph_files(spark, f"{tmp_path}/graph")["locations"]
+    assert places.where("location_id = 'loc-central'").first()["latitude"] == 9.9326
     assert spark.read.csv(f"{tmp_path}/results/fact_sales", header=True).count() == 18
     assert spark.table("analisis_dw.route_assignments").count() == 7
     assert spark.table("analisis_dw.co_purchases").count() == 9
+    pairs = spark.read.csv(f"{tmp_path}/graph/co_purchases", header=True)
+    assert pairs.count() == 9
+    first = spark.read.csv(f"{tmp_path}/results/peak_hours", header=True).first()
+    assert first["order_hour"] == "12"
+
+
+def test_analysis_names_a_failing_source(spark, tmp_path):
+    where = ["--results", f"{tmp_path}/r", "--graph", f"{tmp_path}/g"]
+    with pytest.raises(Exception):
+        analysis.main([*where, "--source", "mongo"])
