@@ -96,7 +96,7 @@ def timed(action) -> float:
         start = time.perf_counter()
         action()
         seconds.append(time.perf_counter() - start)
-    return round(statistics.median(seconds), 3)
+    return round(statistics.median_low(seconds), 3)
 
 
 def main() -> None:
