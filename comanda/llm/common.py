@@ -13,9 +13,8 @@ from pyspark.sql.window import Window
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
-# Rows of an Arrow batch that carries whole texts: a few MB as a rule, and still
-# bounded when every text of a batch is long.
-TEXT_BATCH = 256
+# Bytes of an Arrow batch that carries whole texts; a longer text is a batch alone.
+TEXT_BATCH = 4 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,9 +36,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_batches(spark: SparkSession, rows: int = TEXT_BATCH) -> None:
-    """Bound the rows of Arrow batches, so that long texts stay within memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def text_batches(spark: SparkSession, size: int = TEXT_BATCH) -> None:
+    """Bound the bytes of Arrow batches, so that long texts stay within memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def word_count(text: Column) -> Column:

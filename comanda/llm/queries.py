@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import mixing, sharding, topk, url_filters
+from comanda.llm import bpe, mixing, sharding, token_counts, topk, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,18 @@ def op3_byte_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _tokenizer(name: str) -> str:
+    """Where a public tokenizer's file lies; the operators take any path."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document under a byte-level BPE."""
+    return token_counts.count_tokens(_table(spark, folder, "documents"), _tokenizer("byte_bpe_50k.json"))
+
+
 def op7_url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
     """Rules first; else hosts with many tracking parameters are blocked."""
     pages = _table(spark, folder, "pages")
@@ -41,11 +53,19 @@ def op8_top_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op9_bpe_round(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of every document's token ids and of what they decode to."""
+    found = bpe.encode_decode(_table(spark, folder, "documents"), _tokenizer("word_bpe_49k.json"))
+    return bpe.digests(found)
+
+
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op3_byte_shards": op3_byte_shards,
+    "op4_token_counts": op4_token_counts,
     "op7_url_verdicts": op7_url_verdicts,
     "op8_top_vectors": op8_top_vectors,
+    "op9_bpe_round": op9_bpe_round,
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
