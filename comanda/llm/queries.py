@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import bpe, mixing, sharding, token_counts, topk, url_filters
+from comanda.llm import bpe, minhash, mixing, sharding, token_counts, topk, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,12 @@ def op9_bpe_round(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(found)
 
 
+def op10_minhash_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose four-word shingles agree by four fifths."""
+    found = minhash.near_duplicates(_table(spark, folder, "documents"), words=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op3_byte_shards": op3_byte_shards,
@@ -66,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op7_url_verdicts": op7_url_verdicts,
     "op8_top_vectors": op8_top_vectors,
     "op9_bpe_round": op9_bpe_round,
+    "op10_minhash_groups": op10_minhash_groups,
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
