@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import bpe, minhash, mixing, sharding, token_counts, topk, url_filters, vector_links
+from comanda.llm import bpe, minhash, mixing, sharding, suffix_dedup, token_counts, topk, url_filters, vector_links
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,11 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, folder, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
+def op5_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without the 100-byte strings that start earlier as well."""
+    return suffix_dedup.digests(suffix_dedup.remove_repeats(_table(spark, folder, "documents")))
+
+
 def op6_vector_links(spark: SparkSession, folder: str) -> DataFrame:
     """Links and components of vectors of one label with a cosine from 0.93."""
     return vector_links.link_vectors(_table(spark, folder, "embeddings"))
@@ -74,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op3_byte_shards": op3_byte_shards,
     "op4_token_counts": op4_token_counts,
+    "op5_repeated_bytes": op5_repeated_bytes,
     "op6_vector_links": op6_vector_links,
     "op7_url_verdicts": op7_url_verdicts,
     "op8_top_vectors": op8_top_vectors,

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from comanda.llm import bloom
+from comanda.llm.bloom import Bloom
 from comanda.llm.common import stored
 
 # (verdict, host, path): fits the host and its subdomains where the path starts so.
@@ -48,49 +49,7 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -
     return rule, verdict
 
 
-@dataclass(frozen=True)
-class Level:
-    """One Bloom filter: ``words`` is a frame of one row with an array of longs."""
-
-    words: DataFrame
-    bits: int
-    hashes: int
-    seed: int
-
-
-def _places(key: Column, bits: int, hashes: int, seed: int) -> list[Column]:
-    """The bits of a key; hashes differ by level, so no pair of keys collides in all."""
-    return [F.pmod(F.xxhash64(F.lit(seed * 64 + i), key), F.lit(bits)) for i in range(hashes)]
-
-
-def _level(keys: DataFrame, n: int, rate: float, seed: int) -> Level:
-    """A filter of ``n`` keys that lets a share ``rate`` of others pass."""
-    hashes = max(1, round(-math.log2(rate)))
-    bits = 64 * max(1, math.ceil(-n * math.log(rate) / math.log(2) ** 2 / 64))
-    place = F.explode(F.array(*_places(F.col("key"), bits, hashes, seed)))
-    set_bits = keys.select(place.alias("place"))
-    words = set_bits.groupBy((F.col("place") / 64).cast("long").alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("place") % 64).cast("int"))).alias("bits")
-    )
-    # Words without a bit are absent from the groups; the whole row has them as 0.
-    every = keys.sparkSession.range(bits // 64).withColumnRenamed("id", "word")
-    filled = every.join(words, "word", "left").select("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
-    in_order = F.sort_array(F.collect_list(F.struct("word", "bits")))
-    row = filled.agg(F.transform(in_order, lambda w: w.getField("bits")).alias("words"))
-    return Level(stored(row, "bloom"), bits, hashes, seed)
-
-
-def _passes(key: Column, level: Level) -> Column:
-    """Whether the filter has all bits of the key. The filter is a scalar subquery."""
-    words = level.words.scalar()
-    found = F.lit(True)
-    for place in _places(key, level.bits, level.hashes, level.seed):
-        word = F.get(words, (place / 64).cast("int"))
-        found = found & (F.call_function("shiftrightunsigned", word, (place % 64).cast("int")).bitwiseAND(F.lit(1)) == 1)
-    return found
-
-
-def build_cascade(universe: DataFrame, max_bytes: int = MAX_FILTER_BYTES) -> list[Level] | None:
+def build_cascade(universe: DataFrame, max_bytes: int = MAX_FILTER_BYTES) -> list[Bloom] | None:
     """Filters that together tell the listed keys of ``universe`` from the others.
 
     ``universe`` holds every key once: key (not null), listed. Level 1 encodes
@@ -100,24 +59,24 @@ def build_cascade(universe: DataFrame, max_bytes: int = MAX_FILTER_BYTES) -> lis
     follows from its count; None if the levels come to more than ``max_bytes``.
     No listed keys: no levels.
     """
-    levels: list[Level] = []
+    levels: list[Bloom] = []
     inside, outside = universe.where("listed"), universe.where(~F.col("listed"))
     n, rest = inside.count(), outside.count()
     total = 0
     while n:
         # The first level balances its own size against the second's; later ones halve.
         rate = min(0.5, max(0.001, n / (rest * math.sqrt(2)))) if not levels and rest else 0.5
-        total += -n * math.log(rate) / math.log(2) ** 2 / 8
+        total += bloom.filter_bits(n, rate) // 8
         if total > max_bytes:
             return None
-        level = _level(inside, n, rate, len(levels) + 1)
+        level = bloom.build(inside, n, rate, len(levels) + 1)
         levels.append(level)
-        left = stored(outside.where(_passes(F.col("key"), level)), "passing")
+        left = stored(outside.where(bloom.passes(F.col("key"), level)), "passing")
         inside, outside, n, rest = left, inside, left.count(), n
     return levels
 
 
-def is_listed(key: Column, levels: Sequence[Level]) -> Column:
+def is_listed(key: Column, levels: Sequence[Bloom]) -> Column:
     """Membership of a key of the universe: exact, from the levels alone.
 
     A key that stops at an odd level is not listed; at an even one, it is; a
@@ -125,7 +84,7 @@ def is_listed(key: Column, levels: Sequence[Level]) -> Column:
     """
     answer = F.lit(len(levels) % 2 == 1)
     for i in range(len(levels), 0, -1):
-        answer = F.when(_passes(key, levels[i - 1]), answer).otherwise(F.lit(i % 2 == 0))
+        answer = F.when(bloom.passes(key, levels[i - 1]), answer).otherwise(F.lit(i % 2 == 0))
     return answer
 
 
