@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import bpe, minhash, mixing, sharding, suffix_dedup, token_counts, topk, url_filters, vector_links
+from comanda.llm import bpe, minhash, mixing, sharding, suffix_dedup, token_counts, topk, toxicity, url_filters, vector_links
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,14 @@ def op1_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_toxicity_grades(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected severity and grade of every document, by a model of the labels."""
+    documents = _table(spark, folder, "documents")
+    model = toxicity.fit(documents, _table(spark, folder, "labels"))
+    found = toxicity.grade(documents.select("doc_id", "text"), model)
+    return found.select("doc_id", "severity", "grade", "p_toxic", "rejected")
+
+
 def op3_byte_shards(spark: SparkSession, folder: str) -> DataFrame:
     """40 contiguous shards of documents with near-equal bytes."""
     return sharding.shard_documents(_table(spark, folder, "documents")).select(
@@ -77,6 +85,7 @@ def op10_minhash_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
+    "op2_toxicity_grades": op2_toxicity_grades,
     "op3_byte_shards": op3_byte_shards,
     "op4_token_counts": op4_token_counts,
     "op5_repeated_bytes": op5_repeated_bytes,

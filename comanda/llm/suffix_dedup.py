@@ -269,29 +269,37 @@ def _single_windows(length: int):
     return run
 
 
-def _keep_rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keep_rest(decode: bool):
     """kept and removed of each text from its spans, in any order and overlapping."""
-    for batch in batches:
-        kept, removed = [], []
-        for text, spans in zip(batch.column("text"), batch.column("spans")):
-            raw = text.as_buffer().to_pybytes()
-            rows = spans.values
-            start, end = (rows.field(c).to_numpy().astype(np.int64) for c in ("start", "end"))
-            order = np.argsort(start, kind="stable")
-            start, end = start[order], np.maximum.accumulate(end[order])
-            new = np.ones(len(start), bool)
-            new[1:] = start[1:] > end[:-1]
-            first = np.flatnonzero(new)
-            runs = list(zip(start[first].tolist(), end[np.append(first, len(start))[1:] - 1].tolist()))
-            cuts = [0, *[x for run in runs for x in run], len(raw)]
-            kept.append(b"".join(raw[a:b] for a, b in zip(cuts[::2], cuts[1::2])))
-            removed.append([{"start": a, "end": b} for a, b in runs])
-        names = [c for c in batch.schema.names if c not in ("text", "spans")]
-        runs_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        yield pa.RecordBatch.from_arrays(
-            [*[batch.column(c) for c in names], pa.array(kept, pa.binary()), pa.array(removed, runs_type)],
-            [*names, "kept", "removed"],
-        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _kept_of(batch, decode)
+
+    return run
+
+
+def _kept_of(batch: pa.RecordBatch, decode: bool) -> pa.RecordBatch:
+    kept, removed = [], []
+    for text, spans in zip(batch.column("text"), batch.column("spans")):
+        raw, rows = text.as_buffer().to_pybytes(), spans.values
+        start, end = (rows.field(c).to_numpy().astype(np.int64) for c in ("start", "end"))
+        order = np.argsort(start, kind="stable")
+        start, end = start[order], np.maximum.accumulate(end[order])
+        new = np.ones(len(start), bool)
+        new[1:] = start[1:] > end[:-1]
+        first = np.flatnonzero(new)
+        runs = list(zip(start[first].tolist(), end[np.append(first, len(start))[1:] - 1].tolist()))
+        cuts = [0, *[x for run in runs for x in run], len(raw)]
+        rest = b"".join(raw[a:b] for a, b in zip(cuts[::2], cuts[1::2]))
+        kept.append(rest.decode("utf-8", "ignore") if decode else rest)
+        removed.append([{"start": a, "end": b} for a, b in runs])
+    names = [c for c in batch.schema.names if c not in ("text", "spans")]
+    runs_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    return pa.RecordBatch.from_arrays(
+        [*[batch.column(c) for c in names], pa.array(kept, pa.string() if decode else pa.binary()), pa.array(removed, runs_type)],
+        [*names, "kept", "removed"],
+    )
 
 
 def _with_order(documents: DataFrame) -> DataFrame:
@@ -362,9 +370,12 @@ def _only(documents: DataFrame, wanted: DataFrame, seed: int, hit: bool = True)
     return documents.where(inside if hit else ~inside)
 
 
-def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def remove_repeats(
+    documents: DataFrame, length: int = LENGTH, gram: int = GRAM, decode: bool = False
+) -> DataFrame:
     """Texts without the stretches that occur earlier: the columns of ``documents``
     but text, with doc, tie, n_bytes, kept (bytes) and removed (list of start, end).
+    With ``decode``, kept is a string, without characters of which a part went.
 
     Texts are UTF-8 bytes, null as none. A byte goes if a string of ``length``
     bytes that covers it also starts earlier: in a smaller doc_id, or further in
@@ -405,10 +416,23 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
     columns = [c for c in documents.columns if c != "text"]
     out = [*columns, "doc", "tie", "n_bytes"]
     met = sized.where(inside).join(grouped, ["doc", "tie"], "left").select(*out, "text", F.coalesce("spans", none).alias("spans"))
-    kinds = dict(met.dtypes)
-    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in out], "kept binary, removed array<struct<start:int,end:int>>"])
-    changed = met.mapInArrow(_keep_rest, schema)
-    return changed.union(sized.where(~inside).select(*out, F.col("text").alias("kept"), none.alias("removed")))
+    kinds, kind = dict(met.dtypes), "string" if decode else "binary"
+    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in out], f"kept {kind}, removed array<struct<start:int,end:int>>"])
+    changed = met.mapInArrow(_keep_rest(decode), schema)
+    return changed.union(sized.where(~inside).select(*out, F.col("text").cast(kind).alias("kept"), none.alias("removed")))
+
+
+def drop_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``documents`` with shorter texts: all rows and columns, n_chars to match if there.
+
+    Null texts stay null. Of a character that is partly removed nothing is left.
+    """
+    found = remove_repeats(documents.withColumn("_null", F.col("text").isNull()), length, decode=True)
+    changed = F.size("removed") > 0
+    out = found.withColumn("text", F.when(~F.col("_null"), F.col("kept")))
+    if "n_chars" in documents.columns:
+        out = out.withColumn("n_chars", F.when(changed, F.length("kept").cast("long")).otherwise(F.col("n_chars")))
+    return out.select(*documents.columns)
 
 
 def digests(found: DataFrame) -> DataFrame:
