@@ -23,12 +23,11 @@ def _places(text: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 def _induce(text: np.ndarray, small: np.ndarray, starts: np.ndarray, ends: np.ndarray, order: np.ndarray) -> np.ndarray:
     """Sort all suffixes from an order of the leftmost-smaller ones (-1 pads its ends)."""
     n, texts = text.shape
-    columns = np.arange(texts)
     # A letter and its suffix's class in one look-up.
-    marked = (text.astype(np.int64) * 2 + small).ravel()
-    found = np.full((n, texts), -1, np.int64)
+    marked = (text.astype(np.int32) * 2 + small).ravel()
+    found = np.full((n, texts), -1, np.int32)
     flat = found.ravel()
-    tails = ends.ravel().copy()
+    tails = ends.astype(np.int32).ravel()
     for row in order[::-1]:
         has = np.flatnonzero(row >= 0)
         at = row[has]
@@ -36,7 +35,7 @@ def _induce(text: np.ndarray, small: np.ndarray, starts: np.ndarray, ends: np.nd
         place = tails[bucket] - 1
         tails[bucket] = place
         flat[place * texts + has] = at
-    heads = starts.ravel().copy()
+    heads = starts.astype(np.int32).ravel()
     for i in range(n):
         before = found[i] - 1
         has = np.flatnonzero(before >= 0)
@@ -48,7 +47,7 @@ def _induce(text: np.ndarray, small: np.ndarray, starts: np.ndarray, ends: np.nd
         place = heads[bucket]
         heads[bucket] = place + 1
         flat[place * texts + has] = before
-    tails = ends.ravel().copy()
+    tails = ends.astype(np.int32).ravel()
     for i in range(n - 1, -1, -1):
         before = found[i] - 1
         has = np.flatnonzero(before >= 0)
@@ -60,7 +59,6 @@ def _induce(text: np.ndarray, small: np.ndarray, starts: np.ndarray, ends: np.nd
         place = tails[bucket] - 1
         tails[bucket] = place
         flat[place * texts + has] = before
-    del columns
     return found
 
 
@@ -133,8 +131,19 @@ def suffix_arrays(text: np.ndarray, size: int) -> np.ndarray:
     return _induce(text, small, starts, ends, sorted_leftmost)
 
 
+# Letters of the texts worked off in step: enough of them to make a step worth its
+# calls, and few enough to stay near the processor.
+_IN_STEP = 1 << 20
+
+
 def byte_suffix_arrays(data: np.ndarray) -> np.ndarray:
     """Suffix arrays (n, texts) of byte texts (texts, n), without the empty suffix."""
+    step = max(64, _IN_STEP // data.shape[1])
+    parts = [_byte_suffix_arrays(data[at : at + step]) for at in range(0, len(data), step)]
+    return np.concatenate(parts, axis=1)
+
+
+def _byte_suffix_arrays(data: np.ndarray) -> np.ndarray:
     texts, n = data.shape
     letters = np.zeros((n + 1, texts), np.int32)
     letters[:n] = data.T.astype(np.int32) + 1

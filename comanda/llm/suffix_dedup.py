@@ -19,7 +19,9 @@ from comanda.llm.suffix_array import byte_suffix_arrays, permuted_common_prefixe
 LENGTH = 100
 # Bytes of a gram; a power of two below LENGTH.
 GRAM = 32
-# Territories of one gram that a shard takes; beyond it windows are dealt singly.
+# Windows of a territory that are settled together, where all of it can't be.
+BLOCK = 16
+# Blocks of one core that a shard takes; beyond it windows are dealt singly.
 SHARD_TERRITORIES = 256
 # Bytes of all shards of one task, and lengths of its shards.
 TASK_BYTES = 3 << 20
@@ -42,7 +44,7 @@ def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def territories(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(gram hash, stretch hash, first byte, last window) per anchor of texts end to end.
+    """(gram hash, stretch hash, place, first and last window) per gram of texts end to end.
 
     Every window of ``length`` bytes belongs to the gram of least hash in it; the
     windows of one gram's occurrence follow each other and are its territory.
@@ -50,7 +52,7 @@ def territories(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> t
     """
     empty = np.empty(0, np.int64)
     if len(data) < length:
-        return empty.astype(np.uint64), empty.astype(np.uint64), empty, empty
+        return empty.astype(np.uint64), empty.astype(np.uint64), empty, empty, empty
     levels = doubled_hashes(data, 256)
     grams = scramble(levels[gram.bit_length() - 1])
     chosen = window_choices(grams, length - gram + 1)
@@ -68,7 +70,7 @@ def territories(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> t
         of = np.flatnonzero(size == n)
         stretch[of] = stretch_hash(levels, low[of], n)
     stretch = scramble(stretch + (place - low).astype(np.uint64) * _ODD)
-    return grams[place], stretch, low, high
+    return grams[place], stretch, place, low, high
 
 
 def _pieces(data: np.ndarray, ends: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -97,8 +99,23 @@ def _pieces(data: np.ndarray, ends: np.ndarray, length: int) -> Iterator[tuple[n
         at = end
 
 
+def _decided(key: np.ndarray, stretch: np.ndarray, doc: np.ndarray, tie: np.ndarray, low: np.ndarray):
+    """(key, sure): rows with an earlier equal one in the batch are sure to be repeated.
+
+    They need no company any more, so their key is replaced by a random one:
+    copies of one text by the thousand don't meet in one task.
+    """
+    both = scramble(key) ^ stretch
+    order = np.lexsort((low, tie, doc, both))
+    again = both[order][1:] == both[order][:-1]
+    sure = np.zeros(len(both), bool)
+    sure[order[1:][again]] = True
+    dealt = scramble(key + scramble(doc.astype(np.uint64) + low.astype(np.uint64) * _ODD))
+    return np.where(sure, dealt, key), sure
+
+
 def _anchor_rows(length: int, gram: int):
-    """gram, stretch, doc, tie, low, windows, sure: an earlier equal territory is in the batch."""
+    """gram, stretch, doc, tie, low, windows, back, sure; back: bytes from low to the gram."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,20 +123,15 @@ def _anchor_rows(length: int, gram: int):
             docs, ties = (batch.column(c).to_numpy() for c in ("doc", "tie"))
             parts = []
             for piece, piece_ends, text, offset in _pieces(data, ends, length):
-                grams, stretch, low, high = territories(piece, piece_ends, length, gram)
+                grams, stretch, place, low, high = territories(piece, piece_ends, length, gram)
                 owner = np.searchsorted(piece_ends, low, side="right") - 1
-                parts.append((grams, stretch, text[owner], low - piece_ends[owner] + offset[owner], high - low + 1))
+                at = low - piece_ends[owner] + offset[owner]
+                parts.append((grams, stretch, text[owner], at, high - low + 1, place - low))
             if not parts:
                 continue
-            grams, stretch, text, low, windows = map(np.concatenate, zip(*parts))
+            grams, stretch, text, low, windows, back = map(np.concatenate, zip(*parts))
             doc, tie = docs[text], ties[text]
-            both = scramble(grams) ^ stretch
-            order = np.lexsort((low, tie, doc, both))
-            again = both[order][1:] == both[order][:-1]
-            sure = np.zeros(len(both), bool)
-            sure[order[1:][again]] = True
-            # A decided territory needs no company: it is dealt out at random.
-            grams = np.where(sure, scramble(grams + scramble(doc.astype(np.uint64) + low.astype(np.uint64) * _ODD)), grams)
+            grams, sure = _decided(grams, stretch, doc, tie, low)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(grams.view(np.int64)),
@@ -128,33 +140,88 @@ def _anchor_rows(length: int, gram: int):
                     pa.array(tie),
                     pa.array(low.astype(np.int32)),
                     pa.array(windows.astype(np.int32)),
+                    pa.array(back.astype(np.int32)),
                     pa.array(sure),
                 ],
-                ["gram", "stretch", "doc", "tie", "low", "windows", "sure"],
+                ["gram", "stretch", "doc", "tie", "low", "windows", "back", "sure"],
             )
 
     return run
 
 
-def _cut_out(length: int):
-    """The bytes of the territories in column places of each text."""
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(bytes, doc, tie, low, windows, gram's place, gram) of stretches of texts.
+
+    A stretch runs from a text's first wanted territory on and is of bounded
+    length; places in it count from its own start, which is returned as well.
+    """
+    docs, ties = (batch.column(c).to_numpy() for c in ("doc", "tie"))
+    for text, places, doc, tie in zip(batch.column("text"), batch.column("places"), docs, ties):
+        rows = places.values
+        columns = [rows.field(c).to_numpy() for c in ("low", "windows", "back", "gram")]
+        order = np.argsort(columns[0], kind="stable")
+        low, windows, back, gram = (c[order] for c in columns)
+        raw = np.frombuffer(text.as_buffer(), np.uint8)
+        at = 0
+        while at < len(low):
+            end = int(np.searchsorted(low, low[at] + PIECE, side="left"))
+            yield raw, doc, tie, *(c[at:end].astype(np.int64) for c in (low, windows, back)), gram[at:end]
+            at = end
+
+
+def _block_rows(length: int):
+    """Territories cut at fixed distances from their gram, keyed by what their windows share.
+
+    The windows of a block start BLOCK places or fewer apart, so all of them
+    hold the same bytes in the middle, the core. Equal windows have equal cores
+    at equal distances, so blocks need only meet under equal cores; the windows
+    of most blocks around which texts differ are settled by that.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, ties = (batch.column(c).to_numpy() for c in ("doc", "tie"))
-            for text, places, doc, tie in zip(batch.column("text"), batch.column("places"), docs, ties):
-                raw, rows = text.as_buffer(), places.values
-                low, windows = rows.field("low").to_numpy(), rows.field("windows").to_numpy()
-                whole = memoryview(raw)
-                cut = [bytes(whole[a : a + n + length - 1]) for a, n in zip(low.tolist(), windows.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        rows.field("gram"), rows.field("many"),
-                        pa.array(np.full(len(cut), doc)), pa.array(np.full(len(cut), tie)),
-                        rows.field("low"), rows.field("windows"), pa.array(cut, pa.binary()),
-                    ],
-                    ["gram", "many", "doc", "tie", "low", "windows", "bytes"],
-                )
+            parts = []
+            for raw, doc, tie, low, windows, back, gram in _slices(batch):
+                start, stop = int(low[0]), int((low + windows).max()) + length - 1
+                piece = raw[start:stop]
+                levels = doubled_hashes(piece, 128)
+                # Distances of a territory's windows to its gram, and the blocks they span.
+                far, near = back, back - windows + 1
+                n = far // BLOCK - near // BLOCK + 1
+                of = np.repeat(np.arange(len(low)), n)
+                block = near[of] // BLOCK + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+                place = (low + back)[of]
+                begin = place - np.minimum(far[of], block * BLOCK + BLOCK - 1)
+                count = place - np.maximum(near[of], block * BLOCK) - begin + 1
+                core = stretch_hash(levels, place - block * BLOCK - start, length - BLOCK + 1)
+                key = scramble(core + scramble(gram[of].view(np.uint64) + block.astype(np.uint64) * _ODD))
+                size = count + length - 1
+                stretch = np.empty(len(of), np.uint64)
+                for m in np.unique(size).tolist():
+                    rows = np.flatnonzero(size == m)
+                    stretch[rows] = stretch_hash(levels, begin[rows] - start, m)
+                stretch = scramble(stretch + (place - begin).astype(np.uint64) * _ODD)
+                cut = piece.tobytes()
+                texts = [cut[a : a + m] for a, m in zip((begin - start).tolist(), size.tolist())]
+                parts.append((key, stretch, np.full(len(of), doc), np.full(len(of), tie), begin, count, np.array(texts, object)))
+            if not parts:
+                continue
+            key, stretch, doc, tie, low, windows, texts = map(np.concatenate, zip(*parts))
+            key, sure = _decided(key, stretch, doc, tie, low)
+            texts[sure] = None
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(key.view(np.int64)),
+                    pa.array(stretch.view(np.int64)),
+                    pa.array(doc),
+                    pa.array(tie),
+                    pa.array(low.astype(np.int32)),
+                    pa.array(windows.astype(np.int32)),
+                    pa.array(sure),
+                    pa.array(texts, pa.binary()),
+                ],
+                ["gram", "stretch", "doc", "tie", "low", "windows", "sure", "bytes"],
+            )
 
     return run
 
@@ -318,50 +385,61 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
     """
     rows = documents.select("doc", "tie", "text").mapInArrow(
         _anchor_rows(length, gram),
-        f"gram long, stretch long, {_WHO}, low int, windows int, sure boolean",
+        f"gram long, stretch long, {_WHO}, low int, windows int, back int, sure boolean",
     )
-    turn = ["doc", "tie", "low"]
-    by_gram = Window.partitionBy("gram").orderBy(*turn)
-    whole = Window.partitionBy("gram")
-    alike = Window.partitionBy("gram", "stretch").orderBy(*turn)
-    # Most grams occur once: they go before anything is gathered.
-    company = F.lag("doc").over(by_gram).isNotNull() | F.lead("doc").over(by_gram).isNotNull()
-    shared = rows.withColumn("_company", company).where("_company or sure").drop("_company")
-    placed = (
-        shared.withColumn("nth", F.row_number().over(alike))
-        .withColumn("many", F.sum((F.col("nth") == 1).cast("int")).over(whole))
-        .withColumn("covered", F.col("sure") | (F.col("nth") > 1))
-        .where("covered or many > 1")
-        .select("gram", "doc", "tie", "low", "windows", "many", "covered")
-    )
-    placed = stored(placed, "territories")
-    # A territory equal to an earlier one is repeated throughout.
-    end = F.col("low") + F.col("windows") + F.lit(length - 1)
-    covered = placed.where("covered").select("doc", "tie", F.col("low").alias("start"), end.alias("end"))
-
+    placed = stored(_classed(rows, "back"), "territories")
     unsure = placed.where("not covered")
     places = unsure.groupBy("doc", "tie").agg(
-        F.collect_list(F.struct("gram", F.col("many").cast("int").alias("many"), "low", "windows")).alias("places")
+        F.collect_list(F.struct("gram", "low", "windows", "back")).alias("places")
     )
     texts = _only(documents, unsure, 5).join(places, ["doc", "tie"]).select("doc", "tie", "text", "places")
     cut = texts.mapInArrow(
-        _cut_out(length), f"gram long, many int, {_WHO}, low int, windows int, bytes binary"
+        _block_rows(length),
+        f"gram long, stretch long, {_WHO}, low int, windows int, sure boolean, bytes binary",
     )
-    cut = stored(cut, "cut")
-    few = cut.where(F.col("many") <= SHARD_TERRITORIES)
+    blocks = stored(_classed(cut, "bytes").withColumn("bytes", F.expr("if(covered, null, bytes)")), "blocks")
+
+    # What equals an earlier one is repeated throughout.
+    end = F.col("low") + F.col("windows") + F.lit(length - 1)
+    span = ["doc", "tie", F.col("low").alias("start"), end.alias("end")]
+    covered = placed.where("covered").select(*span).union(blocks.where("covered").select(*span))
+
+    open_blocks = blocks.where("not covered")
+    few = open_blocks.where(F.col("many") <= SHARD_TERRITORIES)
     size = few.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     tasks = max(1, -(-size // TASK_BYTES))
     task = F.pmod(F.xxhash64("gram"), F.lit(tasks)).cast("int")
     in_shards = few.withColumn("task", task).groupBy("task").applyInPandas(_shards(length), _SPAN)
 
-    singles = cut.where(F.col("many") > SHARD_TERRITORIES).select("doc", "tie", "low", "windows", "bytes")
-    windows = singles.mapInArrow(_single_windows(length), f"one long, two long, {_WHO}, start int, sure boolean")
+    singles = open_blocks.where(F.col("many") > SHARD_TERRITORIES)
+    windows = singles.select("doc", "tie", "low", "windows", "bytes").mapInArrow(
+        _single_windows(length), f"one long, two long, {_WHO}, start int, sure boolean"
+    )
     alone = Window.partitionBy("one", "two").orderBy("doc", "tie", "start")
     again = windows.withColumn("nth", F.row_number().over(alone)).where("nth > 1 or sure")
     dealt = again.select("doc", "tie", "start", (F.col("start") + length).alias("end"))
     return covered.union(stored(in_shards, "spans")).union(stored(dealt, "spans"))
 
 
+def _classed(rows: DataFrame, *more: str) -> DataFrame:
+    """Territories or blocks that an equal one precedes (covered), and those that
+    share their key with ``many`` different ones; what is alone is left out."""
+    turn = ["doc", "tie", "low"]
+    by_key = Window.partitionBy("gram").orderBy(*turn)
+    alike = Window.partitionBy("gram", "stretch").orderBy(*turn)
+    # Most keys occur once: they go before anything is gathered.
+    company = F.lag("doc").over(by_key).isNotNull() | F.lead("doc").over(by_key).isNotNull()
+    shared = rows.withColumn("_company", company).where("_company or sure")
+    first = (F.col("nth") == 1).cast("int")
+    return (
+        shared.withColumn("nth", F.row_number().over(alike))
+        .withColumn("many", F.sum(first).over(Window.partitionBy("gram")))
+        .withColumn("covered", F.col("sure") | (F.col("nth") > 1))
+        .where("covered or many > 1")
+        .select("gram", *turn, "windows", "many", "covered", *more)
+    )
+
+
 def _only(documents: DataFrame, wanted: DataFrame, seed: int, hit: bool = True) -> DataFrame:
     """Rows whose doc may be wanted, by a filter of bounded size; with hit=False, the rest."""
     keys = wanted.select(F.col("doc").alias("key")).distinct()
@@ -386,12 +464,14 @@ def remove_repeats(
     it, so equal windows meet under equal grams, wherever they stand. Grams that
     occur once are dropped after one shuffle of their places. The windows of a
     gram's occurrence, its territory, are all repeated if an earlier occurrence
-    has the same bytes around. Territories that differ are cut out of the texts
-    and put into shards, of which suffix arrays by induced sorting and permuted
-    common prefixes show the classes of equal windows. A gram with very many
-    different territories would outgrow a shard; its windows are dealt out one by
-    one, by a 128-bit digest. Stretches of equal bytes are taken as equal when
-    gram and stretch agree in two 64-bit digests.
+    has the same bytes around. Territories that differ are cut into blocks of
+    windows, which meet under the bytes that a block's windows share; equal
+    blocks are settled alike. Blocks that differ at their ends are put into
+    shards, of which suffix arrays by induced sorting and permuted common
+    prefixes show the classes of equal windows. Where very many different blocks
+    share their middle, they would outgrow a shard; their windows are dealt out
+    one by one. Stretches and windows are taken as equal when two 64-bit digests
+    agree.
 
     Null doc_ids come last. Rows with one doc_id are in the order of a digest of
     their texts; rows equal in both are one document, repeated, and treated
