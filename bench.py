@@ -24,7 +24,7 @@ from comanda.operators import olap  # noqa: E402
 from comanda.operators.star import read_star  # noqa: E402
 from comanda.plans import nightly  # noqa: E402
 from comanda.queries import QUERIES  # noqa: E402
-from comanda.session import prepare  # noqa: E402
+from comanda.session import prepare, remove_run_folders  # noqa: E402
 from comanda.sources import retail  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -66,7 +66,6 @@ HEADLINE = (
     "dangling_keys",
     "catalogue_changes",
     "upsert_products",
-    "synthetic_transactions",
 )
 
 
@@ -112,8 +111,7 @@ def main() -> None:
     if not sys.argv[1:]:
         source = retail.read(spark, FOLDER)
         start = time.perf_counter()
-        nightly.load_dimensions(source, "bench_dw")
-        nightly.load_facts(spark, source, "bench_dw")
+        nightly.load_star(spark, source, "bench_dw")
         times["stored_load"] = round(time.perf_counter() - start, 3)
         star = read_star(spark, "bench_dw")
         for name, view in olap.VIEWS.items():
@@ -131,6 +129,7 @@ def main() -> None:
             }
         )
     )
+    remove_run_folders()
     spark.stop()
 
 

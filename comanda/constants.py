@@ -30,7 +30,10 @@ COURIER_KMH = 25.0
 COURIER_PREFIX = "courier-"
 LOCATION_PREFIX = "loc-"
 DELIVERY_NAME_PREFIX = "Entrega "
-DEFAULT_COURIERS = 2
+SMALL_FLEET = 2
+
+# Stops of one delivery shift; the fleet grows with the orders.
+STOPS_PER_COURIER = 40
 
 # Fixed values -- graph query limits.
 MAX_PATH_HOPS = 8

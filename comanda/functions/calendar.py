@@ -52,20 +52,24 @@ def hour_of_key(key: Column) -> Column:
     return (key % 100).cast("int")
 
 
-def calendar_columns(date: Column, hour: Column) -> list[Column]:
-    """The columns of ``dim_tiempo``, all functions of a date and an hour."""
+def calendar_parts(date: Column, hour: Column) -> list[tuple[str, Column]]:
+    """The columns of ``dim_tiempo`` by name, all functions of a date and an hour."""
     weekday = iso_weekday(date)
     return [
-        date_hour_key(date, hour).alias("tiempo_key"),
-        date.alias("fecha"),
-        F.year(date).alias("anio"),
-        F.quarter(date).alias("trimestre"),
-        F.month(date).alias("mes"),
-        month_name(F.month(date)).alias("nombre_mes"),
-        F.weekofyear(date).alias("semana"),
-        F.dayofmonth(date).alias("dia"),
-        weekday.alias("dia_semana"),
-        weekday_name(weekday).alias("nombre_dia"),
-        hour.alias("hora"),
-        weekday.isin(*WEEKEND_DAYS).alias("es_fin_semana"),
+        ("tiempo_key", date_hour_key(date, hour)),
+        ("fecha", date),
+        ("anio", F.year(date)),
+        ("trimestre", F.quarter(date)),
+        ("mes", F.month(date)),
+        ("nombre_mes", month_name(F.month(date))),
+        ("semana", F.weekofyear(date)),
+        ("dia", F.dayofmonth(date)),
+        ("dia_semana", weekday),
+        ("nombre_dia", weekday_name(weekday)),
+        ("hora", hour),
+        ("es_fin_semana", weekday.isin(*WEEKEND_DAYS)),
     ]
+
+
+def calendar_columns(date: Column, hour: Column) -> list[Column]:
+    return [column.alias(name) for name, column in calendar_parts(date, hour)]

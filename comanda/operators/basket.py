@@ -5,85 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comanda.session import broadcast_if_small, materialise
 
-# Distinct products of one order that are paired within one row.
-BLOCK = 64
-
-
-def _pairs_within(baskets: DataFrame) -> DataFrame:
-    """All a < b of each sorted array ``products``."""
-    placed = baskets.select("products", F.posexplode("products").alias("at", "product_a_id"))
-    later = F.slice("products", F.col("at") + 2, F.size("products"))
-    return placed.select("product_a_id", F.explode(later).alias("product_b_id"))
-
-
-def _pairs_across(blocks: DataFrame) -> DataFrame:
-    """Every product of ``here`` with every one of ``there``, ordered."""
-    pairs = blocks.select(F.explode("here").alias("a"), "there").select(
-        "a", F.explode("there").alias("b")
-    )
-    return pairs.select(
-        F.least("a", "b").alias("product_a_id"), F.greatest("a", "b").alias("product_b_id")
-    )
-
-
-def _small_order_pairs(items: DataFrame) -> DataFrame:
-    baskets = items.groupBy("order_id").agg(
-        F.sort_array(F.collect_set("product_id")).alias("products")
-    )
-    return _pairs_within(baskets.where(F.size("products") > 1))
-
-
-def _large_order_pairs(items: DataFrame, large: DataFrame, block: int) -> DataFrame:
-    """Pairs of orders too long for one row.
-
-    The products of such an order are dealt into blocks by hash, and each pair
-    of blocks is a row of its own, so the pairs of one order are made by many
-    tasks. ``large`` holds the orders and their number of lines.
-    """
-    lines = items.join(large, "order_id").select(
-        "order_id", "product_id", F.ceil(F.col("lines") / block).cast("int").alias("blocks")
-    )
-    dealt = lines.distinct().withColumn(
-        "block", F.pmod(F.xxhash64("product_id"), F.col("blocks")).cast("int")
-    )
-    copies = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    low, high = F.least("block", "other"), F.greatest("block", "other")
-    blocks = (
-        copies.groupBy("order_id", low.alias("low"), high.alias("high"))
-        .agg(
-            F.collect_list(F.when(F.col("block") == low, F.col("product_id"))).alias("here"),
-            F.collect_list(F.when(F.col("block") == high, F.col("product_id"))).alias("there"),
-        )
-        .repartition("order_id", "low", "high")
-    )
-    same = blocks.where(F.col("low") == F.col("high"))
-    own = _pairs_within(same.select(F.sort_array("here").alias("products")))
-    return own.unionByName(_pairs_across(blocks.where(F.col("low") < F.col("high"))))
-
-
-def co_purchases(order_items: DataFrame, block: int = BLOCK) -> DataFrame:
+def co_purchases(order_items: DataFrame) -> DataFrame:
     """Number of orders that hold both products of each unordered pair.
 
-    A product listed twice in an order counts once. Lines per order are
-    counted first: orders of up to ``block`` lines are paired in one row each,
-    longer ones block by block. The longer ones are few and written down, as
-    three steps ask for them.
+    A product listed twice in an order counts once. Lines meet themselves on
+    the order, one plan whatever an order's length: the join of a very long
+    order is split over tasks, and its pairs are counted map-side. The number of
+    pairs is the size of the answer.
     """
-    items = order_items.select("order_id", "product_id")
-    lines = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("lines"))
-    large = materialise(lines.where(F.col("lines") > block), "large_orders")
-    if large.isEmpty():
-        pairs = _small_order_pairs(items)
-    else:
-        large = broadcast_if_small(large)
-        small = items.join(large, "order_id", "left_anti")
-        pairs = _small_order_pairs(small).unionByName(_large_order_pairs(items, large, block))
-    counts = pairs.groupBy("product_a_id", "product_b_id").agg(
+    lines = order_items.select("order_id", "product_id").distinct()
+    here = lines.withColumnRenamed("product_id", "product_a_id")
+    there = lines.withColumnRenamed("product_id", "product_b_id")
+    pairs = here.join(there, "order_id").where(F.col("product_a_id") < F.col("product_b_id"))
+    return pairs.groupBy("product_a_id", "product_b_id").agg(
         F.count(F.lit(1)).alias("times_bought_together")
     )
-    return most_frequent_first(counts)
 
 
 def most_frequent_first(co_purchases: DataFrame) -> DataFrame:

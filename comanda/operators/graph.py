@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,11 +19,9 @@ from comanda.functions.keys import one_per_key
 from comanda.functions.numbers import line_amount, money_sum
 from comanda.operators.basket import co_purchases
 from comanda.operators.routing import route_edges
+from comanda.schemas import GRAPH_FILES
 from comanda.sources.tables import Tables
 
-# Recommended names listed in one row.
-LIST_PART = 1000
-
 
 @dataclass(frozen=True)
 class Nodes:
@@ -55,29 +54,33 @@ NODE_KEYS = {
     "locations": ("location_id",),
     "stops": ("courier_id", "stop_order"),
 }
+# Keys of the edges, per edge table.
+EDGE_KEYS = {
+    "placed": ("user_id", "order_id"),
+    "contains": ("order_id", "product_id"),
+    "recommends": ("from_user_id", "to_user_id"),
+    "bought_together": ("product_a_id", "product_b_id"),
+    "has_stop": ("courier_id", "stop_order"),
+    "delivers_order": ("courier_id", "stop_order", "order_id"),
+    "delivers_to": ("order_id", "location_id"),
+    "route_to": ("courier_id", "stop_order", "from_location_id", "to_location_id"),
+}
 
 
 def recommendations(users: DataFrame) -> DataFrame:
-    """(from, to) for every user somebody referred."""
-    return users.where(F.col("referred_by").isNotNull()).select(
-        F.col("referred_by").alias("from_user_id"), F.col("user_id").alias("to_user_id")
-    )
+    """(from, to): the referrer of every referred user, and that user."""
+    ends = {"from_user_id": "referred_by", "to_user_id": "user_id"}
+    return users.selectExpr(*[f"{c} {name}" for name, c in ends.items()]).dropna(subset=["from_user_id"])
 
 
 def delivery_locations(
     routes: DataFrame, depot: tuple[float, float] = (DEPOT_LATITUDE, DEPOT_LONGITUDE)
 ) -> DataFrame:
     """The depot and one place per delivered order."""
-    places = routes.select(
-        "location_id",
-        F.concat(F.lit(DELIVERY_NAME_PREFIX), "order_id").alias("name"),
-        "latitude",
-        "longitude",
-    ).distinct()
-    centre = routes.sparkSession.createDataFrame(
-        [(DEPOT_ID, DEPOT_NAME, *depot)], places.schema
-    )
-    return centre.unionByName(places)
+    kinds = GRAPH_FILES["locations"]
+    named = routes.withColumn("name", F.concat(F.lit(DELIVERY_NAME_PREFIX), "order_id"))
+    stops = named.select(*kinds.fieldNames()).distinct()
+    return routes.sparkSession.createDataFrame([(DEPOT_ID, DEPOT_NAME, *depot)], kinds).unionByName(stops)
 
 
 def upsert(old: DataFrame, new: DataFrame, *keys: str) -> DataFrame:
@@ -94,11 +97,8 @@ def _between_known(edges: DataFrame, ends: dict[str, tuple[DataFrame, str]]) ->
     return edges.select(*columns)
 
 
-def build_nodes(data: Tables, routes: DataFrame) -> Nodes:
+def build_nodes(data: Tables, routes: DataFrame, locations: DataFrame | None = None) -> Nodes:
     """One row per key and label; of repeated keys one row is kept."""
-    users = data.users.select("user_id", "name", "zone")
-    products = data.products.select("product_id", "name", "category", "price")
-    orders = data.orders.select("order_id", "restaurant_id", "created_at", "status", "zone")
     stops = routes.select(
         "courier_id",
         "stop_order",
@@ -107,11 +107,15 @@ def build_nodes(data: Tables, routes: DataFrame) -> Nodes:
         "estimated_minutes",
         "accumulated_km",
     )
+    orders = data.orders.select("order_id", "restaurant_id", "created_at", "status", "zone")
+    places = delivery_locations(routes) if locations is None else locations
     return Nodes(
-        users=one_per_key(users, "user_id"),
-        products=one_per_key(products, "product_id"),
+        users=one_per_key(data.users.select("user_id", "name", "zone"), "user_id"),
+        products=one_per_key(
+            data.products.select("product_id", "name", "category", "price"), "product_id"
+        ),
         orders=one_per_key(orders, "order_id", ["created_at"]),
-        locations=one_per_key(delivery_locations(routes), "location_id"),
+        locations=one_per_key(places, "location_id"),
         couriers=routes.select("courier_id").distinct(),
         stops=one_per_key(stops, ("courier_id", "stop_order")),
     )
@@ -150,62 +154,98 @@ def bought_together(data: Tables) -> DataFrame:
     return co_purchases(known).withColumnRenamed("times_bought_together", "times")
 
 
-def delivers_to(data: Tables, routes: DataFrame) -> DataFrame:
+def delivers_to(data: Tables, routes: DataFrame, locations: DataFrame | None = None) -> DataFrame:
     pairs = routes.select("order_id", "location_id").distinct()
-    return _between_known(pairs, {"order_id": (data.orders, "order_id")})
+    ends = {"order_id": (data.orders, "order_id")}
+    if locations is not None:
+        ends["location_id"] = (locations, "location_id")
+    return _between_known(pairs, ends)
+
+
+def has_stop(data: Tables, routes: DataFrame) -> DataFrame:
+    known = _between_known(routes, {"order_id": (data.orders, "order_id")})
+    return known.select("courier_id", "stop_order").distinct()
 
 
-def build_edges(data: Tables, routes: DataFrame) -> Edges:
+def delivers_order(data: Tables, routes: DataFrame) -> DataFrame:
+    known = _between_known(routes, {"order_id": (data.orders, "order_id")})
+    return known.select("courier_id", "stop_order", "order_id").distinct()
+
+
+def build_edges(
+    data: Tables,
+    routes: DataFrame,
+    locations: DataFrame | None = None,
+    legs: DataFrame | None = None,
+    pairs: DataFrame | None = None,
+) -> Edges:
     """Edges between known nodes, one per key.
 
-    Routes name the locations they lead to, so those ends always exist.
+    Own routes name the places they lead to. Tables that come from elsewhere
+    (``locations``, ``legs``, counted ``pairs``) are matched at all their ends.
     """
-    known_stops = _between_known(routes, {"order_id": (data.orders, "order_id")})
+    route_to = route_edges(routes) if legs is None else legs
+    if locations is not None:
+        ends = {f"{side}_location_id": (locations, "location_id") for side in ("from", "to")}
+        route_to = _between_known(route_to, ends)
+    if pairs is None:
+        together = bought_together(data)
+    else:
+        ends = {f"product_{side}_id": (data.products, "product_id") for side in "ab"}
+        together = _between_known(pairs.withColumnRenamed("times_bought_together", "times"), ends)
     return Edges(
         placed=placed(data),
         contains=contains(data),
         recommends=recommends(data),
-        bought_together=bought_together(data),
-        has_stop=known_stops.select("courier_id", "stop_order").distinct(),
-        delivers_order=known_stops.select("courier_id", "stop_order", "order_id").distinct(),
-        delivers_to=delivers_to(data, routes),
-        route_to=route_edges(routes),
+        bought_together=one_per_key(together, ("product_a_id", "product_b_id")),
+        has_stop=has_stop(data, routes),
+        delivers_order=delivers_order(data, routes),
+        delivers_to=delivers_to(data, routes, locations),
+        route_to=one_per_key(route_to, EDGE_KEYS["route_to"]),
+    )
+
+
+def from_files(files: Mapping[str, DataFrame]) -> tuple[Nodes, Edges]:
+    """The graph of the nine exchange files, with the ends of every edge matched."""
+    users = files["users"]
+    referred = files["recommendations"]
+    data = Tables(
+        users=users.withColumn("referred_by", F.lit(None).cast("string")),
+        products=files["products"],
+        orders=files["orders"],
+        order_items=files["order_items"],
     )
+    routes, places = files["route_assignments"], files["locations"]
+    nodes = build_nodes(data, routes, places)
+    edges = build_edges(data, routes, places, files["route_edges"], files["co_purchases"])
+    ends = {f"{side}_user_id": (users, "user_id") for side in ("from", "to")}
+    return nodes, replace(edges, recommends=_between_known(referred.distinct(), ends))
 
 
 # Questions ----------------------------------------------------------------
 
 
-def influential_users(data: Tables, part_size: int = LIST_PART) -> DataFrame:
-    """Users by the number of users they referred, with the names of those.
+def influential_users(data: Tables) -> DataFrame:
+    """Who referred whom, with the number of users each referred.
 
-    The names come in parts of about ``part_size``, sorted within a part, so
-    that no list grows with the popularity of a user; nearly everybody has
-    part 0 only.
+    One row per referrer and referred user, at every size.
     """
     edges = recommends(data)
     users = data.users.select("user_id", "name")
     counts = edges.groupBy("from_user_id").agg(F.count(F.lit(1)).alias("usuarios_recomendados"))
-    referred = edges.join(
-        users.select(F.col("user_id").alias("to_user_id"), F.col("name").alias("recomendado")),
-        "to_user_id",
-    )
-    parts = F.ceil(F.col("usuarios_recomendados") / part_size)
-    deal = F.conv(F.substring(F.md5(F.col("to_user_id")), 1, 8), 16, 10).cast("bigint")
-    dealt = referred.join(counts, "from_user_id").withColumn("parte", deal % parts)
-    listed = dealt.groupBy("from_user_id", "usuarios_recomendados", "parte").agg(
-        F.sort_array(F.collect_list("recomendado")).alias("recomendados")
-    )
+    who = counts.join(users.withColumnsRenamed({"user_id": "from_user_id", "name": "usuario"}), "from_user_id")
+    whom = users.withColumnsRenamed({"user_id": "to_user_id", "name": "recomendado"})
     return (
-        listed.join(users.withColumnRenamed("user_id", "from_user_id"), "from_user_id")
+        edges.join(who, "from_user_id")
+        .join(whom, "to_user_id")
         .select(
             F.col("from_user_id").alias("usuario_id"),
-            F.col("name").alias("usuario"),
+            "usuario",
             "usuarios_recomendados",
-            "parte",
-            "recomendados",
+            F.col("to_user_id").alias("recomendado_id"),
+            "recomendado",
         )
-        .orderBy(F.desc("usuarios_recomendados"), "usuario", "usuario_id", "parte")
+        .orderBy(F.desc("usuarios_recomendados"), "usuario", "usuario_id", "recomendado", "recomendado_id")
     )
 
 
@@ -343,11 +383,11 @@ def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def uniqueness_violations(tables: dict[str, DataFrame]) -> DataFrame:
-    """Repeated keys of all node tables, as (label, key, rows)."""
+    """Repeated keys of all node tables, as (label, key as a JSON list, rows)."""
     found = [
         duplicate_keys(df, *NODE_KEYS[label]).select(
             F.lit(label).alias("etiqueta"),
-            F.concat_ws("/", *NODE_KEYS[label]).alias("clave"),
+            F.to_json(F.array(*[F.col(c).cast("string") for c in NODE_KEYS[label]])).alias("clave"),
             "filas",
         )
         for label, df in tables.items()

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +12,6 @@ from comanda.constants import SOLD_IN_STAR
 from comanda.functions.numbers import growth_percent, money_avg, money_sum, percent_of
 from comanda.operators.ranking import rank_within
 from comanda.operators.star import Star
-from comanda.session import materialise
 
 MONTH = ("anio", "mes", "nombre_mes")
 
@@ -28,8 +26,9 @@ def _with(star: Star, fact: DataFrame, dim: str) -> DataFrame:
     if dim == "tiempo":
         return star.with_calendar(fact)
     table = getattr(star, f"dim_{dim}")
-    clashes = [c for c in table.columns if c in fact.columns and c != f"{dim}_key"]
-    return fact.join(table.drop(*clashes), f"{dim}_key")
+    key = star.key(dim)
+    clashes = [c for c in table.columns if c in fact.columns and c != key]
+    return fact.join(table.drop(*clashes), key)
 
 
 def _sold_by_time(star: Star, sold: Sequence[str]) -> DataFrame:
@@ -50,26 +49,36 @@ def revenue_by_month_category(star: Star, sold: Sequence[str] = SOLD_IN_STAR) ->
     )
 
 
-def user_activity_by_restaurant(star: Star, sold: Sequence[str] = SOLD_IN_STAR) -> DataFrame:
-    """Distinct users and orders per restaurant name, address and month.
+def _activity(star: Star, lines: DataFrame, *time: str) -> DataFrame:
+    """Distinct users and orders per restaurant name, address and ``time``.
 
-    Lines are first summed per order, so the two distinct counts expand the
-    orders, not the lines.
+    An order has one user and one restaurant, so counting orders per user and
+    then users and orders is exact, without a distinct over either. Lines are
+    summed per order before restaurants are named.
     """
-    group = ("restaurante", "zona", *MONTH)
-    per_order = (
-        _with(star, _sold_by_time(star, sold), "restaurante")
-        .withColumnsRenamed({"nombre": "restaurante", "direccion": "zona"})
-        .groupBy(*group, "usuario_key", "pedido_id")
-        .agg(F.sum("monto_total").alias("monto"))
-    )
-    return per_order.groupBy(*group).agg(
-        F.countDistinct("usuario_key").alias("usuarios_unicos"),
-        F.countDistinct("pedido_id").alias("total_pedidos"),
+    user, place = star.key("usuario"), star.key("restaurante")
+    per_order = lines.groupBy(*time, place, user, "pedido_id").agg(F.sum("monto_total").alias("monto"))
+    per_user = per_order.groupBy(*time, place, user).agg(
+        F.count(F.lit(1)).alias("pedidos"), F.sum("monto").alias("monto")
+    )
+    named = _with(star, per_user, "restaurante").withColumnsRenamed(
+        {"nombre": "restaurante", "direccion": "zona"}
+    )
+    group = ("restaurante", "zona", *time)
+    # Restaurants of one name and address are one.
+    once = named.groupBy(*group, user).agg(F.sum("pedidos").alias("pedidos"), F.sum("monto").alias("monto"))
+    return once.groupBy(*group).agg(
+        F.count(user).alias("usuarios_unicos"),
+        F.sum("pedidos").alias("total_pedidos"),
         money_sum("monto").alias("ingresos"),
     )
 
 
+def user_activity_by_restaurant(star: Star, sold: Sequence[str] = SOLD_IN_STAR) -> DataFrame:
+    """Distinct users and orders per restaurant name, address and month."""
+    return _activity(star, _sold_by_time(star, sold), *MONTH)
+
+
 def order_status_mix(star: Star) -> DataFrame:
     """Orders, amount and share per status within each month; all statuses."""
     month = Window.partitionBy("anio", "mes")
@@ -87,18 +96,15 @@ def order_status_mix(star: Star) -> DataFrame:
     )
 
 
-def consumption_ranking(
-    star: Star, sold: Sequence[str] = SOLD_IN_STAR, write_sums: bool = True
-) -> DataFrame:
+def consumption_ranking(star: Star, sold: Sequence[str] = SOLD_IN_STAR) -> DataFrame:
     """Products ranked by units within month and category.
 
-    Lines are summed per product key before the product join, then per name:
-    equal names in a category are one product. The ranks need the sums twice,
-    so these are written once; a view that must stay lazy does without.
+    Lines are summed per product before products are named, then per name:
+    equal names in a category are one product.
     """
     per_key = (
         _sold_by_time(star, sold)
-        .groupBy(*MONTH, "producto_key")
+        .groupBy(*MONTH, star.key("producto"))
         .agg(F.sum("cantidad").alias("unidades"), F.sum("monto_total").alias("monto"))
     )
     sales = (
@@ -109,8 +115,6 @@ def consumption_ranking(
             money_sum("monto").alias("ingresos"),
         )
     )
-    if write_sums:
-        sales = materialise(sales, "product_sales")
     return rank_within(
         sales, ("anio", "mes", "categoria"), "unidades_vendidas", "ranking_en_categoria"
     )
@@ -217,19 +221,15 @@ def card_unique_users(star: Star, sold: Sequence[str] = SOLD_IN_STAR) -> DataFra
 
 
 def exact_unique_users(star: Star, sold: Sequence[str] = SOLD_IN_STAR) -> DataFrame:
-    group = ("restaurante", "zona")
-    per_order = (
-        _with(star, _items(star, sold).where(F.col("tiempo_key").isNotNull()), "restaurante")
-        .withColumnsRenamed({"nombre": "restaurante", "direccion": "zona"})
-        .groupBy(*group, "usuario_key", "pedido_id")
-        .agg(F.sum("monto_total").alias("monto"))
-    )
+    lines = _items(star, sold).where(F.col("tiempo_key").isNotNull())
     return (
-        per_order.groupBy(*group)
-        .agg(
-            F.countDistinct("usuario_key").alias("usuarios_unicos_total"),
-            F.countDistinct("pedido_id").alias("pedidos_total"),
-            money_sum("monto").alias("ingresos_total"),
+        _activity(star, lines)
+        .withColumnsRenamed(
+            {
+                "usuarios_unicos": "usuarios_unicos_total",
+                "total_pedidos": "pedidos_total",
+                "ingresos": "ingresos_total",
+            }
         )
         .orderBy(F.desc("pedidos_total"), "restaurante", "zona")
     )
@@ -268,7 +268,7 @@ def card_status_by_month(star: Star) -> DataFrame:
 
 def revenue_per_restaurant(star: Star) -> DataFrame:
     """All statuses; restaurants of one name are one."""
-    per_key = _items(star).groupBy("restaurante_key").agg(F.sum("monto_total").alias("monto"))
+    per_key = _items(star).groupBy(star.key("restaurante")).agg(F.sum("monto_total").alias("monto"))
     return (
         _with(star, per_key, "restaurante")
         .groupBy("nombre")
@@ -297,14 +297,14 @@ def best_sellers(star: Star, sold: Sequence[str] = SOLD_IN_STAR, k: int = 10) ->
     """The k products with most units; ties by product id."""
     sales = (
         _items(star, sold)
-        .groupBy("producto_key")
+        .groupBy(star.key("producto"))
         .agg(
             F.sum("cantidad").alias("unidades_vendidas"),
             money_sum("monto_total").alias("ingresos"),
         )
     )
     return (
-        sales.join(star.dim_producto, "producto_key")
+        sales.join(star.dim_producto, star.key("producto"))
         .select(
             "producto_id",
             F.col("nombre").alias("producto"),
@@ -345,13 +345,13 @@ def activity_per_user(star: Star) -> DataFrame:
     """Orders and spending per known user; summed before the user join."""
     per_user = (
         _items(star)
-        .groupBy("usuario_key")
+        .groupBy(star.key("usuario"))
         .agg(
             F.countDistinct("pedido_id").alias("total_pedidos"),
             money_sum("monto_total").alias("ingresos"),
         )
     )
-    return per_user.join(star.dim_usuario, "usuario_key").select(
+    return per_user.join(star.dim_usuario, star.key("usuario")).select(
         "usuario_id", F.col("nombre").alias("usuario"), "total_pedidos", "ingresos"
     )
 
@@ -370,11 +370,11 @@ def daily_orders(star: Star) -> DataFrame:
 
 def reservations_by_restaurant(star: Star) -> DataFrame:
     """Counted per key first, then named."""
-    per_key = star.fact_reservaciones.groupBy("restaurante_key").agg(
+    per_key = star.fact_reservaciones.groupBy(star.key("restaurante")).agg(
         F.count(F.lit(1)).alias("_reservaciones"), F.sum("tamano_grupo").alias("_personas")
     )
     return (
-        per_key.join(star.dim_restaurante, "restaurante_key")
+        per_key.join(star.dim_restaurante, star.key("restaurante"))
         .groupBy(F.col("nombre").alias("restaurante"), F.col("direccion").alias("zona"))
         .agg(
             F.sum("_reservaciones").alias("reservaciones"), F.sum("_personas").alias("personas")
@@ -406,7 +406,7 @@ VIEWS = {
     "olap_ingresos_por_mes_categoria": revenue_by_month_category,
     "olap_actividad_usuarios_por_restaurante": user_activity_by_restaurant,
     "olap_estado_pedidos": order_status_mix,
-    "olap_tendencias_consumo": partial(consumption_ranking, write_sums=False),
+    "olap_tendencias_consumo": consumption_ranking,
     "olap_horarios_pico": peak_hours_weekday,
     "olap_crecimiento_mensual": monthly_growth,
 }

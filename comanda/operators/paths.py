@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from comanda.constants import DEPOT_ID, MAX_PATH_HOPS, SAMPLE_PATH_HOPS
 
+KM, MINUTES = "decimal(28,3)", "decimal(28,2)"
+
 
 def _first_hop(edges: DataFrame, start: str) -> DataFrame:
     leg = edges.where(F.col("from_id") == start)
@@ -36,8 +38,8 @@ def _next_hop(paths: DataFrame, edges: DataFrame) -> DataFrame:
         F.concat("nodes", F.array("to_id")).alias("nodes"),
         F.concat("used", F.array("edge_id")).alias("used"),
         (F.col("hops") + 1).alias("hops"),
-        (F.col("km") + F.col("_km")).alias("km"),
-        (F.col("minutes") + F.col("_min")).alias("minutes"),
+        (F.col("km") + F.col("_km")).cast(KM).alias("km"),
+        (F.col("minutes") + F.col("_min")).cast(MINUTES).alias("minutes"),
     )
 
 
@@ -60,13 +62,20 @@ def _best_paths(
 
 
 def _legs(edges: DataFrame) -> DataFrame:
-    """Route edges as (edge_id, from_id, to_id, km, minutes); no measure is 0."""
+    """Route edges as (edge_id, from_id, to_id, km, minutes); no measure is 0.
+
+    Measures are exact decimals at the places that legs are rounded to, so a
+    path's length does not depend on the order of its sum. The k best can only
+    be found hop by hop where no leg is negative: such a leg raises.
+    """
+    km = F.coalesce(F.col("distance_from_previous_km"), F.lit(0.0))
+    checked = F.when(km < 0, F.raise_error(F.lit("a leg has a negative distance"))).otherwise(km)
     return edges.select(
         F.struct("courier_id", "stop_order", "from_location_id", "to_location_id").alias("edge_id"),
         F.col("from_location_id").alias("from_id"),
         F.col("to_location_id").alias("to_id"),
-        F.coalesce("distance_from_previous_km", F.lit(0.0)).alias("km"),
-        F.coalesce("estimated_minutes", F.lit(0.0)).alias("minutes"),
+        checked.cast(KM).alias("km"),
+        F.coalesce("estimated_minutes", F.lit(0.0)).cast(MINUTES).alias("minutes"),
     )
 
 
@@ -102,8 +111,8 @@ def nearest_destinations(
         .select(
             F.element_at("ruta", -1).alias("destino"),
             "ruta",
-            F.round("km", 3).alias("distancia_total_km"),
-            F.round("minutes", 2).alias("tiempo_total_min"),
+            F.col("km").cast("double").alias("distancia_total_km"),
+            F.col("minutes").cast("double").alias("tiempo_total_min"),
         )
     )
 

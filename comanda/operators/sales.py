@@ -17,8 +17,12 @@ from comanda.sources.tables import Tables
 def order_lines(data: Tables) -> DataFrame:
     """One row per item with its order.
 
-    Orders without items and items without an order drop out.
+    Orders without items and items without an order drop out. Lines that were
+    written down are taken as they are.
     """
+    written = getattr(data, "order_lines", None)
+    if written is not None:
+        return written
     created = F.col("created_at")
     return data.order_items.join(data.orders, "order_id").select(
         "order_id",

@@ -2,49 +2,58 @@
 
 from __future__ import annotations
 
-from functools import cached_property, partial
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from comanda.functions.calendar import calendar_columns, date_of_key, hour_key, hour_of_key
-from comanda.functions.keys import one_per_key, surrogate_key
+from comanda.functions.calendar import (
+    calendar_columns,
+    calendar_parts,
+    date_of_key,
+    hour_key,
+    hour_of_key,
+    month_name,
+)
+from comanda.functions.keys import distinct_keys, one_per_key, surrogate_key
 from comanda.functions.numbers import line_amount
-from comanda.schemas import MONEY, WAREHOUSE
-from comanda.session import broadcast_if_small
+from comanda.schemas import MONEY, PARTITION, WAREHOUSE
 from comanda.sources.tables import LazyTables, Tables, read_table
 
 
 class Star(LazyTables):
     """The four dimensions and two facts.
 
-    ``keyed`` says that facts hold computed keys, not looked-up ones: their
-    time key is then a member's whenever it is not NULL.
+    ``natural`` says that facts hold the natural ids of their members as well,
+    by which a composed star joins: its hash keys need not be told apart then.
     """
 
     NAMES = tuple(WAREHOUSE)
 
-    def __init__(self, keyed: bool = False, **tables):
+    def __init__(self, natural: bool = False, **tables):
         super().__init__(**tables)
-        self.keyed = keyed
+        self.natural = natural
 
-    @cached_property
-    def calendar(self) -> DataFrame:
-        """``dim_tiempo`` for joins: broadcast once its row count is checked."""
-        return broadcast_if_small(self.dim_tiempo)
+    def key(self, dim: str) -> str:
+        """The column by which facts name a member of a dimension."""
+        return f"{dim}_id" if self.natural else f"{dim}_key"
 
     def with_calendar(self, fact: DataFrame) -> DataFrame:
         """The fact's rows of known hours, with the calendar's columns.
 
-        These are functions of the key, so a composed star need not gather
-        its hours from the sources first; a stored one joins its table.
+        These are functions of the time key, which a fact only has if its hour
+        is known, so no table is joined. Year and month come from the folder a
+        stored fact lies in: a filter on them reads no other month.
         """
-        if not self.keyed:
-            return fact.join(self.calendar, "tiempo_key")
         key = F.col("tiempo_key")
-        columns = calendar_columns(date_of_key(key), hour_of_key(key))
-        return fact.where(key.isNotNull()).select("*", *columns[1:])
+        columns = {c: column for c, column in calendar_parts(date_of_key(key), hour_of_key(key))}
+        del columns["tiempo_key"]
+        if PARTITION in fact.columns:
+            columns["anio"] = F.expr(f"cast({PARTITION} div 100 as int)")
+            columns["mes"] = F.expr(f"cast({PARTITION} % 100 as int)")
+            columns["nombre_mes"] = month_name(columns["mes"])
+        return fact.where(key.isNotNull()).select("*", *[c.alias(n) for n, c in columns.items()])
 
 
 def dim_tiempo(orders: DataFrame, reservations: DataFrame) -> DataFrame:
@@ -65,7 +74,8 @@ def dim_tiempo(orders: DataFrame, reservations: DataFrame) -> DataFrame:
 
 
 def _keyed(df: DataFrame, natural: str, key: str, strategy: str) -> DataFrame:
-    return df.select(surrogate_key(F.col(natural), strategy).alias(key), *df.columns)
+    keyed = df.select(surrogate_key(F.col(natural), strategy).alias(key), *df.columns)
+    return distinct_keys(keyed, key, natural)
 
 
 def _members(source: DataFrame, *columns: str) -> DataFrame:
@@ -114,35 +124,28 @@ def dim_producto(products: DataFrame, key_strategy: str = "xxhash64") -> DataFra
     return _keyed(dim, "producto_id", "producto_key", key_strategy)
 
 
-def _conform(
-    fact: DataFrame, dims: Star | None, names: dict[str, str], key_strategy: str
-) -> tuple[DataFrame, dict[str, Column]]:
-    """Foreign keys of a fact.
+def _conform(df: DataFrame, dims: Star | None, name: str, source: str, strategy: str) -> DataFrame:
+    """Put a member's key and id for the source's reference, NULL if unknown.
 
-    With dimensions, a key is the member's own and NULL for an unknown member.
-    Without, it is computed from the natural key; an inner join with the
-    dimension then drops the same rows.
+    Without dimensions both come from the reference itself; an inner join with
+    the dimension then drops the same rows.
     """
-    keys = {}
-    for name, source_column in names.items():
-        key = f"{name}_key"
-        if dims is None:
-            keys[key] = surrogate_key(F.col(source_column), key_strategy)
-            continue
-        dim = getattr(dims, f"dim_{name}")
-        member = dim.select(
-            F.col(f"{name}_id").alias(f"_{name}_id"), F.col(key).alias(f"_{key}")
-        )
-        own_id = fact[source_column].cast("string")
-        fact = fact.join(member, own_id == member[f"_{name}_id"], "left")
-        keys[key] = F.col(f"_{key}")
+    own = F.col(source).cast("string")
     if dims is None:
-        keys["tiempo_key"] = F.col("tiempo_key")
-    else:
-        hours = dims.calendar.select(F.col("tiempo_key").alias("_tiempo_key"))
-        fact = fact.join(hours, fact.tiempo_key == hours["_tiempo_key"], "left")
-        keys["tiempo_key"] = F.col("_tiempo_key")
-    return fact, keys
+        found = {f"{name}_key": surrogate_key(own, strategy), f"{name}_id": own}
+        return df.withColumns(found).drop(source)
+    member = getattr(dims, f"dim_{name}").select(F.col(f"{name}_id"), F.col(f"{name}_key"))
+    return df.join(member, own == member[f"{name}_id"], "left").drop(source)
+
+
+def _known_hours(df: DataFrame, dims: Star | None) -> DataFrame:
+    """NULL the time keys of hours that the calendar lacks."""
+    if dims is None:
+        return df
+    hours = dims.dim_tiempo.select(F.col("tiempo_key").alias("_hour"))
+    return df.join(hours, F.col("tiempo_key") == F.col("_hour"), "left").withColumn(
+        "tiempo_key", F.col("_hour")
+    ).drop("_hour")
 
 
 def fact_items_pedido(
@@ -150,11 +153,14 @@ def fact_items_pedido(
     order_items: DataFrame,
     dims: Star | None = None,
     key_strategy: str = "xxhash64",
+    natural: bool = False,
 ) -> DataFrame:
     """One row per order item, with the attributes of its order.
 
-    Orders and items meet on the keys as the source types them; ids become
-    text afterwards.
+    User, restaurant and hour are an order's, so they are looked up there; the
+    lines are shuffled for their order and their product only. Orders and items
+    meet on the keys as the source types them; ids become text afterwards.
+    ``natural`` adds the members' ids.
     """
     own, other = orders.schema["id"].dataType, order_items.schema["order_id"].dataType
     key_type = own if own == other else T.StringType()
@@ -166,6 +172,9 @@ def fact_items_pedido(
         F.col("pickup").try_cast("boolean").alias("es_para_llevar"),
         hour_key(F.col("created_at").try_cast("timestamp")).alias("tiempo_key"),
     )
+    heads = _conform(heads, dims, "usuario", "user_id", key_strategy)
+    heads = _conform(heads, dims, "restaurante", "restaurant_id", key_strategy)
+    heads = _known_hours(heads, dims)
     lines = order_items.select(
         F.col("id").cast("string").alias("item_id"),
         F.col("order_id").cast(key_type).alias("order_id"),
@@ -173,19 +182,21 @@ def fact_items_pedido(
         F.col("quantity").try_cast("int").alias("cantidad"),
         F.col("price").try_cast(MONEY).alias("precio_unitario"),
     )
-    fact, keys = _conform(
-        lines.join(heads, "order_id"),
-        dims,
-        {"usuario": "user_id", "restaurante": "restaurant_id", "producto": "product_id"},
-        key_strategy,
+    fact = _conform(lines.join(heads, "order_id"), dims, "producto", "product_id", key_strategy)
+    fact = fact.withColumns(
+        {
+            "pedido_id": F.col("order_id").cast("string"),
+            "monto_total": line_amount(F.col("cantidad"), F.col("precio_unitario")),
+        }
     )
-    keys["pedido_id"] = F.col("order_id").cast("string")
-    keys["monto_total"] = line_amount(F.col("cantidad"), F.col("precio_unitario"))
-    return _shaped(fact, "fact_items_pedido", keys)
+    return _shaped(fact, "fact_items_pedido", natural, ("usuario", "restaurante", "producto"))
 
 
 def fact_reservaciones(
-    reservations: DataFrame, dims: Star | None = None, key_strategy: str = "xxhash64"
+    reservations: DataFrame,
+    dims: Star | None = None,
+    key_strategy: str = "xxhash64",
+    natural: bool = False,
 ) -> DataFrame:
     """One row per reservation, placed at the hour it is for."""
     booked = reservations.select(
@@ -196,15 +207,16 @@ def fact_reservaciones(
         F.col("status").cast("string").alias("estado"),
         hour_key(F.col("date").try_cast("timestamp")).alias("tiempo_key"),
     )
-    fact, keys = _conform(
-        booked, dims, {"usuario": "user_id", "restaurante": "restaurant_id"}, key_strategy
+    fact = _conform(booked, dims, "usuario", "user_id", key_strategy)
+    fact = _conform(fact, dims, "restaurante", "restaurant_id", key_strategy)
+    return _shaped(
+        _known_hours(fact, dims), "fact_reservaciones", natural, ("usuario", "restaurante")
     )
-    return _shaped(fact, "fact_reservaciones", keys)
 
 
-def _shaped(fact: DataFrame, table: str, computed: dict[str, Column]) -> DataFrame:
-    columns = WAREHOUSE[table].fieldNames()
-    return fact.select(*[computed.get(name, F.col(name)).alias(name) for name in columns])
+def _shaped(fact: DataFrame, table: str, natural: bool, dims: tuple[str, ...]) -> DataFrame:
+    ids = [f"{name}_id" for name in dims] if natural else []
+    return fact.select(*WAREHOUSE[table].fieldNames(), *ids)
 
 
 def build_star(
@@ -217,16 +229,16 @@ def build_star(
     is composed when first asked for.
     """
     star = Star(
-        keyed=not resolve,
+        natural=not resolve,
         dim_tiempo=lambda: dim_tiempo(source.orders, source.reservations),
         dim_usuario=lambda: dim_usuario(source.users, key_strategy),
         dim_restaurante=lambda: dim_restaurante(source.restaurants, key_strategy),
         dim_producto=lambda: dim_producto(source.products, key_strategy),
         fact_items_pedido=lambda: fact_items_pedido(
-            source.orders, source.order_items, star if resolve else None, key_strategy
+            source.orders, source.order_items, star if resolve else None, key_strategy, natural=not resolve
         ),
         fact_reservaciones=lambda: fact_reservaciones(
-            source.reservations, star if resolve else None, key_strategy
+            source.reservations, star if resolve else None, key_strategy, natural=not resolve
         ),
     )
     return star

@@ -17,10 +17,10 @@ from comanda.constants import (
     EARTH_RADIUS_KM,
     LOCATION_PREFIX,
     MONTH_NAMES,
+    ROUTABLE_STATUSES,
+    STOPS_PER_COURIER,
     WEEKDAY_NAMES,
 )
-from comanda.operators.graph import LIST_PART
-from comanda.queries import STOPS_PER_COURIER
 
 MONTHS_SQL = "[" + ", ".join(f"'{m}'" for m in MONTH_NAMES) + "]"
 WEEKDAYS_SQL = "[" + ", ".join(f"'{d}'" for d in WEEKDAY_NAMES) + "]"
@@ -28,22 +28,26 @@ WEEKDAYS_SQL = "[" + ", ".join(f"'{d}'" for d in WEEKDAY_NAMES) + "]"
 SOURCES = """
 src_users AS (
   SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS role, n_name AS zone,
+         CAST(DATE '1992-01-01' + CAST(c_custkey %% 2000 AS INTEGER) AS TIMESTAMP) AS created_at,
          CASE WHEN c_custkey % 2 = 1 THEN CAST(c_custkey // 3 AS VARCHAR) END AS referred_by
   FROM customer JOIN nation ON c_nationkey = n_nationkey),
 src_restaurants AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, n_name AS address,
-         CAST(NULL AS INTEGER) AS capacity
+         CAST(s_suppkey %% 40 + 10 AS INTEGER) AS capacity
   FROM supplier JOIN nation ON s_nationkey = n_nationkey),
 src_products AS (
   SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, p_type AS category,
          CAST(p_retailprice AS DECIMAL(18,2)) AS price, p_size > 5 AS available,
-         CAST(p_partkey % 10 AS VARCHAR) AS restaurant_id
+         CAST(p_partkey %% (SELECT COUNT(*) FROM supplier) AS VARCHAR) AS restaurant_id
   FROM part),
 src_orders AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id,
-         CAST((o_orderkey * 7 + o_custkey) % 10 AS VARCHAR) AS restaurant_id,
-         CASE o_orderstatus WHEN 'F' THEN 'confirmed' WHEN 'O' THEN 'pending'
-              WHEN 'P' THEN 'cancelled' ELSE 'unknown' END AS status,
+         CAST((o_orderkey * 7 + o_custkey) %% (SELECT COUNT(*) FROM supplier) AS VARCHAR) AS restaurant_id,
+         CASE WHEN o_orderkey %% 10 = 0 THEN o_orderkey END AS reservation_id,
+         CASE WHEN o_orderstatus = 'F' THEN 'confirmed' WHEN o_orderstatus = 'P' THEN 'cancelled'
+              WHEN o_orderstatus = 'O' AND o_orderpriority = '4-NOT SPECIFIED' THEN 'in_progress'
+              WHEN o_orderstatus = 'O' AND o_orderpriority = '5-LOW' THEN 'completed'
+              WHEN o_orderstatus = 'O' THEN 'pending' ELSE 'unknown' END AS status,
          o_orderpriority IN ('1-URGENT', '2-HIGH') AS pickup,
          o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS created_at,
          CAST(o_totalprice AS DECIMAL(18,2)) AS total,
@@ -57,7 +61,7 @@ src_items AS (
   FROM lineitem),
 src_reservations AS (
   SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS user_id,
-         CAST(user_id % 10 AS VARCHAR) AS restaurant_id, ts AS date,
+         CAST(user_id %% (SELECT COUNT(*) FROM supplier) AS VARCHAR) AS restaurant_id, ts AS date,
          CAST(1 + CAST(json_extract_string(props, '$.k') AS INTEGER) % 8 AS INTEGER) AS party_size,
          event_type AS status
   FROM events)
@@ -215,7 +219,7 @@ QUEUE = f"""
 routable AS (
   SELECT id AS order_id, user_id, latitude, longitude,
          row_number() OVER (ORDER BY created_at, id) - 1 AS ordinal
-  FROM src_orders WHERE status = 'pending'),
+  FROM src_orders WHERE status IN {ROUTABLE_STATUSES}),
 stops AS (
   SELECT *, ordinal % (SELECT CAST(ceil(COUNT(*) / {STOPS_PER_COURIER}.0) AS BIGINT) FROM routable)
             AS courier
@@ -285,12 +289,14 @@ def _paths(max_hops: int) -> str:
     walk AS (
       SELECT to_location_id AS here, [from_location_id, to_location_id] AS nodes,
              [(courier_id, stop_order)] AS used, 1 AS hops,
-             distance_from_previous_km AS km, estimated_minutes AS minutes
+             CAST(distance_from_previous_km AS DECIMAL(18,3)) AS km,
+             CAST(estimated_minutes AS DECIMAL(18,2)) AS minutes
       FROM edges WHERE from_location_id = '{DEPOT_ID}'
       UNION ALL
       SELECT e.to_location_id, list_append(w.nodes, e.to_location_id),
              list_append(w.used, (e.courier_id, e.stop_order)), w.hops + 1,
-             w.km + e.distance_from_previous_km, w.minutes + e.estimated_minutes
+             CAST(w.km + CAST(e.distance_from_previous_km AS DECIMAL(18,3)) AS DECIMAL(18,3)),
+             CAST(w.minutes + CAST(e.estimated_minutes AS DECIMAL(18,2)) AS DECIMAL(18,2))
       FROM walk w JOIN edges e ON e.from_location_id = w.here
       WHERE w.hops < {max_hops} AND NOT list_contains(w.used, (e.courier_id, e.stop_order)))
     """
@@ -326,7 +332,7 @@ ORACLES: dict[str, str] = {
         """
     ),
     "dim_usuario": with_sources(
-        "SELECT id AS usuario_id, name AS nombre, role AS rol, CAST(NULL AS DATE) AS fecha_registro"
+        "SELECT id AS usuario_id, name AS nombre, role AS rol, CAST(created_at AS DATE) AS fecha_registro"
         " FROM src_users"
     ),
     "dim_restaurante": with_sources(
@@ -508,7 +514,8 @@ ORACLES: dict[str, str] = {
         """
         SELECT pedido_id AS order_id, lines.user_id, lines.restaurant_id, lines.product_id,
                p.name AS product_name, p.category, cantidad AS quantity, precio AS unit_price,
-               monto AS line_total, CAST(ts AS DATE) AS order_date,
+               monto AS line_total, strftime(ts, '%Y-%m-%d %H:%M:%S') AS created_at,
+               CAST(ts AS DATE) AS order_date,
                CAST(hour(ts) AS INTEGER) AS order_hour, strftime(ts, '%Y-%m') AS order_month,
                estado AS status, 'Sin zona' AS zone, o.latitude AS delivery_latitude,
                o.longitude AS delivery_longitude
@@ -562,16 +569,11 @@ ORACLES: dict[str, str] = {
         CO_PURCHASES,
     ),
     "influential_users": with_sources(
-        f"""
-        SELECT from_user_id AS usuario_id, u.name AS usuario, usuarios_recomendados,
-               CAST(('0x' || substr(md5(to_user_id), 1, 8))::BIGINT
-                    % CAST(ceil(usuarios_recomendados / {LIST_PART}.0) AS BIGINT)
-                    AS BIGINT) AS parte,
-               string_agg(t.name, '|' ORDER BY t.name) AS recomendados
-        FROM (SELECT *, COUNT(*) OVER (PARTITION BY from_user_id) AS usuarios_recomendados
-              FROM recommends) e
-        JOIN src_users u ON u.id = from_user_id JOIN src_users t ON t.id = to_user_id
-        GROUP BY 1, 2, 3, 4
+        """
+        SELECT from_user_id AS usuario_id, u.name AS usuario,
+               COUNT(*) OVER (PARTITION BY from_user_id) AS usuarios_recomendados,
+               to_user_id AS recomendado_id, t.name AS recomendado
+        FROM recommends JOIN src_users u ON u.id = from_user_id JOIN src_users t ON t.id = to_user_id
         """,
         RECOMMENDS,
     ),
@@ -649,7 +651,7 @@ ORACLES: dict[str, str] = {
     "shortest_paths_from_depot": on_routes(
         """
         SELECT list_last(names) AS destino, array_to_string(names, ' > ') AS ruta,
-               round(km, 3) AS distancia_total_km, round(minutes, 2) AS tiempo_total_min
+               CAST(km AS DOUBLE) AS distancia_total_km, CAST(minutes AS DOUBLE) AS tiempo_total_min
         FROM (SELECT km, minutes, hops, here,
                      (SELECT list(p.name ORDER BY pos)
                       FROM (SELECT unnest(best.nodes) AS node,
@@ -676,32 +678,81 @@ ORACLES: dict[str, str] = {
         SELECT 'fact_items_pedido' AS tabla, 'tiempo_key' AS llave,
                COUNT(*) FILTER (ts IS NULL) AS sin_miembro FROM lines
         UNION ALL SELECT 'fact_items_pedido', 'usuario_key', COUNT(*) FROM lines
-          WHERE user_id IS NULL OR user_id NOT IN (SELECT id FROM src_users)
+          WHERE user_id IS NULL OR user_id NOT IN (SELECT id FROM known_users)
         UNION ALL SELECT 'fact_items_pedido', 'restaurante_key', COUNT(*) FROM lines
-          WHERE restaurant_id IS NULL OR restaurant_id NOT IN (SELECT id FROM src_restaurants)
+          WHERE restaurant_id IS NULL OR restaurant_id NOT IN (SELECT id FROM known_restaurants)
         UNION ALL SELECT 'fact_items_pedido', 'producto_key', COUNT(*) FROM lines
-          WHERE product_id IS NULL OR product_id NOT IN (SELECT id FROM src_products)
+          WHERE product_id IS NULL OR product_id NOT IN (SELECT id FROM known_products)
         UNION ALL SELECT 'fact_reservaciones', 'tiempo_key', COUNT(*) FILTER (date IS NULL)
           FROM src_reservations
         UNION ALL SELECT 'fact_reservaciones', 'usuario_key', COUNT(*) FROM src_reservations
-          WHERE user_id IS NULL OR user_id NOT IN (SELECT id FROM src_users)
+          WHERE user_id IS NULL OR user_id NOT IN (SELECT id FROM known_users)
         UNION ALL SELECT 'fact_reservaciones', 'restaurante_key', COUNT(*) FROM src_reservations
-          WHERE restaurant_id IS NULL OR restaurant_id NOT IN (SELECT id FROM src_restaurants)
-        """
+          WHERE restaurant_id IS NULL OR restaurant_id NOT IN (SELECT id FROM known_restaurants)
+        """,
+        "known_users AS (SELECT id FROM src_users WHERE CAST(id AS BIGINT) % 13 <> 1)",
+        "known_restaurants AS (SELECT id FROM src_restaurants WHERE CAST(id AS BIGINT) % 7 <> 1)",
+        "known_products AS (SELECT id FROM src_products WHERE CAST(id AS BIGINT) % 11 <> 1)",
     ),
     "repeated_lines": with_sources(
         "SELECT order_id, product_id, COUNT(*) AS filas FROM src_items GROUP BY 1, 2"
         " HAVING COUNT(*) > 1"
     ),
-    "uniqueness_violations": with_sources(
+    "uniqueness_violations": on_routes(
         """
-        SELECT 'users' AS etiqueta, id AS clave, COUNT(*) AS filas FROM src_users
-        GROUP BY id HAVING COUNT(*) > 1
-        UNION ALL SELECT 'products', id, COUNT(*) FROM src_products
-        GROUP BY id HAVING COUNT(*) > 1
-        UNION ALL SELECT 'orders', id, COUNT(*) FROM src_orders GROUP BY id HAVING COUNT(*) > 1
+        SELECT 'users' AS etiqueta, '["' || id || '"]' AS clave, CAST(2 AS BIGINT) AS filas
+        FROM src_users WHERE CAST(id AS BIGINT) % 5 = 0
+        UNION ALL SELECT 'products', '["' || id || '"]', 2 FROM src_products
+        WHERE CAST(id AS BIGINT) % 7 = 0
+        UNION ALL SELECT 'orders', '["' || id || '"]', 2 FROM src_orders
+        WHERE CAST(id AS BIGINT) % 11 = 0
+        UNION ALL SELECT 'locations', '["' || location_id || '"]', 2 FROM places
+        WHERE CAST(nullif(regexp_extract(location_id, '[0-9]+$'), '') AS BIGINT) % 13 = 0
+        UNION ALL SELECT DISTINCT 'couriers', '["' || courier_id || '"]', 2 FROM routes
+        WHERE CAST(regexp_extract(courier_id, '[0-9]+$') AS BIGINT) % 3 = 0
+        UNION ALL SELECT 'stops', '["' || courier_id || '","' || stop_order || '"]', 2 FROM routes
+        WHERE CAST(regexp_extract(courier_id, '[0-9]+$') AS BIGINT) % 4 = 0
         """
     ),
+    "catalogue_fingerprint": with_sources(
+        """
+        SELECT COUNT(*) AS filas,
+               CAST(coalesce(SUM(CAST(('0x' || substr(h, 1, 15))::BIGINT AS HUGEINT)), 0) AS VARCHAR) AS suma,
+               CAST(coalesce(SUM(CAST(('0x' || substr(h, 16, 15))::BIGINT AS HUGEINT)), 0) AS VARCHAR) AS suma_2
+        FROM (SELECT md5(string_agg(CAST(length(v) AS VARCHAR) || ':' || v, '' ORDER BY i)) AS h
+              FROM (SELECT id, unnest([1, 2, 3, 4, 5]) AS i,
+                           unnest([id, coalesce(name, '\\N'), coalesce(category, '\\N'),
+                                   coalesce(CAST(price AS VARCHAR), '\\N'),
+                                   coalesce(CAST(available AS VARCHAR), '\\N')]) AS v
+                    FROM src_products) parts
+              GROUP BY id) digests
+        """
+    ),
+    "graph_node_users": with_sources("SELECT id AS user_id, name, zone FROM src_users"),
+    "graph_node_products": with_sources(
+        "SELECT id AS product_id, name, category, price FROM src_products"
+    ),
+    "graph_node_orders": with_sources(
+        "SELECT id AS order_id, restaurant_id, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at,"
+        " status, 'Sin zona' AS zone FROM src_orders"
+    ),
+    "graph_node_locations": on_routes("SELECT * FROM places"),
+    "graph_node_couriers": on_routes("SELECT DISTINCT courier_id FROM routes"),
+    "graph_node_stops": on_routes(
+        "SELECT courier_id, stop_order, zone, distance_from_previous_km, estimated_minutes,"
+        " accumulated_km FROM routes"
+    ),
+    "graph_edge_bought_together": with_sources(
+        """
+        SELECT product_a_id, product_b_id, times
+        FROM pairs JOIN src_products a ON a.id = product_a_id JOIN src_products b ON b.id = product_b_id
+        """,
+        CO_PURCHASES,
+    ),
+    "graph_edge_has_stop": on_routes("SELECT courier_id, stop_order FROM routes"),
+    "graph_edge_delivers_order": on_routes("SELECT courier_id, stop_order, order_id FROM routes"),
+    "graph_edge_delivers_to": on_routes("SELECT order_id, location_id FROM routes"),
+    "graph_edge_route_to": on_routes("SELECT * FROM edges"),
     "catalogue_changes": with_sources(
         """
         SELECT coalesce(o.id, n.id) AS id,
@@ -730,7 +781,7 @@ ORACLES: dict[str, str] = {
         """
         SELECT CAST(o.id AS BIGINT) AS order_id, CAST(o.user_id AS BIGINT) AS user_id,
                CAST(o.restaurant_id AS BIGINT) AS restaurant_id, o.total,
-               o.status AS order_status,
+               o.status AS order_status, o.reservation_id,
                o.pickup, strftime(o.created_at, '%Y-%m-%d %H:%M:%S') AS order_created_at,
                i.id AS item_id, CAST(i.product_id AS BIGINT) AS product_id, i.quantity, i.price AS item_price
         FROM src_orders o JOIN src_items i ON i.order_id = o.id
@@ -740,12 +791,13 @@ ORACLES: dict[str, str] = {
         """
         SELECT CAST(id AS BIGINT) AS id, CAST(restaurant_id AS BIGINT) AS restaurant_id,
                CAST(user_id AS BIGINT) AS user_id, strftime(date, '%Y-%m-%d %H:%M:%S') AS date,
-               party_size, status
+               party_size, status, strftime(date, '%Y-%m-%d %H:%M:%S') AS created_at
         FROM src_reservations
         """
     ),
     "extract_users": with_sources(
-        "SELECT CAST(id AS BIGINT) AS id, name, role FROM src_users"
+        "SELECT CAST(id AS BIGINT) AS id, name, role,"
+        " strftime(created_at, '%Y-%m-%d %H:%M:%S') AS fecha_registro FROM src_users"
     ),
     "extract_restaurants": with_sources(
         "SELECT CAST(id AS BIGINT) AS id, name, address, capacity FROM src_restaurants"

@@ -8,22 +8,24 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from comanda.constants import DEFAULT_COURIERS, DEPOT_LATITUDE, DEPOT_LONGITUDE
+from comanda.constants import DEPOT_LATITUDE, DEPOT_LONGITUDE, STOPS_PER_COURIER
 from comanda.operators import sales
 from comanda.operators.basket import co_purchases, most_frequent_first
 from comanda.operators.routing import route_assignments
-from comanda.session import materialise, prepare
+from comanda.plans.arguments import add_source, read_source
+from comanda.session import materialise, prepare, remove_run_folders
 from comanda.sinks.files import export_graph, write_results
 from comanda.sinks.warehouse import write_tables
-from comanda.sources import sample
 from comanda.sources.normalise import normalise
-from comanda.sources.tables import Tables, collection_loader, jdbc_loader, load_source
+from comanda.sources.tables import Tables
 
 
 @dataclass(frozen=True)
 class AnalysisOptions:
-    couriers: int | None = DEFAULT_COURIERS
-    stops_per_courier: int | None = None
+    """``couriers`` asks for a fixed fleet instead of one that grows with the orders."""
+
+    couriers: int | None = None
+    stops_per_courier: int = STOPS_PER_COURIER
     depot: tuple[float, float] = (DEPOT_LATITUDE, DEPOT_LONGITUDE)
     database: str | None = None
 
@@ -49,22 +51,26 @@ def run(
 ) -> None:
     """Write every analysis as CSV, the graph files, and, if asked, tables.
 
-    Routes, product pairs and a fact that goes to two places are computed once.
+    Orders and items are joined once and written down, as are routes, product
+    pairs, and results that go to two places.
     """
     prepare(spark)
-    data = normalise(source)
+    shaped = normalise(source)
+    lines = materialise(sales.order_lines(shaped), "order_lines")
+    data = Tables(**dict(shaped.items()), order_lines=lines)
     results = analyses(data)
     pairs = materialise(results["co_purchases"], "co_purchases")
-    results["co_purchases"] = most_frequent_first(pairs)
+    results["co_purchases"] = pairs
     if options.database:
-        results["fact_sales"] = materialise(results["fact_sales"], "fact_sales")
+        results = {n: pairs if df is pairs else materialise(df, n) for n, df in results.items()}
     routes = materialise(
         route_assignments(
             data.orders, options.couriers, options.stops_per_courier, options.depot
         ),
         "routes",
     )
-    write_results({**results, "route_assignments": routes}, results_folder)
+    shown = {**results, "co_purchases": most_frequent_first(pairs), "route_assignments": routes}
+    write_results(shown, results_folder)
     export_graph(data, pairs, routes, graph_folder, options.depot)
     if options.database:
         write_tables({**results, "route_assignments": routes}, options.database)
@@ -79,46 +85,24 @@ def register_views(data: Tables) -> None:
 def main(arguments: Sequence[str] | None = None) -> None:
     """Run the job from a command line, e.g. through ``spark-submit``."""
     parser = argparse.ArgumentParser(description="Sales analyses, routes and graph files")
-    parser.add_argument("--source", choices=["sample", "postgres", "mongo"], default="sample")
-    parser.add_argument("--fallback", choices=["sample"], help="read this if the source fails")
+    add_source(parser)
     parser.add_argument("--results", required=True, help="folder of the result CSVs")
     parser.add_argument("--graph", required=True, help="folder of the graph exchange CSVs")
     parser.add_argument("--database", help="also write tables there")
-    parser.add_argument("--couriers", type=int, default=DEFAULT_COURIERS)
-    parser.add_argument("--stops-per-courier", type=int)
+    parser.add_argument("--couriers", type=int, help="a fixed fleet; its tours grow")
+    parser.add_argument("--stops-per-courier", type=int, default=STOPS_PER_COURIER)
     parser.add_argument("--center-lat", type=float, default=DEPOT_LATITUDE)
     parser.add_argument("--center-lon", type=float, default=DEPOT_LONGITUDE)
-    parser.add_argument("--jdbc-url")
-    parser.add_argument("--jdbc-partitions", type=int, default=8)
-    parser.add_argument("--mongo-uri")
-    parser.add_argument("--mongo-database")
-    parser.add_argument(
-        "--option", action="append", default=[], metavar="NAME=VALUE", help="a reader option"
-    )
     args = parser.parse_args(arguments)
-
-    options = dict(option.split("=", 1) for option in args.option)
-    mongo = {"connection.uri": args.mongo_uri, "database": args.mongo_database}
-    loaders = {
-        "sample": sample.load,
-        "postgres": jdbc_loader(
-            args.jdbc_url, {"driver": "org.postgresql.Driver", **options}, args.jdbc_partitions
-        ),
-        "mongo": collection_loader({k: v for k, v in mongo.items() if v} | options),
-    }
     spark = SparkSession.builder.appName("comanda analysis").getOrCreate()
-    run(
-        spark,
-        load_source(spark, args.source, loaders, args.fallback),
-        args.results,
-        args.graph,
-        AnalysisOptions(
-            couriers=max(args.couriers, 1),
-            stops_per_courier=args.stops_per_courier,
-            depot=(args.center_lat, args.center_lon),
-            database=args.database,
-        ),
+    options = AnalysisOptions(
+        couriers=args.couriers,
+        stops_per_courier=args.stops_per_courier,
+        depot=(args.center_lat, args.center_lon),
+        database=args.database,
     )
+    run(spark, read_source(spark, args), args.results, args.graph, options)
+    remove_run_folders()
 
 
 if __name__ == "__main__":

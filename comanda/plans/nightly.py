@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import argparse
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from comanda.operators import star as star_operators
 from comanda.operators.quality import CATALOGUE, catalogue_changes, fingerprint, require_rows
-from comanda.operators.star import read_star
+from comanda.operators.star import Star
+from comanda.plans.arguments import add_source, read_source
 from comanda.schemas import DATABASE
-from comanda.session import prepare
+from comanda.session import materialise, prepare, remove_run_folders
 from comanda.sinks.files import publish_changes
-from comanda.sinks.warehouse import write_table
-from comanda.sources.tables import Tables
+from comanda.sinks.warehouse import Version, publish, write_tables, write_version
+from comanda.sources.tables import Tables, read_table
 
 SNAPSHOT = "catalogo_publicado"
 PRINT = "huella_catalogo"
@@ -23,19 +27,19 @@ PRINT = "huella_catalogo"
 @dataclass(frozen=True)
 class LoadReport:
     rows: dict[str, int]
-    published: bool
+    published: str | None
 
 
-def _write_all(tables: dict[str, DataFrame], database: str) -> dict[str, int]:
+def _write_all(tables: dict[str, DataFrame], database: str) -> dict[str, Version]:
     """Write tables that do not depend on each other side by side."""
     with ThreadPoolExecutor(len(tables)) as pool:
         running = {
-            name: pool.submit(write_table, df, name, database) for name, df in tables.items()
+            name: pool.submit(write_version, df, name, database) for name, df in tables.items()
         }
         return {name: future.result() for name, future in running.items()}
 
 
-def load_dimensions(source: Tables, database: str) -> dict[str, int]:
+def write_dimensions(source: Tables, database: str) -> dict[str, Version]:
     dims = {
         "dim_tiempo": star_operators.dim_tiempo(source.orders, source.reservations),
         "dim_usuario": star_operators.dim_usuario(source.users),
@@ -45,36 +49,47 @@ def load_dimensions(source: Tables, database: str) -> dict[str, int]:
     return _write_all(dims, database)
 
 
-def load_facts(spark: SparkSession, source: Tables, database: str) -> dict[str, int]:
-    """Both facts against the dimensions just stored."""
-    dims = read_star(spark, database)
+def write_facts(
+    spark: SparkSession, source: Tables, dims: dict[str, Version], database: str
+) -> dict[str, Version]:
+    """Both facts against the dimensions just written."""
+    star = Star(**{n: partial(read_table, spark, v.table, database) for n, v in dims.items()})
     facts = {
         "fact_items_pedido": star_operators.fact_items_pedido(
-            source.orders, source.order_items, dims
+            source.orders, source.order_items, star
         ),
-        "fact_reservaciones": star_operators.fact_reservaciones(source.reservations, dims),
+        "fact_reservaciones": star_operators.fact_reservaciones(source.reservations, star),
     }
     return _write_all(facts, database)
 
 
+def load_star(spark: SparkSession, source: Tables, database: str = DATABASE) -> dict[str, int]:
+    """Write all six tables, then show them: dimensions and facts are of one load."""
+    versions = write_dimensions(source, database)
+    versions |= write_facts(spark, source, versions, database)
+    publish(spark, versions, database)
+    return {name: version.rows for name, version in versions.items()}
+
+
 def publish_catalogue(
     spark: SparkSession, products: DataFrame, database: str, path: str
-) -> bool:
+) -> str | None:
     """Publish what changed in the catalogue since it was last published.
 
-    The new state is remembered only after the changes are out, so a failed
-    publication is repeated by the next load.
+    The catalogue is read once and written down: what is compared, published
+    and remembered is that copy, whatever the source does meanwhile. It is
+    remembered only after the changes are out, so a failed publication is
+    repeated by the next load. Returns the publication's folder, or None.
     """
-    catalogue = products.select(*CATALOGUE)
+    catalogue = materialise(products.select(*CATALOGUE), "catalogue")
     now = fingerprint(catalogue)
     known = spark.catalog.tableExists(f"{database}.{PRINT}")
     if known and now.exceptAll(spark.table(f"{database}.{PRINT}")).isEmpty():
-        return False
+        return None
     before = spark.table(f"{database}.{SNAPSHOT}") if known else catalogue.limit(0)
-    publish_changes(catalogue_changes(before, catalogue), path)
-    write_table(catalogue, SNAPSHOT, database)
-    write_table(now, PRINT, database)
-    return True
+    folder = publish_changes(catalogue_changes(before, catalogue), path)
+    write_tables({SNAPSHOT: catalogue, PRINT: now}, database)
+    return folder
 
 
 def run(
@@ -83,8 +98,22 @@ def run(
     """Run the load in order; any failing step stops it."""
     prepare(spark)
     require_rows({"orders": source.orders})
-    rows = load_dimensions(source, database)
-    rows |= load_facts(spark, source, database)
-    published = publish_catalogue(spark, source.products, database, changes_path)
-    return LoadReport(rows, published)
+    rows = load_star(spark, source, database)
+    return LoadReport(rows, publish_catalogue(spark, source.products, database, changes_path))
+
+
+def main(arguments: Sequence[str] | None = None) -> None:
+    """Load the star from a command line, e.g. through ``spark-submit``."""
+    parser = argparse.ArgumentParser(description="Load the star, publish catalogue changes")
+    add_source(parser)
+    parser.add_argument("--changes", required=True, help="folder of the catalogue publications")
+    parser.add_argument("--database", default=DATABASE)
+    args = parser.parse_args(arguments)
+    spark = SparkSession.builder.appName("comanda load").getOrCreate()
+    report = run(spark, read_source(spark, args), args.changes, args.database)
+    print(report)
+    remove_run_folders()
+
 
+if __name__ == "__main__":
+    main()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,39 +11,47 @@ from comanda.constants import SOLD_IN_STAR
 from comanda.operators import basket, graph, olap, paths, quality, routing, sales, star
 from comanda.operators.star import Star
 from comanda.session import materialise, prepare
-from comanda.sources import extracts, retail, synthetic
+from comanda.sources import extracts, retail
 from comanda.sources.normalise import normalise
 from comanda.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Stops of one delivery shift; the fleet grows with the orders.
-STOPS_PER_COURIER = 40
 
+def _source(spark: SparkSession, folder: str, statuses: Sequence[str] | None = None) -> Tables:
+    return retail.read(prepare(spark), folder, statuses)
 
-def _source(spark: SparkSession, folder: str) -> Tables:
-    return retail.read(prepare(spark), folder)
 
+def _on_star(
+    view: Callable[[Star], DataFrame], statuses: Sequence[str] | None = None
+) -> Query:
+    """Views join the dimensions themselves, on natural ids.
 
-def _on_star(view: Callable[[Star], DataFrame]) -> Query:
-    """Views join the dimensions themselves, so facts keep computed keys."""
+    ``statuses`` are the orders that the view keeps, where it does not keep all.
+    """
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return view(star.build_star(_source(spark, folder), resolve=False))
+        return view(star.build_star(_source(spark, folder, statuses), resolve=False))
 
     return query
 
 
+def _on_sold(view: Callable[[Star], DataFrame]) -> Query:
+    return _on_star(view, SOLD_IN_STAR)
+
+
 def _on_source(build: Callable[[Tables], DataFrame]) -> Query:
     return lambda spark, folder: build(_source(spark, folder))
 
 
-def _on_data(build: Callable[[Tables], DataFrame]) -> Query:
-    return lambda spark, folder: build(normalise(_source(spark, folder)))
+def _on_data(
+    build: Callable[[Tables], DataFrame], statuses: Sequence[str] | None = None
+) -> Query:
+    return lambda spark, folder: build(normalise(_source(spark, folder, statuses)))
 
 
 def _routes(data: Tables) -> DataFrame:
-    return routing.route_assignments(data.orders, stops_per_courier=STOPS_PER_COURIER)
+    return routing.route_assignments(data.orders)
 
 
 def _on_routes(build: Callable[[Tables, DataFrame], DataFrame]) -> Query:
@@ -57,27 +65,16 @@ def _on_routes(build: Callable[[Tables, DataFrame], DataFrame]) -> Query:
 
 
 def _fact_items(source: Tables) -> DataFrame:
-    """The items fact by natural keys, read back through its dimensions."""
-    built = star.build_star(source)
-    fact = built.fact_items_pedido
-    for name in ("usuario", "restaurante", "producto"):
-        dim = getattr(built, f"dim_{name}").select(f"{name}_key", f"{name}_id")
-        fact = fact.join(dim, f"{name}_key", "left")
-    return fact.select(
-        "tiempo_key", "usuario_id", "restaurante_id", "producto_id", "pedido_id", "item_id",
-        "cantidad", "precio_unitario", "monto_total", "estado_pedido", "es_para_llevar",
+    """The items fact with the ids of its known members."""
+    fact = star.fact_items_pedido(
+        source.orders, source.order_items, star.build_star(source), natural=True
     )
+    return fact.drop("usuario_key", "restaurante_key", "producto_key")
 
 
 def _fact_reservations(source: Tables) -> DataFrame:
-    built = star.build_star(source)
-    fact = built.fact_reservaciones
-    for name in ("usuario", "restaurante"):
-        dim = getattr(built, f"dim_{name}").select(f"{name}_key", f"{name}_id")
-        fact = fact.join(dim, f"{name}_key", "left")
-    return fact.select(
-        "tiempo_key", "usuario_id", "restaurante_id", "reservacion_id", "tamano_grupo", "estado"
-    )
+    fact = star.fact_reservaciones(source.reservations, star.build_star(source), natural=True)
+    return fact.drop("usuario_key", "restaurante_key")
 
 
 def _table_counts(source: Tables) -> DataFrame:
@@ -116,23 +113,55 @@ def _duplicates(data: Tables) -> DataFrame:
     return graph.duplicate_keys(data.order_items, "order_id", "product_id")
 
 
+def _with_strangers(source: Tables) -> Tables:
+    """The tables without some members that orders and reservations name."""
+
+    def without(df: DataFrame, every: int) -> DataFrame:
+        return df.where(F.col("id") % every != 1)
+
+    return Tables(
+        users=lambda: without(source.users, 13),
+        restaurants=lambda: without(source.restaurants, 7),
+        products=lambda: without(source.products, 11),
+        orders=lambda: source.orders,
+        order_items=lambda: source.order_items,
+        reservations=lambda: source.reservations,
+    )
+
+
 def _node_violations(data: Tables, routes: DataFrame) -> DataFrame:
-    places = graph.delivery_locations(routes)
+    """Keys repeated in node tables of which some rows come twice."""
+
+    def twice(df: DataFrame, key: str, every: int) -> DataFrame:
+        number = F.regexp_extract(F.col(key), "[0-9]+$", 0).try_cast("bigint")
+        return df.unionByName(df.where(number % every == 0))
+
+    couriers = routes.select("courier_id").distinct()
+    stops = routes.select("courier_id", "stop_order")
     return graph.uniqueness_violations(
         {
-            "users": data.users,
-            "products": data.products,
-            "orders": data.orders,
-            "locations": places,
-            "couriers": routes.select("courier_id").distinct(),
-            "stops": routes,
+            "users": twice(data.users, "user_id", 5),
+            "products": twice(data.products, "product_id", 7),
+            "orders": twice(data.orders, "order_id", 11),
+            "locations": twice(graph.delivery_locations(routes), "location_id", 13),
+            "couriers": twice(couriers, "courier_id", 3),
+            "stops": twice(stops, "courier_id", 4),
         }
     )
 
 
-def _influential(data: Tables) -> DataFrame:
-    found = graph.influential_users(data)
-    return found.withColumn("recomendados", F.concat_ws("|", "recomendados"))
+def _node(name: str) -> Callable[[Tables, DataFrame], DataFrame]:
+    def build(data: Tables, routes: DataFrame) -> DataFrame:
+        found = getattr(graph.build_nodes(data, routes), name)
+        if "created_at" in found.columns:
+            found = found.withColumn("created_at", _text("created_at"))
+        return found
+
+    return build
+
+
+def _edge(name: str) -> Callable[[Tables, DataFrame], DataFrame]:
+    return lambda data, routes: getattr(graph.build_edges(data, routes), name)
 
 
 def _nearest(data: Tables, routes: DataFrame) -> DataFrame:
@@ -145,46 +174,17 @@ def _sample_paths(data: Tables, routes: DataFrame) -> DataFrame:
     return paths.sample_paths(materialise(routing.route_edges(routes), "route_edges"))
 
 
-def _extract(name: str) -> Query:
-    def query(spark: SparkSession, folder: str) -> DataFrame:
-        return extracts.extract(spark, _source(spark, folder), name)
-
-    return query
-
-
-def _orders_with_items(spark: SparkSession, folder: str) -> DataFrame:
-    found = extracts.extract(spark, _source(spark, folder), "orders_with_items")
-    at = F.date_format("order_created_at", "yyyy-MM-dd HH:mm:ss")
-    return found.withColumn("order_created_at", at)
+def _text(column: str):
+    """A time as text, which has the same form everywhere."""
+    return F.date_format(column, "yyyy-MM-dd HH:mm:ss")
 
 
-def _reservation_rows(spark: SparkSession, folder: str) -> DataFrame:
-    found = extracts.extract(spark, _source(spark, folder), "reservations")
-    day = F.date_format("date", "yyyy-MM-dd HH:mm:ss")
-    return found.withColumn("date", day).drop("created_at")
-
+def _extract(name: str, *times: str) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        found = extracts.extract(_source(spark, folder), name)
+        return found.withColumns({c: _text(c) for c in times})
 
-def _synthetic(spark: SparkSession, folder: str) -> DataFrame:
-    """As many generated orders and reservations as the tables hold."""
-    source = _source(spark, folder)
-    made = synthetic.generate(
-        spark,
-        source.users,
-        source.restaurants,
-        source.products,
-        n_orders=source.orders.count(),
-        n_reservations=source.reservations.count(),
-    )
-    per_status = made.orders.groupBy("status").agg(F.count(F.lit(1)).alias("orders"))
-    units = (
-        made.order_items.join(made.orders.select(F.col("id").alias("order_id"), "status"), "order_id")
-        .groupBy("status")
-        .agg(F.count(F.lit(1)).alias("items"), F.sum("quantity").alias("units"))
-    )
-    booked = made.reservations.groupBy("status").agg(
-        F.count(F.lit(1)).alias("reservations"), F.sum("party_size").alias("people")
-    )
-    return per_status.join(units, "status", "left").join(booked, "status", "full")
+    return query
 
 
 QUERIES: dict[str, Query] = {
@@ -198,29 +198,29 @@ QUERIES: dict[str, Query] = {
     "fact_items_pedido": _on_source(_fact_items),
     "fact_reservaciones": _on_source(_fact_reservations),
     # Views over the star.
-    "revenue_by_month_category": _on_star(olap.revenue_by_month_category),
-    "user_activity_by_restaurant": _on_star(olap.user_activity_by_restaurant),
+    "revenue_by_month_category": _on_sold(olap.revenue_by_month_category),
+    "user_activity_by_restaurant": _on_sold(olap.user_activity_by_restaurant),
     "order_status_mix": _on_star(olap.order_status_mix),
-    "consumption_ranking": _on_star(olap.consumption_ranking),
-    "top_product_per_category": _on_star(olap.top_product_per_category),
-    "peak_hours_weekday": _on_star(olap.peak_hours_weekday),
-    "busiest_slots": _on_star(olap.busiest_slots),
-    "monthly_growth": _on_star(olap.monthly_growth),
+    "consumption_ranking": _on_sold(olap.consumption_ranking),
+    "top_product_per_category": _on_sold(olap.top_product_per_category),
+    "peak_hours_weekday": _on_sold(olap.peak_hours_weekday),
+    "busiest_slots": _on_sold(olap.busiest_slots),
+    "monthly_growth": _on_sold(olap.monthly_growth),
     # Dashboard cards.
-    "card_revenue_by_month_category": _on_star(olap.card_revenue_by_month_category),
-    "card_average_ticket": _on_star(olap.card_average_ticket),
-    "card_unique_users": _on_star(olap.card_unique_users),
-    "card_monthly_activity": _on_star(olap.card_monthly_activity),
+    "card_revenue_by_month_category": _on_sold(olap.card_revenue_by_month_category),
+    "card_average_ticket": _on_sold(olap.card_average_ticket),
+    "card_unique_users": _on_sold(olap.card_unique_users),
+    "card_monthly_activity": _on_sold(olap.card_monthly_activity),
     "card_orders_per_status": _on_star(olap.card_orders_per_status),
     "card_status_by_month": _on_star(olap.card_status_by_month),
-    "exact_average_ticket": _on_star(olap.exact_average_ticket),
-    "exact_unique_users": _on_star(olap.exact_unique_users),
+    "exact_average_ticket": _on_sold(olap.exact_average_ticket),
+    "exact_unique_users": _on_sold(olap.exact_unique_users),
     # Ad-hoc questions.
     "revenue_per_restaurant": _on_star(olap.revenue_per_restaurant),
     "orders_per_month": _on_star(olap.orders_per_month),
-    "total_revenue": _on_star(olap.total_revenue),
-    "best_sellers": _on_star(olap.best_sellers),
-    "sales_by_hour": _on_star(olap.sales_by_hour),
+    "total_revenue": _on_sold(olap.total_revenue),
+    "best_sellers": _on_sold(olap.best_sellers),
+    "sales_by_hour": _on_sold(olap.sales_by_hour),
     "pickup_vs_delivery": _on_star(olap.pickup_vs_delivery),
     "activity_per_user": _on_star(olap.activity_per_user),
     "daily_orders": _on_star(olap.daily_orders),
@@ -228,23 +228,32 @@ QUERIES: dict[str, Query] = {
     "reservations_by_group_size": _on_star(olap.reservations_by_group_size),
     "reservations_by_status": _on_star(olap.reservations_by_status),
     # Flat sales fact.
-    "fact_sales": _on_data(lambda d: sales.fact_sales(d).drop("created_at")),
-    "daily_trend": _on_data(lambda d: sales.consumption_trends(d, SOLD_IN_STAR)),
-    "peak_hours": _on_data(lambda d: sales.peak_hours(d, SOLD_IN_STAR)),
-    "monthly_growth_flat": _on_data(lambda d: sales.monthly_growth(d, SOLD_IN_STAR)),
+    "fact_sales": _on_data(
+        lambda d: sales.fact_sales(d).withColumn("created_at", _text("created_at"))
+    ),
+    "daily_trend": _on_data(lambda d: sales.consumption_trends(d, SOLD_IN_STAR), SOLD_IN_STAR),
+    "peak_hours": _on_data(lambda d: sales.peak_hours(d, SOLD_IN_STAR), SOLD_IN_STAR),
+    "monthly_growth_flat": _on_data(lambda d: sales.monthly_growth(d, SOLD_IN_STAR), SOLD_IN_STAR),
     "reservations_summary": _on_data(lambda d: sales.reservations_summary(d.reservations)),
     # Products bought together.
-    "co_purchases": _on_data(lambda d: basket.co_purchases(d.order_items)),
+    "co_purchases": _on_data(
+        lambda d: basket.most_frequent_first(basket.co_purchases(d.order_items))
+    ),
     "top_bought_together": _on_data(
         lambda d: basket.top_bought_together(d.order_items, d.products)
     ),
     # Graph.
-    "influential_users": _on_data(_influential),
+    "influential_users": _on_data(graph.influential_users),
     "active_users": _on_data(graph.active_users),
     "category_units_graph": _on_data(graph.category_units),
     "graph_placed": _on_data(graph.placed),
     "graph_contains": _on_data(graph.contains),
     "graph_recommends": _on_data(graph.recommends),
+    **{f"graph_node_{name}": _on_routes(_node(name)) for name in graph.NODE_KEYS},
+    **{
+        f"graph_edge_{name}": _on_routes(_edge(name))
+        for name in ("bought_together", "has_stop", "delivers_order", "delivers_to", "route_to")
+    },
     "graph_sample_purchases": _on_data(graph.sample_purchases),
     "graph_sample_bought_together": _on_data(graph.sample_bought_together),
     "graph_sample_recommendations": _on_data(graph.sample_recommendations),
@@ -256,9 +265,7 @@ QUERIES: dict[str, Query] = {
     "graph_sample_paths": _on_routes(_sample_paths),
     # Routes.
     "courier_queue": _on_data(
-        lambda d: routing.assign_couriers(
-            d.orders, stops_per_courier=STOPS_PER_COURIER
-        ).select("order_id", "ordinal", "courier")
+        lambda d: routing.assign_couriers(d.orders).select("order_id", "ordinal", "courier")
     ),
     "route_assignments": _on_data(_routes),
     "route_edges": _on_data(lambda d: routing.route_edges(_routes(d))),
@@ -272,7 +279,9 @@ QUERIES: dict[str, Query] = {
     "shortest_paths_from_depot": _on_routes(_nearest),
     # Quality, differences, extracts.
     "row_counts": _on_source(_table_counts),
-    "dangling_keys": _on_source(lambda s: quality.dangling_keys(star.build_star(s))),
+    "dangling_keys": _on_source(
+        lambda s: quality.dangling_keys(star.build_star(_with_strangers(s)))
+    ),
     "repeated_lines": _on_data(_duplicates),
     "uniqueness_violations": _on_routes(_node_violations),
     "catalogue_changes": _on_source(
@@ -280,10 +289,9 @@ QUERIES: dict[str, Query] = {
     ),
     "catalogue_fingerprint": _on_source(lambda s: quality.fingerprint(s.products)),
     "upsert_products": _on_source(_upsert),
-    "extract_orders_with_items": _orders_with_items,
-    "extract_reservations": _reservation_rows,
-    "extract_users": lambda spark, folder: _extract("users")(spark, folder).drop("fecha_registro"),
+    "extract_orders_with_items": _extract("orders_with_items", "order_created_at"),
+    "extract_reservations": _extract("reservations", "date", "created_at"),
+    "extract_users": _extract("users", "fecha_registro"),
     "extract_restaurants": _extract("restaurants"),
     "extract_products": _extract("products"),
-    "synthetic_transactions": _synthetic,
 }

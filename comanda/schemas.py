@@ -9,6 +9,9 @@ MONEY_SUM = T.DecimalType(28, 2)
 
 DATABASE = "comanda_dw"
 
+# Facts are stored by month of the time key: tiempo_key without day and hour.
+PARTITION = "anio_mes"
+
 
 def _table(*columns: tuple) -> T.StructType:
     fields = []

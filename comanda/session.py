@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Hours and dates are cut in UTC; skewed joins are split even when the
 # operator above could have reused the join's partitioning.
@@ -17,9 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-# Rows up to which a derived table is broadcast after being counted: about
-# 40 years of calendar hours, some 30 MB in memory.
-BROADCAST_ROWS = 360_000
+# Folders of this process's applications, removed when it ends.
+_run_folders: set[str] = set()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -31,29 +30,47 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only in local mode."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    """The cluster's checkpoint folder; where none is set, one in the warehouse.
+
+    Both are folders that the driver and all executors share.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="comanda-")
-    context.setCheckpointDir(folder)
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+
+
+def run_folder(spark: SparkSession) -> str:
+    """This application's own part of the shared folder."""
+    folder = f"{shared_folder(spark)}/comanda-{spark.sparkContext.applicationId}"
+    if not _run_folders:
+        atexit.register(remove_run_folders)
+    _run_folders.add(folder)
     return folder
 
 
+def remove_run_folders() -> None:
+    """Delete the intermediate tables of this process's applications.
+
+    Runs when the process ends; a job that stops its session before calls it
+    itself. Results that still read intermediate tables can't be read after.
+    """
+    context = SparkContext._active_spark_context
+    if context is None or context._jvm is None:
+        return
+    for folder in list(_run_folders):
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        _run_folders.discard(folder)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage in a way that survives lost executors, and keeps column
-    pruning for the readers.
+    pruning for the readers. The size of the files then tells the planner what
+    may be broadcast.
     """
-    path = f"{shared_folder(df.sparkSession)}/comanda/{label}-{uuid.uuid4().hex}"
+    path = f"{run_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` if a count proves it small; else leave the join to Spark."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -1,31 +1,50 @@
-"""Write warehouse tables."""
+"""Write warehouse tables.
+
+A table is a view over one of its versions. A load writes new versions beside
+the old ones and then points the views at them, so that a reader always finds a
+whole table and a failed load leaves everything as it was.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from comanda.schemas import DATABASE, WAREHOUSE
+from comanda.schemas import DATABASE, PARTITION, WAREHOUSE
 
-# Facts are stored by month of the time key: a day or month filter reads only
-# its folders.
-PARTITION = "anio_mes"
 PARTITIONED = ("fact_items_pedido", "fact_reservaciones")
 
 
+class Version(NamedTuple):
+    """A table as one load wrote it."""
+
+    table: str
+    rows: int
+
+
+def _comment(name: str, column: str) -> str:
+    """What the warehouse contract says of a column."""
+    if column == PARTITION:
+        return "tiempo_key without day and hour"
+    schema = WAREHOUSE.get(name)
+    known = schema is not None and column in schema.fieldNames()
+    return (schema[column].metadata or {}).get("comment", "") if known else ""
+
+
 def table_ddl(name: str, schema: T.StructType, database: str = DATABASE) -> str:
-    columns = []
-    for field in schema.fields:
-        comment = (field.metadata or {}).get("comment")
-        text = f"{field.name} {field.dataType.simpleString().upper()}"
-        columns.append(f"{text} COMMENT '{comment}'" if comment else text)
-    partition = ""
+    fields = [(f.name, f.dataType.simpleString().upper()) for f in schema.fields]
     if name in PARTITIONED:
-        columns.append(f"{PARTITION} INT COMMENT 'tiempo_key without day and hour'")
-        partition = f" PARTITIONED BY ({PARTITION})"
+        fields.append((PARTITION, "INT"))
+    columns = []
+    for field, kind in fields:
+        comment = _comment(name, field)
+        columns.append(f"{field} {kind} COMMENT '{comment}'" if comment else f"{field} {kind}")
+    partition = f" PARTITIONED BY ({PARTITION})" if name in PARTITIONED else ""
     return (
         f"CREATE TABLE IF NOT EXISTS {database}.{name} ({', '.join(columns)}) "
         f"USING ORC OPTIONS ('compression' 'snappy'){partition}"
@@ -33,40 +52,80 @@ def table_ddl(name: str, schema: T.StructType, database: str = DATABASE) -> str:
 
 
 def create_tables(spark: SparkSession, database: str = DATABASE) -> None:
+    """Declare the empty warehouse; a load replaces its tables by views."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, schema in WAREHOUSE.items():
         spark.sql(table_ddl(name, schema, database))
 
 
-def write_table(df: DataFrame, name: str, database: str = DATABASE) -> int:
-    """Replace a table and return its number of rows, counted while writing.
+def write_version(df: DataFrame, name: str, database: str = DATABASE) -> Version:
+    """Write a new version of a table; its rows are counted while writing.
 
-    The new rows are written beside the old table, which is dropped only
-    after they are complete. Files are evened out first; a month too large
-    for one task is split, and small ones share a task.
+    Files are evened out first; a month too large for one task is split, and
+    small ones share a task.
     """
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    target, staging = f"{database}.{name}", f"{database}.{name}__new"
-    seen = Observation(f"write {target}")
+    version = f"{name}__v{uuid.uuid4().hex[:12]}"
+    seen = Observation(f"write {version}")
     df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if name in PARTITIONED:
         df = df.withColumn(PARTITION, F.expr("cast(tiempo_key div 10000 as int)"))
         df = df.hint("rebalance", F.col(PARTITION))
     elif name == "dim_tiempo":
         df = df.sortWithinPartitions("tiempo_key")
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    writer = df.write.format("orc").option("compression", "snappy").mode("overwrite")
+    writer = df.write.format("orc").option("compression", "snappy")
     if name in PARTITIONED:
         writer = writer.partitionBy(PARTITION)
-    writer.saveAsTable(staging)
-    spark.sql(f"DROP TABLE IF EXISTS {target}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
-    if name in PARTITIONED:
-        # Some catalogs leave partitions at the place they were written to.
-        spark.sql(f"MSCK REPAIR TABLE {target} SYNC PARTITIONS")
-    return seen.get["rows"]
+    writer.saveAsTable(f"{database}.{version}")
+    return Version(version, seen.get["rows"])
+
+
+def publish(spark: SparkSession, versions: Mapping[str, Version], database: str = DATABASE) -> None:
+    """Point the tables at new versions, all after each other, and drop old ones.
+
+    The version before stays for those who still read it; older ones go.
+    """
+    before = {name: _versions(spark, name, database) for name in versions}
+    current = {name: _target(spark, name, database) for name in versions}
+    for name, version in versions.items():
+        columns = spark.table(f"{database}.{version.table}").columns
+        listed = ", ".join(f"`{c}` COMMENT '{_comment(name, c)}'" for c in columns)
+        taken = ", ".join(f"`{c}`" for c in columns)
+        if spark.catalog.tableExists(f"{database}.{name}") and current[name] is None:
+            spark.sql(f"DROP TABLE {database}.{name}")
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {database}.{name} ({listed}) AS "
+            f"SELECT {taken} FROM {database}.{version.table}"
+        )
+    for name, version in versions.items():
+        for old in before[name]:
+            if old not in (version.table, current[name]):
+                spark.sql(f"DROP TABLE IF EXISTS {database}.{old}")
+
+
+def _versions(spark: SparkSession, name: str, database: str) -> list[str]:
+    tables = spark.catalog.listTables(database, f"{name}__v*")
+    return [t.name for t in tables if not t.isTemporary]
+
+
+def _target(spark: SparkSession, name: str, database: str) -> str | None:
+    """The version that a table's view reads; None if it is no view yet."""
+    if not spark.catalog.tableExists(f"{database}.{name}"):
+        return None
+    if spark.catalog.getTable(f"{database}.{name}").tableType != "VIEW":
+        return None
+    text = spark.sql(f"SHOW CREATE TABLE {database}.{name}").first()[0]
+    return next((v for v in _versions(spark, name, database) if v in text), "")
 
 
 def write_tables(tables: Mapping[str, DataFrame], database: str = DATABASE) -> dict[str, int]:
-    return {name: write_table(df, name, database) for name, df in tables.items()}
+    """Replace tables and return their numbers of rows."""
+    versions = {name: write_version(df, name, database) for name, df in tables.items()}
+    if versions:
+        publish(next(iter(tables.values())).sparkSession, versions, database)
+    return {name: version.rows for name, version in versions.items()}
+
+
+def write_table(df: DataFrame, name: str, database: str = DATABASE) -> int:
+    return write_tables({name: df}, database)[name]

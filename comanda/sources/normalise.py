@@ -6,84 +6,91 @@ is a typed NULL. Text that does not parse becomes NULL, not an error.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import partial, reduce
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from comanda.constants import DEFAULT_CATEGORY, DEFAULT_ZONE, UNKNOWN_STATUS
 from comanda.schemas import MONEY
 from comanda.sources.tables import Tables
 
 
-def column_or_null(df: DataFrame, name: str, kind="string") -> Column:
-    column = F.col(name) if name in df.columns else F.lit(None)
-    return column.try_cast(kind)
-
-
-def first_of(df: DataFrame, names: tuple[str, ...], kind="string", default=None) -> Column:
-    """The first non-null of the alternative names, cast; else the default."""
-    known = [column_or_null(df, name, kind) for name in names if name in df.columns]
-    known.append(F.lit(default).cast(kind))
-    return F.coalesce(*known).alias(names[0])
-
-
-def normalise_users(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        first_of(raw, ("user_id", "id", "_id")),
-        first_of(raw, ("name",)),
-        first_of(raw, ("zone", "city"), default=DEFAULT_ZONE),
-        first_of(raw, ("latitude",), "double"),
-        first_of(raw, ("longitude",), "double"),
-        first_of(raw, ("referred_by",)),
-    ).where(F.col("user_id").isNotNull())
-
-
-def normalise_products(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        first_of(raw, ("product_id", "id", "_id")),
-        first_of(raw, ("name",)),
-        first_of(raw, ("category",), default=DEFAULT_CATEGORY),
-        first_of(raw, ("price",), MONEY, default=0),
-    ).where(F.col("product_id").isNotNull())
+class Wanted(NamedTuple):
+    """A column of the shape: its names in sources, the first its own; rows need ``required``."""
+
+    names: tuple[str, ...]
+    kind: str | T.DataType = "string"
+    default: object = None
+    required: bool = False
+
+
+# Fixed values -- the columns of each table, their names in sources, their defaults.
+CONTRACTS: dict[str, tuple[Wanted, ...]] = {
+    "users": (
+        Wanted(("user_id", "id", "_id"), required=True),
+        Wanted(("name",)),
+        Wanted(("zone", "city"), default=DEFAULT_ZONE),
+        Wanted(("latitude",), "double"),
+        Wanted(("longitude",), "double"),
+        Wanted(("referred_by",)),
+    ),
+    "products": (
+        Wanted(("product_id", "id", "_id"), required=True),
+        Wanted(("name",)),
+        Wanted(("category",), default=DEFAULT_CATEGORY),
+        Wanted(("price",), MONEY, 0),
+    ),
+    "orders": (
+        Wanted(("order_id", "id", "_id"), required=True),
+        Wanted(("user_id",)),
+        Wanted(("restaurant_id",)),
+        Wanted(("created_at",), "timestamp"),
+        Wanted(("status",), default=UNKNOWN_STATUS),
+        Wanted(("delivery_latitude", "latitude"), "double"),
+        Wanted(("delivery_longitude", "longitude"), "double"),
+        Wanted(("zone",), default=DEFAULT_ZONE),
+    ),
+    "order_items": (
+        Wanted(("order_id",), required=True),
+        Wanted(("product_id", "id"), required=True),
+        Wanted(("quantity",), "int", 1),
+        Wanted(("unit_price", "price"), MONEY, 0),
+    ),
+    "reservations": (
+        Wanted(("reservation_id", "id", "_id"), required=True),
+        Wanted(("user_id",)),
+        Wanted(("restaurant_id",)),
+        Wanted(("reservation_time", "date", "created_at"), "timestamp"),
+        Wanted(("status",), default=UNKNOWN_STATUS),
+        Wanted(("party_size",), "int", 1),
+    ),
+}
+
+
+def shaped(raw: DataFrame, contract: tuple[Wanted, ...]) -> DataFrame:
+    """The contract's columns of any source, and the rows that have the required ones."""
+    columns = []
+    for want in contract:
+        found = [F.col(name).try_cast(want.kind) for name in want.names if name in raw.columns]
+        columns.append(F.coalesce(*found, F.lit(want.default).cast(want.kind)).alias(want.names[0]))
+    present = [F.col(want.names[0]).isNotNull() for want in contract if want.required]
+    return raw.select(*columns).where(reduce(lambda a, b: a & b, present))
+
+
+normalise_users = partial(shaped, contract=CONTRACTS["users"])
+normalise_products = partial(shaped, contract=CONTRACTS["products"])
+normalise_orders = partial(shaped, contract=CONTRACTS["orders"])
+normalise_order_items = partial(shaped, contract=CONTRACTS["order_items"])
+normalise_reservations = partial(shaped, contract=CONTRACTS["reservations"])
 
 
-def normalise_orders(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        first_of(raw, ("order_id", "id", "_id")),
-        first_of(raw, ("user_id",)),
-        first_of(raw, ("restaurant_id",)),
-        first_of(raw, ("created_at",), "timestamp"),
-        first_of(raw, ("status",), default=UNKNOWN_STATUS),
-        first_of(raw, ("delivery_latitude", "latitude"), "double"),
-        first_of(raw, ("delivery_longitude", "longitude"), "double"),
-        first_of(raw, ("zone",), default=DEFAULT_ZONE),
-    ).where(F.col("order_id").isNotNull())
-
-
-def normalise_order_items(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        first_of(raw, ("order_id",)),
-        first_of(raw, ("product_id", "id")),
-        first_of(raw, ("quantity",), "int", default=1),
-        first_of(raw, ("unit_price", "price"), MONEY, default=0),
-    ).where(F.col("order_id").isNotNull() & F.col("product_id").isNotNull())
-
-
-def normalise_reservations(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        first_of(raw, ("reservation_id", "id", "_id")),
-        first_of(raw, ("user_id",)),
-        first_of(raw, ("restaurant_id",)),
-        first_of(raw, ("reservation_time", "date", "created_at"), "timestamp"),
-        first_of(raw, ("status",), default=UNKNOWN_STATUS),
-        first_of(raw, ("party_size",), "int", default=1),
-    ).where(F.col("reservation_id").isNotNull())
+def normalise(raw: Tables) -> Tables:
+    """All tables that have a contract, each shaped when first asked for."""
 
+    def later(name: str, contract: tuple[Wanted, ...]):
+        return lambda: shaped(getattr(raw, name), contract)
 
-def normalise(raw: Tables) -> Tables:
-    return Tables(
-        users=lambda: normalise_users(raw.users),
-        products=lambda: normalise_products(raw.products),
-        orders=lambda: normalise_orders(raw.orders),
-        order_items=lambda: normalise_order_items(raw.order_items),
-        reservations=lambda: normalise_reservations(raw.reservations),
-    )
+    return Tables(**{name: later(name, contract) for name, contract in CONTRACTS.items()})

@@ -12,6 +12,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from comanda.constants import ROUTABLE_STATUSES
 from comanda.oracles import ORACLES
 from comanda.queries import QUERIES
 from comanda.operators import basket, graph, olap, paths, routing, sales, star
@@ -33,25 +34,40 @@ def brute_pairs(lines):
     )
 
 
-@pytest.mark.parametrize("block", [8, 64])
-def test_pairs_of_a_hot_order(spark, block):
+def test_pairs_of_a_hot_order(spark):
     """One order holds a third of all lines, many of them repeated."""
     draw = random.Random(7)
     lines = [("hot", f"p{draw.randrange(150):03d}") for _ in range(700)]
     lines += [(f"o{draw.randrange(400)}", f"p{draw.randrange(200):03d}") for _ in range(1400)]
     items = spark.createDataFrame(lines, "order_id string, product_id string").repartition(6)
-    found = {(a, b): n for a, b, n in rows(basket.co_purchases(items, block))}
+    found = {(a, b): n for a, b, n in rows(basket.co_purchases(items))}
     assert found == dict(brute_pairs(lines))
 
 
 def test_large_orders_are_paired_by_many_tasks(spark):
-    lines = [("hot", f"p{i:04d}") for i in range(600)]
-    items = spark.createDataFrame(lines, "order_id string, product_id string")
-    large = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("lines"))
-    pairs = basket._large_order_pairs(items, large, 32)
-    assert pairs.count() == 600 * 599 // 2
-    plan = pairs._jdf.queryExecution().executedPlan().toString()
-    assert "low" in plan and "high" in plan and "CartesianProduct" not in plan
+    """The join splits the lines of one long order, although its rows share a key."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        lines = [("hot", f"p{i:04d}") for i in range(600)]
+        lines += [(f"o{i}", f"p{i % 7:04d}") for i in range(600)]
+        items = spark.createDataFrame(lines, "order_id string, product_id string").repartition(8)
+        pairs = basket.co_purchases(items)
+        assert len(pairs.collect()) == 600 * 599 // 2
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan and "CartesianProduct" not in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def test_rank_of_a_hot_group(spark):
@@ -89,17 +105,15 @@ def test_group_ordinal_with_a_hot_group(spark):
     }
 
 
-def test_names_of_a_hot_referrer_come_in_parts(spark):
+def test_a_hot_referrer_has_a_row_per_referred_user(spark):
     users = [("u0", "Jefe", None)]
     users += [(f"u{i}", f"N{i:04d}", "u0" if i % 3 else "u1") for i in range(1, 400)]
     users.append(("x", "Huérfano", "nadie"))
     data = Tables(users=spark.createDataFrame(users, "user_id string, name string, referred_by string"))
-    found = [r for r in rows(graph.influential_users(data, part_size=50)) if r[0] == "u0"]
-    assert {r[2] for r in found} == {266} and len(found) > 3
-    assert max(len(r[4]) for r in found) < 120
-    names = [name for r in found for name in r[4]]
-    assert sorted(names) == sorted(n for _, n, by in users if by == "u0")
-    assert all(r[4] == sorted(r[4]) for r in found)
+    found = [r for r in rows(graph.influential_users(data)) if r[0] == "u0"]
+    assert {r[2] for r in found} == {266}
+    names = [r[4] for r in found]
+    assert names == sorted(n for _, n, by in users if by == "u0")
 
 
 def test_hot_order_is_split_by_the_join(spark):
@@ -208,7 +222,7 @@ def test_tours(spark, fleet):
     data = normalise(retail.read(spark, FOLDER))
     orders = data.orders.limit(150).persist()
     wanted = sorted(
-        rows(orders.where("status = 'pending'").select(
+        rows(orders.where(F.col("status").isin(*ROUTABLE_STATUSES)).select(
             "created_at", "order_id", "delivery_latitude", "delivery_longitude"))
     )
     couriers = fleet.get("couriers") or -(-len(wanted) // fleet["stops_per_courier"])
@@ -227,7 +241,8 @@ def test_tours(spark, fleet):
 
 
 def test_no_raw_rows_in_one_task(spark):
-    """Only windows over months or write partitions may gather rows in one task."""
+    """Only windows over months or write partitions, and one count per task of a
+    whole table, may come together in one task."""
     data = normalise(retail.read(spark, FOLDER))
     built = star.build_star(retail.read(spark, FOLDER), resolve=False)
     for df in (
@@ -239,14 +254,70 @@ def test_no_raw_rows_in_one_task(spark):
         graph.contains(data),
     ):
         plan = df._jdf.queryExecution().executedPlan().toString()
-        assert "SinglePartition" not in plan
+        below = re.findall(r"Exchange SinglePartition[^\n]*\n([^\n]*)", plan)
+        assert all("HashAggregate(keys=[], functions=[partial_" in line for line in below)
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_ranking_reads_the_facts_once(spark):
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ranking_reads_the_lines_once(spark):
+    """Rows and counts of the rank share one aggregate, as a query and as a view."""
     built = star.build_star(retail.read(spark, FOLDER), resolve=False)
-    plan = olap.consumption_ranking(built)._jdf.queryExecution().executedPlan().toString()
-    assert "lineitem.parquet" not in plan and "product_sales" in plan
+    olap.register_views(built)
+    for df in (olap.consumption_ranking(built), spark.sql("select * from olap_tendencias_consumo")):
+        assert any("lineitem" in f for f in df.inputFiles())
+        final = executed(df).split("\n+- == Initial Plan ==")[0]
+        assert "ReusedExchange" in final
+        assert len(re.findall(r"ReadSchema: struct<[^>]*l_quantity", final)) == 1
+
+
+def test_building_a_query_starts_no_job(spark):
+    """But for those over ordinals and tours, which number rows first."""
+    ordered = ("route", "courier", "graph_node", "graph_edge", "graph_sample", "delivery",
+               "shortest", "uniqueness")
+    tracker = spark.sparkContext.statusTracker()
+    for name, query in QUERIES.items():
+        if name.startswith(ordered):
+            continue
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        query(spark, FOLDER)
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(f"build-{name}")]
+        # Reading a file's schema is a job of its own.
+        assert len(jobs) <= 14, name
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_lines_are_shuffled_for_order_and_product_only(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        plan = QUERIES["fact_items_pedido"](spark, FOLDER)._jdf.queryExecution().executedPlan()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    text = plan.toString()
+    over_lines = [
+        line for line in text.split("\n")
+        if "Exchange hashpartitioning" in line and re.search("order_id|l_orderkey|product_id|l_partkey", line)
+    ]
+    # Orders and lines by order, lines and products by product.
+    assert len(over_lines) <= 4
+    assert "restaurant_id" not in "".join(over_lines)
+
+
+def test_sold_orders_are_filtered_by_the_scan(spark):
+    for name in ("revenue_by_month_category", "best_sellers", "daily_trend", "peak_hours"):
+        plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PushedFilters: \[[^\]]*o_orderstatus[^\]]*F", plan), name
 
 
 @pytest.mark.parametrize(

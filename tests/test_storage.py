@@ -1,14 +1,16 @@
 """Stored star, CSV exchange files and the nightly load."""
 
 import json
+import re
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from comanda.constants import SMALL_FLEET
 from comanda.operators import graph, olap, routing, star
 from comanda.operators.basket import co_purchases
-from comanda.plans import analysis, nightly
+from comanda.plans import analysis, arguments, graph_load, nightly
 from comanda.schemas import GRAPH_FILES, WAREHOUSE
 from comanda.session import materialise
 from comanda.sinks import files, warehouse
@@ -49,7 +51,10 @@ def test_stored_tables_keep_their_contract(spark, loaded):
         found = spark.table(f"{DB}.{name}")
         kept = [f for f in found.schema if f.name != warehouse.PARTITION]
         assert [(f.name, f.dataType) for f in kept] == [(f.name, f.dataType) for f in schema]
-        detail = {r[0]: r[1] for r in spark.sql(f"describe formatted {DB}.{name}").collect()}
+        comments = {f.name: f.metadata.get("comment", "") for f in found.schema}
+        assert all(comments[f.name] == f.metadata.get("comment", "") for f in schema)
+        version = warehouse._target(spark, name, DB)
+        detail = {r[0]: r[1] for r in spark.sql(f"describe formatted {DB}.{version}").collect()}
         assert detail["Provider"].lower() == "orc"
 
 
@@ -60,6 +65,16 @@ def test_month_filter_reads_one_month(spark, loaded):
     assert found.count() == 6
 
 
+def test_month_filter_on_a_view_reads_one_month(spark, loaded):
+    olap.register_views(star.read_star(spark, DB))
+    for name in ("olap_ingresos_por_mes_categoria", "olap_tendencias_consumo", "olap_estado_pedidos",
+                 "olap_actividad_usuarios_por_restaurante"):
+        found = spark.sql(f"select * from {name} where anio = 2026 and mes = 5")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        filters = re.findall(r"PartitionFilters: \[([^\]]*)", plan)
+        assert filters and any("anio_mes" in f for f in filters), name
+
+
 def test_second_load_changes_nothing(spark, loaded, operational_sample, tmp_path):
     before = sorted(rows(spark.table(f"{DB}.fact_items_pedido")))
     report = nightly.run(spark, operational_sample, str(tmp_path / "c"), DB)
@@ -72,9 +87,43 @@ def test_only_changes_are_published(spark, loaded, operational_sample, tmp_path)
         "price", F.when(F.col("id") == "p6", F.lit(9)).otherwise(F.col("price")).cast("decimal(18,2)")
     )
     path = str(tmp_path / "changes")
-    assert nightly.publish_catalogue(spark, dearer, DB, path)
-    lines = [json.loads(r[0]) for r in spark.read.text(path).collect()]
+    folder = nightly.publish_catalogue(spark, dearer, DB, path)
+    lines = [json.loads(r[0]) for r in spark.read.text(folder).collect()]
     assert [(c["id"], c["change"], c["price_new"]) for c in lines] == [("p6", "changed", 9)]
+    # The next publication leaves this one alone.
+    again = nightly.publish_catalogue(spark, operational_sample.products, DB, path)
+    assert again != folder and spark.read.text(folder).count() == 1
+    assert [json.loads(r[0])["price_old"] for r in spark.read.text(again).collect()] == [9]
+
+
+def test_a_change_while_publishing_is_not_lost(spark, operational_sample, tmp_path, monkeypatch):
+    """The source moves on between publication and memory: the next load tells."""
+    path, folder = str(tmp_path / "source"), str(tmp_path / "changes")
+
+    def put(price):
+        row = [("p1", "Pan", "pan", price, True)]
+        kinds = "id string, name string, category string, price double, available boolean"
+        spark.createDataFrame(row, kinds).write.mode("overwrite").parquet(path)
+        spark.catalog.refreshByPath(path)
+
+    def load():
+        return nightly.publish_catalogue(spark, spark.read.parquet(path), "mudable_dw", folder)
+
+    put(1.0)
+    assert load()
+    put(2.0)
+    with monkeypatch.context() as patch:
+        def publish(changes, target):
+            left = files.publish_changes(changes, target)
+            put(3.0)
+            return left
+
+        patch.setattr(nightly, "publish_changes", publish)
+        second = load()
+    third = load()
+    prices = [json.loads(spark.read.text(f).first()[0])["price_new"] for f in (second, third)]
+    assert prices == [2.0, 3.0]
+    assert load() is None
 
 
 def test_failed_publication_is_repeated(spark, loaded, operational_sample, tmp_path, monkeypatch):
@@ -96,6 +145,14 @@ def test_empty_source_stops_the_load(spark, operational_sample, tmp_path):
         nightly.run(spark, Tables(**tables), str(tmp_path), "vacio_dw")
 
 
+def test_readers_keep_a_whole_table_through_loads(spark, loaded, operational_sample):
+    held = spark.table(f"{DB}.fact_items_pedido")
+    before = sorted(rows(held))
+    nightly.load_star(spark, operational_sample, DB)
+    assert sorted(rows(held)) == before
+    assert len(warehouse._versions(spark, "fact_items_pedido", DB)) == 2
+
+
 def test_declared_tables(spark):
     warehouse.create_tables(spark, "declarado_dw")
     found = {t.name for t in spark.catalog.listTables("declarado_dw") if not t.isTemporary}
@@ -110,20 +167,44 @@ def test_graph_files_come_back(spark, sample_data, tmp_path):
         )
     )
     data = Tables(**{**dict(sample_data.items()), "users": awkward})
-    routes = materialise(routing.route_assignments(data.orders), "routes")
+    routes = materialise(routing.route_assignments(data.orders, SMALL_FLEET), "routes")
     pairs = co_purchases(data.order_items)
     files.export_graph(data, pairs, routes, str(tmp_path))
     back = read_graph_files(spark, str(tmp_path))
     tables = files.graph_tables(data, pairs, routes)
     for name in GRAPH_FILES:
-        wanted = tables[name].withColumn("zone", F.nullif("zone", F.lit(""))) if name == "users" else tables[name]
-        if name == "users":
-            back[name] = back[name].withColumn("zone", F.nullif("zone", F.lit("")))
-        assert sorted(rows(back[name]), key=repr) == sorted(rows(wanted), key=repr), name
+        assert sorted(rows(back[name]), key=repr) == sorted(rows(tables[name]), key=repr), name
+
+
+def test_graph_is_loaded_from_its_files(spark, sample_data, tmp_path):
+    routes = materialise(routing.route_assignments(sample_data.orders, SMALL_FLEET), "routes")
+    pairs = co_purchases(sample_data.order_items)
+    files.export_graph(sample_data, pairs, routes, str(tmp_path))
+    counts = graph_load.load(spark, str(tmp_path), "grafo_dw")
+    assert counts["node_users"] == 5 and counts["edge_route_to"] == 7 and counts["edge_contains"] == 18
+    edges = graph.build_edges(sample_data, routes)
+    for name in graph.EDGE_KEYS:
+        wanted = getattr(edges, name)
+        assert sorted(rows(spark.table(f"grafo_dw.edge_{name}").select(*wanted.columns)), key=repr) == sorted(
+            rows(wanted), key=repr), name
+    before = {t: sorted(rows(spark.table(f"grafo_dw.{t}")), key=repr) for t in counts}
+    assert graph_load.load(spark, str(tmp_path), "grafo_dw") == counts
+    assert before == {t: sorted(rows(spark.table(f"grafo_dw.{t}")), key=repr) for t in counts}
+
+
+def test_file_edges_need_both_ends(spark, sample_data):
+    routes = materialise(routing.route_assignments(sample_data.orders, SMALL_FLEET), "routes")
+    tables = files.graph_tables(sample_data, co_purchases(sample_data.order_items), routes)
+    tables["locations"] = tables["locations"].where("location_id <> 'loc-o1'")
+    tables["products"] = tables["products"].where("product_id <> 'p1'")
+    _, edges = graph.from_files(tables)
+    assert edges.delivers_to.count() == 6
+    assert {r["from_location_id"] for r in edges.route_to.collect()}.isdisjoint({"loc-o1"})
+    assert edges.route_to.count() == 5 and edges.bought_together.count() == 7
 
 
 def test_graph_nodes_and_edges(spark, sample_data):
-    routes = materialise(routing.route_assignments(sample_data.orders), "routes")
+    routes = materialise(routing.route_assignments(sample_data.orders, SMALL_FLEET), "routes")
     nodes, edges = graph.build_nodes(sample_data, routes), graph.build_edges(sample_data, routes)
     counts = {n: getattr(nodes, n).count() for n in graph.NODE_KEYS}
     assert counts == {
@@ -153,6 +234,18 @@ def test_analysis_job(spark, tmp_path):
     assert first["order_hour"] == "12"
 
 
+def test_load_from_a_command_line(spark, operational_sample, tmp_path, monkeypatch):
+    monkeypatch.setattr(nightly, "read_source", lambda *_: operational_sample)
+    nightly.main(["--changes", str(tmp_path / "c"), "--database", "mandado_dw"])
+    assert spark.table("mandado_dw.fact_items_pedido").count() == 18
+
+
+def test_credentials_come_from_the_environment(monkeypatch):
+    monkeypatch.setenv("COMANDA_JDBC_PASSWORD", "secret")
+    monkeypatch.delenv("COMANDA_JDBC_USER", raising=False)
+    assert arguments.from_environment(arguments.JDBC_ENVIRONMENT) == {"password": "secret"}
+
+
 def test_analysis_names_a_failing_source(spark, tmp_path):
     where = ["--results", f"{tmp_path}/r", "--graph", f"{tmp_path}/g"]
     with pytest.raises(Exception):

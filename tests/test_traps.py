@@ -11,7 +11,7 @@ from comanda.functions.calendar import calendar_columns, hour_key
 from comanda.functions.geo import great_circle_km
 from comanda.functions.keys import one_per_key, surrogate_key
 from comanda.functions.numbers import growth_percent
-from comanda.operators import graph, olap, quality, routing, sales, star
+from comanda.operators import graph, olap, paths, quality, routing, sales, star
 from comanda.operators.routing import route_edges
 from comanda.sources import extracts, normalise, synthetic
 from comanda.sources.tables import Tables, jdbc_predicates, load_source, read_documents
@@ -44,18 +44,72 @@ def test_hour_key_of_a_far_year(spark):
     assert found.first()[0] == 9148030405
 
 
-def test_crc32_collision_loses_nobody(spark):
-    """plumless and buckeroo share a CRC-32."""
-    users = spark.createDataFrame(
-        [("plumless", "A"), ("buckeroo", "B")], "id string, name string"
-    ).selectExpr("*", "'client' role", "null created_at")
-    assert users.select(F.crc32("id")).distinct().count() == 1
-    assert star.dim_usuario(users, "crc32").count() == 2
-    assert star.dim_usuario(users).select("usuario_key").distinct().count() == 2
+@pytest.mark.parametrize("strategy", ["crc32", "xxhash64"])
+@pytest.mark.parametrize("stored", [False, True])
+def test_colliding_keys_change_no_total(spark, strategy, stored):
+    """plumless and buckeroo share a CRC-32, as users, restaurants and products."""
+    names = ["plumless", "buckeroo", "other"]
+    one = spark.createDataFrame([(n,) for n in names], "id string")
+    assert one.select(F.crc32("id")).distinct().count() == 2
+    source = Tables(
+        users=one.selectExpr("id", "id name", "'client' role", "null created_at"),
+        restaurants=one.selectExpr("id", "id name", "'Calle' address", "1 capacity"),
+        products=one.selectExpr("id", "id name", "'pan' category", "1.0 price", "true available", "'plumless' restaurant_id"),
+        orders=one.selectExpr("id", "id user_id", "id restaurant_id", "'confirmed' status", "true pickup", "'2026-01-05 10:00:00' created_at"),
+        order_items=one.selectExpr("id || '-1' id", "id order_id", "id product_id", "2 quantity", "5.00 price"),
+        reservations=one.selectExpr("id", "id user_id", "id restaurant_id", "'2026-01-05 10:00:00' date", "4 party_size", "'confirmed' status"),
+    )
+    built = star.build_star(source, resolve=stored, key_strategy=strategy)
+    for name in ("usuario", "restaurante", "producto"):
+        assert getattr(built, f"dim_{name}").select(f"{name}_key").distinct().count() == 3
+    month = (2026, 1, "Enero")
+    ten, all_of = Decimal("10.00"), Decimal("30.00")
+    assert rows(olap.total_revenue(built)) == [(all_of, 3)]
+    assert rows(olap.revenue_by_month_category(built)) == [(*month, "pan", 3, 6, all_of, 10.0)]
+    assert sorted(rows(olap.user_activity_by_restaurant(built))) == [
+        (n, "Calle", *month, 1, 1, ten) for n in sorted(names)
+    ]
+    assert sorted(r[4:] for r in rows(olap.consumption_ranking(built))) == [
+        (n, 2, ten, 1) for n in sorted(names)
+    ]
+    assert sorted(r[0] for r in rows(olap.best_sellers(built))) == sorted(names)
+    assert sorted(rows(olap.activity_per_user(built))) == [(n, n, 1, ten) for n in sorted(names)]
+    assert sorted(rows(olap.revenue_per_restaurant(built))) == [(n, ten) for n in sorted(names)]
+    assert sorted(rows(olap.reservations_by_restaurant(built))) == [(n, "Calle", 1, 4) for n in sorted(names)]
+    assert sorted(rows(olap.exact_unique_users(built))) == [(n, "Calle", 1, 1, ten) for n in sorted(names)]
     with pytest.raises(ValueError):
         surrogate_key(F.lit("x"), "sum")
 
 
+def test_an_empty_zone_is_none(spark):
+    orders = spark.createDataFrame(
+        [("o1", "", 1.0), ("o2", None, 1.0), ("o3", "Norte", 1.0)], "order_id string, zone string, v double"
+    ).selectExpr("order_id", "'u' user_id", "timestamp '2026-01-01 00:00:00' created_at", "'pending' status",
+                 "zone", "v delivery_latitude", "v delivery_longitude")
+    found = {r["order_id"]: r["zone"] for r in routing.routable_orders(orders).collect()}
+    assert found == {"o1": "Sin zona", "o2": "Sin zona", "o3": "Norte"}
+
+
+def test_the_fleet_grows_with_the_orders(spark):
+    orders = spark.range(100).selectExpr(
+        "cast(id as string) order_id", "'u' user_id", "timestamp_seconds(id) created_at", "'pending' status",
+        "'z' zone", "double(9.9) + id / 1000 delivery_latitude", "double(-84) delivery_longitude")
+    routes = routing.route_assignments(orders)
+    sizes = [r[1] for r in rows(routes.groupBy("courier_id").count())]
+    assert sorted(sizes) == [33, 33, 34]
+
+
+def test_a_negative_leg_raises(spark):
+    edges = spark.createDataFrame(
+        [("c", 1, "loc-central", "a", -1.0, 1.0)],
+        "courier_id string, stop_order int, from_location_id string, to_location_id string, "
+        "distance_from_previous_km double, estimated_minutes double",
+    )
+    places = spark.createDataFrame([("a", "A"), ("loc-central", "C")], "location_id string, name string")
+    with pytest.raises(Exception, match="negative"):
+        rows(paths.nearest_destinations(edges, places))
+
+
 def test_newest_row_of_a_key_is_kept(spark):
     df = spark.createDataFrame(
         [("a", "old", 1), ("a", "new", 2), ("b", None, None), ("a", "older", 0)],
