@@ -1,14 +1,15 @@
-"""Stored intermediate tables and prefix sums, shared by the operators here."""
+"""Texts as words and bytes, and prefix sums, shared by the operators here."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from comanda.session import materialise as stored
+
 # Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -17,25 +18,6 @@ SPACE = r"[\x20\x09-\x0D]+"
 TEXT_BATCH = 4 << 20
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return folder.rstrip("/")
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
-
-    Cuts the lineage in a way that survives lost executors; the size of the
-    files then tells the planner what may be broadcast.
-    """
-    path = f"{shared_folder(df.sparkSession)}/llm/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def text_batches(spark: SparkSession, size: int = TEXT_BATCH) -> None:
     """Bound the bytes of Arrow batches, so that long texts stay within memory."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))

@@ -128,7 +128,8 @@ def take_mix(documents: DataFrame, mixed: DataFrame, seed: str = SEED) -> DataFr
     words = F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
     kept = F.array_join(F.slice(words, F.lit(1), F.col("_words").cast("int")), "")
     cut = F.when((F.col("_words") >= 0) & (F.col("_words") < word_count(F.col("text"))), kept)
-    out = rows.withColumn("text", F.coalesce(cut, F.col("text")))
+    out = rows.withColumn("_cut", cut)
     if "n_chars" in documents.columns:
-        out = out.withColumn("n_chars", F.when(cut.isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.select(*documents.columns)
+        shorter = F.length("_cut").cast("long")
+        out = out.withColumn("n_chars", F.when(F.col("_cut").isNull(), F.col("n_chars")).otherwise(shorter))
+    return out.withColumn("text", F.coalesce("_cut", "text")).select(*documents.columns)
