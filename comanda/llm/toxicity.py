@@ -144,17 +144,16 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
     ``labels`` has doc_id and toxic (0 or 1). The grades are 0 for clean
     documents, and 1 and 2 for toxic ones below and from the median, over toxic
     documents, of the share of words that speak for toxicity. At most
-    ``sample_rows`` labelled rows are used, those of the least hash of doc_id;
-    what reaches the driver is bounded by them and by FEATURES. Features are the
-    ones most strongly associated with the label.
+    ``sample_rows`` labelled rows are used, those of the least hash of doc_id, so
+    the one task that fits them is bounded by that and by FEATURES. Features are
+    the ones most strongly associated with the label.
     """
     wanted = labels.where("doc_id is not null and toxic in (0, 1)").select("doc_id", "toxic")
     sample = wanted.orderBy(F.md5(F.col("doc_id").cast("string").cast("binary")), "doc_id", "toxic").limit(sample_rows)
     # A label that is repeated counts once; at most sample_rows small rows, so the join is broadcast.
     sample = stored(sample.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "labels")
     rows = stored(documents.select("doc_id", "text").join(sample, "doc_id").select("text", "toxic"), "sample")
-    sizes = dict(rows.groupBy("toxic").count().collect())
-    toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
+    toxic, clean = rows.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
     if not toxic or not clean:
         return None
     present = rows.mapInPandas(_presence, "feature string, toxic int")
@@ -166,22 +165,38 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
     cross = (t * (clean - c) - c * (toxic - t)).cast("double")
     strength = n * cross * cross / F.greatest(F.lit(float(toxic) * clean) * (t + c) * (n - t - c), F.lit(1.0))
     best = counts.select("feature", strength.alias("strength"), (cross > 0).alias("speaks_for"))
-    best = best.orderBy(F.desc("strength"), "feature").limit(FEATURES).collect()
-    if not best:
+    best = best.orderBy(F.desc("strength"), "feature").limit(FEATURES)
+    # FEATURES rows in one, and then one row with a weight for each.
+    chosen = best.agg(F.sort_array(F.collect_list(F.struct("feature", "speaks_for"))).alias("all")).first()["all"]
+    if not chosen:
         return None
-    names = [r.feature for r in best]
-    found = rows.mapInPandas(_chosen(names), "toxic int, at array<int>, share array<double>").toPandas()
-    found = found.assign(order=[repr((t, list(a), list(s))) for t, a, s in zip(found["toxic"], found["at"], found["share"])])
-    found = found.sort_values("order", ignore_index=True)
-    x = np.zeros((len(found), len(names)))
-    for i, (at, share) in enumerate(zip(found["at"], found["share"])):
-        x[i, at] = share
-    is_toxic = found["toxic"].to_numpy() == 1
-    evidence = x[:, [i for i, r in enumerate(best) if r.speaks_for]].sum(1)
-    grades = np.where(is_toxic, np.where(evidence >= np.median(evidence[is_toxic]), 2, 1), 0)
-    if not (grades == 1).any():
-        grades = is_toxic.astype(int)
-    return fit_grades(x, grades, names)
+    names = [r.feature for r in chosen]
+    found = rows.mapInPandas(_chosen(names), "toxic int, at array<int>, share array<double>")
+    fitted = found.withColumn("sample", F.lit(0)).groupBy("sample").applyInPandas(
+        _fit_rows(names, [r.speaks_for for r in chosen]), "weights array<double>, thresholds array<double>"
+    )
+    model = fitted.first()
+    return Grades(dict(zip(names, model.weights)), tuple(model.thresholds))
+
+
+def _fit_rows(names: list[str], speaks_for: list[bool]):
+    """Fit a model on the sample, whose size is bounded, in one task."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        order = [repr((t, list(a), list(s))) for t, a, s in zip(rows["toxic"], rows["at"], rows["share"])]
+        rows = rows.assign(order=order).sort_values("order", ignore_index=True)
+        x = np.zeros((len(rows), len(names)))
+        for i, (at, share) in enumerate(zip(rows["at"], rows["share"])):
+            x[i, at] = share
+        is_toxic = rows["toxic"].to_numpy() == 1
+        evidence = x[:, speaks_for].sum(1)
+        grades = np.where(is_toxic, np.where(evidence >= np.median(evidence[is_toxic]), 2, 1), 0)
+        if not (grades == 1).any():
+            grades = is_toxic.astype(int)
+        model = fit_grades(x, grades, names)
+        return pd.DataFrame({"weights": [[model.weights[f] for f in names]], "thresholds": [list(model.thresholds)]})
+
+    return run
 
 
 class _Weights(dict):
