@@ -1,4 +1,4 @@
-"""Anchors: places of a text that any two equal stretches of it share."""
+"""Hashes of stretches of bytes, and the choice of the least in every window."""
 
 from __future__ import annotations
 
@@ -63,21 +63,3 @@ def window_choices(values: np.ndarray, window: int) -> np.ndarray:
     if width < window:
         widen(window - width)
     return place
-
-
-def anchors(levels: list[np.ndarray], ends: np.ndarray, length: int, gram: int) -> np.ndarray:
-    """Places of the anchors in texts that lie end to end.
-
-    ``gram`` is a power of two. Among the grams of every stretch of ``length``
-    bytes inside a text the one of least hash is an anchor. Equal stretches so
-    have their anchors at equal offsets.
-    """
-    grams = scramble(levels[gram.bit_length() - 1])
-    window = length - gram + 1
-    if len(grams) < window:
-        return np.empty(0, np.int64)
-    chosen = window_choices(grams, window)
-    # Stretches that would cross the end of a text don't count.
-    owner_end = np.repeat(ends[1:], np.diff(ends))[: len(chosen)]
-    inside = np.arange(len(chosen)) + length <= owner_end
-    return np.unique(chosen[inside])
