@@ -179,4 +179,86 @@ ORACLES: dict[str, str] = {
         FROM scores
         QUALIFY rank <= 20
     """,
+    "op5_repeated_bytes": """
+        WITH docs AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, '')))::BIGINT AS n
+            FROM documents),
+        windows AS (
+            SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s
+            FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM docs WHERE n >= 100)),
+        repeated AS (
+            SELECT doc_id, i
+            FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS nth FROM windows)
+            WHERE nth > 1),
+        runs AS (
+            SELECT doc_id, min(i) AS a, max(i) + 100 AS b
+            FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run
+                  FROM (SELECT doc_id, i,
+                               (i > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -1000) + 100)::INTEGER AS new
+                        FROM repeated))
+            GROUP BY doc_id, run),
+        parts AS (
+            SELECT r.doc_id, a, b, substr(h, 2 * before + 1, 2 * (a - before)) AS part
+            FROM (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM runs) r
+            JOIN docs USING (doc_id)),
+        cut AS (
+            SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans,
+                   string_agg(part, '' ORDER BY a) AS front, max(b) AS last
+            FROM parts GROUP BY doc_id)
+        SELECT d.doc_id, d.n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(CASE WHEN c.doc_id IS NULL THEN h ELSE front || substr(h, 2 * last + 1) END)) AS kept_sha256
+        FROM docs d LEFT JOIN cut c USING (doc_id)
+    """,
+    "op6_vector_links": """
+        WITH RECURSIVE usable AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        edges AS (
+            SELECT a.vec_id AS x, b.vec_id AS y
+            FROM usable a JOIN usable b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+            WHERE list_inner_product(a.v, b.v)
+                  / (sqrt(list_inner_product(a.v, a.v)) * sqrt(list_inner_product(b.v, b.v))) >= 0.93),
+        reached(vec_id, other) AS (
+            SELECT vec_id, vec_id FROM embeddings
+            UNION
+            SELECT r.vec_id, e.y FROM reached r JOIN edges e ON r.other = e.x),
+        lowest AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id),
+        degrees AS (SELECT x AS vec_id, count(*) AS n FROM edges GROUP BY x)
+        SELECT l.vec_id, coalesce(n, 0) AS n_links, component_id, l.vec_id = component_id AS kept
+        FROM lowest l LEFT JOIN degrees USING (vec_id)
+    """,
+    "op10_minhash_groups": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id,
+                   regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, s
+            FROM (SELECT doc_id,
+                         unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                                ELSE list_transform(range(1, len(w) - 2),
+                                                    lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
+                  FROM words)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+            GROUP BY a.doc_id, b.doc_id),
+        links AS (
+            SELECT x, y FROM common JOIN sizes sx ON sx.doc_id = x JOIN sizes sy ON sy.doc_id = y
+            WHERE 100 * k >= 80 * (sx.n + sy.n - k)),
+        edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+        reached(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION
+            SELECT r.doc_id, e.y FROM reached r JOIN edges e ON r.other = e.x),
+        lowest AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+        SELECT l.doc_id, coalesce(n, 0) AS n_shingles, component_id, l.doc_id = component_id AS kept
+        FROM lowest l LEFT JOIN sizes USING (doc_id)
+    """,
 }
