@@ -25,7 +25,7 @@ from comanda.llm.byte_level import (
 from comanda.llm.common import text_batches
 
 # Words whose ids a Python worker remembers; a cache, emptied when full.
-CACHE = 400_000
+CACHE = 150_000
 # Symbols that one round of words holds, padding included: it bounds memory.
 _ROUND = 1 << 20
 

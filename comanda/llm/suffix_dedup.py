@@ -24,7 +24,7 @@ BLOCK = 16
 # Blocks of one core that a shard takes; beyond it windows are dealt singly.
 SHARD_TERRITORIES = 256
 # Bytes of all shards of one task, and lengths of its shards.
-TASK_BYTES = 3 << 20
+TASK_BYTES = 1 << 20
 SHARD_BYTES = (2_048, 8_192)
 # Largest filter of document ids that is handed to tasks.
 FILTER_BITS = 1 << 28

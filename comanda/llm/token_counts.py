@@ -25,7 +25,7 @@ from comanda.llm.common import n_bytes, text_batches
 
 LIMIT = 512
 # Pieces whose totals a Python worker remembers; a cache, emptied when full.
-CACHE = 600_000
+CACHE = 300_000
 
 
 def _pieces(blank: str, letter: str, number: str) -> str:

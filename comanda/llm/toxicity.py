@@ -25,7 +25,7 @@ REJECT = 0.5
 PENALTY = 0.02
 STEPS = 300
 # Words whose weight a Python worker remembers; a cache, emptied when full.
-CACHE = 400_000
+CACHE = 150_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 # Lengths of word beginnings, which bring together the forms of a stem.
