@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,12 +18,17 @@ from comanda.llm.components import components
 WORDS = 5
 # Jaccard similarity in hundredths, from which two texts are linked.
 PERCENT = 80
-BANDS, BAND_ROWS = 32, 4
+BANDS, BAND_ROWS = 42, 6
 HASHES = BANDS * BAND_ROWS
 # A pair at the threshold is pruned wrongly with at most this probability a look.
 MISS = 1e-7
 # Hashes looked at in one step of the comparison.
-STEP = 16
+STEP = 28
+# Members of a bucket that are compared within one block, and rows of one task.
+BLOCK = 2_048
+TASK_ROWS = 8_192
+# Bytes of the sets of one task.
+TASK_BYTES = 24 << 20
 
 _RANDOM = np.random.default_rng(20240607)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -102,7 +108,7 @@ def shingle_sets(data: np.ndarray, ends: np.ndarray, words: int) -> list[np.ndar
 
 
 def signatures(sets: list[np.ndarray]) -> list[bytes | None]:
-    """For each set, the least of HASHES products over it, 32 bits each; none if empty."""
+    """For each set, the least of HASHES products over it, 16 mixed bits of each; none if empty."""
     blocks = [(i, s[at : at + _CHUNK]) for i, s in enumerate(sets) for at in range(0, len(s), _CHUNK)]
     out: list[bytes | None] = [None] * len(sets)
     least = np.empty((len(blocks), HASHES), np.uint64)
@@ -120,8 +126,8 @@ def signatures(sets: list[np.ndarray]) -> list[bytes | None]:
     if blocks:
         owner = np.array([i for i, _ in blocks])
         heads = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-        top = (np.minimum.reduceat(least, heads, axis=0) >> np.uint64(32)).astype("<u4")
-        for i, row in zip(owner[heads].tolist(), top):
+        mixed = (_scramble(np.minimum.reduceat(least, heads, axis=0)) >> np.uint64(48)).astype("<u2")
+        for i, row in zip(owner[heads].tolist(), mixed):
             out[i] = row.tobytes()
     return out
 
@@ -191,37 +197,104 @@ def least_matches(percent: int = PERCENT, miss: float = MISS) -> list[int]:
     return [next(m for m in range(n + 1) if probability(m, n) >= miss) for n in range(HASHES + 1)]
 
 
+def _matrix(signatures: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(signatures), "<u2").reshape(len(signatures), HASHES)
+
+
+def _surviving(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray, needed: list[int], agreed=0, at=0):
+    """Of the pairs (a, b) of rows, those no look at ever more hashes prunes."""
+    agreed = np.broadcast_to(agreed, len(a)).astype(np.int64)
+    while at < HASHES and len(a):
+        agreed = agreed + (left[a, at : at + STEP] == right[b, at : at + STEP]).sum(1)
+        at += STEP
+        go_on = agreed >= needed[at]
+        a, b, agreed = a[go_on], b[go_on], agreed[go_on]
+    return a, b
+
+
 def _bayes(percent: int, miss: float):
     needed = least_matches(percent, miss)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            left, right = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(n, HASHES) for c in ("sig_a", "sig_b")
-            )
-            alive, agreed = np.arange(n), np.zeros(n, np.int64)
-            for at in range(0, HASHES, STEP):
-                agreed = agreed + (left[alive, at : at + STEP] == right[alive, at : at + STEP]).sum(1)
-                go_on = agreed >= needed[at + STEP]
-                alive, agreed = alive[go_on], agreed[go_on]
+            left, right = (_matrix(batch.column(c).to_pylist()) for c in ("sig_a", "sig_b"))
+            every = np.arange(batch.num_rows)
+            alive, _ = _surviving(left, right, every, every, needed)
             yield batch.select(["a", "b"]).take(pa.array(alive))
 
     return run
 
 
+def _are_near(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have the similarity; 100 * common >= percent * union."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def _compare_blocks(percent: int, miss: float):
+    """Links between two blocks of a bucket, all blocks of a task in turn.
+
+    A pair is compared in the first bucket that it shares. Pairs that survive
+    the looks are confirmed on their sets, unless links of this task connect
+    them already; so a task returns fewer links than it has members.
+    """
+    needed = least_matches(percent, miss)
+
+    def tile(rows: pd.DataFrame, signed: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        first, second = (np.flatnonzero(rows["block"] == rows[c]) for c in ("lower", "upper"))
+        same = rows["lower"].iloc[0] == rows["upper"].iloc[0]
+        band = int(rows["band"].iloc[0])
+        low = np.unique(rows["low"].to_numpy(), return_inverse=True)[1]
+        size, outside = rows["n_shingles"].to_numpy(), rows["outside"].to_numpy()
+        for at in range(0, len(first), 128):
+            strip = first[at : at + 128]
+            wanted = (low[strip][:, None] != low[second][None, :]) & (outside[strip][:, None] | outside[second][None, :])
+            # Sets so different in size can't reach the threshold.
+            less = np.minimum(size[strip][:, None], size[second][None, :])
+            more = np.maximum(size[strip][:, None], size[second][None, :])
+            wanted &= 100 * less >= percent * more
+            if same:
+                wanted &= strip[:, None] < second[None, :]
+            q, c = np.nonzero(wanted)
+            for part in range(0, len(q), 1 << 16):
+                a, b = strip[q[part : part + (1 << 16)]], second[c[part : part + (1 << 16)]]
+                a, b = _surviving(signed, signed, a, b, needed)
+                before = (signed[a, : band * BAND_ROWS] == signed[b, : band * BAND_ROWS]).reshape(len(a), band, BAND_ROWS)
+                new = ~before.all(2).any(1)
+                yield a[new], b[new]
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        parent: dict[bytes, bytes] = {}
+
+        def root(x: bytes) -> bytes:
+            while (up := parent.get(x, x)) != x:
+                parent[x] = parent.get(up, up)
+                x = up
+            return x
+
+        links = []
+        for _, group in rows.groupby(["bucket", "lower", "upper"]):
+            group = group.reset_index(drop=True)
+            keys, lows = group["key"].tolist(), group["low"].tolist()
+            sets = [np.frombuffer(x, "<u8") for x in group["shingles"]]
+            for a, b in tile(group, _matrix(group["signature"].tolist())):
+                for i, j in zip(a.tolist(), b.tolist()):
+                    left, right = root(lows[i]), root(lows[j])
+                    if left != right and _are_near(sets[i], sets[j], percent):
+                        parent[max(left, right)] = min(left, right)
+                        links.append((keys[i], keys[j]))
+        return pd.DataFrame(links, columns=["a", "b"], dtype=object)
+
+    return run
+
+
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for left, right in zip(batch.column("set_a"), batch.column("set_b")):
                 a, b = (np.frombuffer(x.as_buffer(), "<u8") for x in (left, right))
-                # Sets so different in size can't reach the threshold.
-                if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-                    keep.append(False)
-                    continue
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
+                keep.append(_are_near(a, b, percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -234,58 +307,62 @@ def _pairs_with(pairs: DataFrame, table: DataFrame, column: str, left: str, righ
     return pairs
 
 
-def _verified(pairs: DataFrame, signed: DataFrame, sets: DataFrame, percent: int, miss: float) -> DataFrame:
-    """The pairs that pass the Bayesian comparison and then the exact one."""
-    near = _pairs_with(pairs, signed, "signature", "sig_a", "sig_b").mapInArrow(_bayes(percent, miss), PAIR)
-    near = stored(near, "near")
+def _confirmed(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _pairs_with(near, sets, "shingles", "set_a", "set_b").mapInArrow(_confirm(percent), PAIR)
 
 
 def _links(members: DataFrame, signed: DataFrame, sets: DataFrame, percent: int, miss: float) -> DataFrame:
     """Links (a, b) that connect all that the similar pairs of any bucket connect.
 
-    ``members`` has bucket, key and mates. In each round every bucket names one
-    member it has not named yet, the one with most mates, which is compared
-    with the members not connected to it so far. So a round compares no more
-    pairs than there are members, however large a bucket. Once all pairs left
-    in all buckets are no more than that, they are compared at once, which ends
-    it. A pair is left out only where its ends are connected already.
+    ``members`` has bucket, key and mates. First every bucket's member with most
+    mates is compared with all others of it: no more pairs than members, however
+    large the bucket, and copies of one text are mostly connected by that. Of
+    the pairs left, only those not connected yet need a look, and each has an
+    end outside its bucket's largest component. Buckets are cut into blocks, and
+    two blocks meet, with their signatures and sets, in a task of bounded size,
+    which returns only confirmed links; so no pairs are listed to be rejected.
     """
-    now = members.select("bucket", "key", "mates", F.col("key").alias("low"), F.lit(False).alias("named"))
-    rows = members.count()
-    links = tried = stored(members.sparkSession.createDataFrame([], PAIR), "links")
-    while True:
-        name = F.max(F.when(~F.col("named"), F.struct("mates", "key", "low")))
-        buckets = now.groupBy("bucket").agg(
-            F.count(F.lit(1)).alias("n"), F.min("low").alias("least"), F.max("low").alias("most"), name.alias("first")
-        )
-        active = stored(buckets.where("least <> most and first is not null").drop("least", "most"), "buckets")
-        n, square = active.agg(F.sum("n"), F.sum(F.col("n") * F.col("n"))).first()
-        if not n:
-            return links
-        here = now.join(active.select("bucket", "first"), "bucket")
-        last = square <= 2 * rows
-        if last:
-            left = here.select("bucket", F.col("key").alias("a"), F.col("low").alias("low_a"))
-            right = here.select("bucket", F.col("key").alias("b"), F.col("low").alias("low_b"))
-            found = left.join(right, "bucket").where("a < b and low_a <> low_b")
-        else:
-            found = here.where(F.col("low") != F.col("first.low")).select(
-                F.least("key", "first.key").alias("a"), F.greatest("key", "first.key").alias("b")
-            )
-        pairs = stored(found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-        links = stored(links.union(_verified(pairs, signed, sets, percent, miss)), "links")
-        if last:
-            return links
-        tried = stored(tried.union(pairs), "tried")
-        lows = components(links).select(F.col("node").alias("key"), F.col("low").alias("_low"))
-        now = stored(
-            here.join(lows, "key", "left").select(
-                "bucket", "key", "mates", F.coalesce("_low", "key").alias("low"),
-                (F.col("named") | (F.col("key") == F.col("first.key"))).alias("named"),
-            ),
-            "members",
+    size = F.col("n_shingles")
+    listed = members.join(signed.select("key", "n_shingles"), "key")
+    pivots = listed.groupBy("bucket").agg(F.max(F.struct("mates", "key", "n_shingles")).alias("first"))
+    alike = 100 * F.least(size, F.col("first.n_shingles")) >= percent * F.greatest(size, F.col("first.n_shingles"))
+    star = listed.join(pivots, "bucket").where((F.col("key") != F.col("first.key")) & alike)
+    pairs = star.select(F.least("key", "first.key").alias("a"), F.greatest("key", "first.key").alias("b")).distinct()
+    near = _pairs_with(pairs, signed, "signature", "sig_a", "sig_b").mapInArrow(_bayes(percent, miss), PAIR)
+    links = stored(_confirmed(stored(near, "near"), sets, percent), "links")
+
+    lows = components(links).select(F.col("node").alias("key"), F.col("low").alias("_low"))
+    now = stored(
+        members.join(lows, "key", "left").select("bucket", "band", "key", F.coalesce("_low", "key").alias("low")), "members"
+    )
+    parts = now.groupBy("bucket", "low").agg(F.count(F.lit(1)).alias("n"))
+    buckets = parts.groupBy("bucket").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "low")).alias("largest")
+    )
+    active = buckets.where("parts > 1").select(
+        "bucket", F.col("largest.low").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")
+    )
+    block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    dealt = (
+        now.join(active, "bucket")
+        .withColumn("block", block)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "bucket", "band", "key", "low", "block", (F.col("low") != F.col("main")).alias("outside"),
+            F.least("block", "other").alias("lower"), F.greatest("block", "other").alias("upper"),
         )
+    )
+    dealt = stored(dealt, "dealt")
+    # Tasks are dealt by the bytes of their sets, of which long texts have many.
+    whole = dealt.join(signed.select("key", "n_shingles"), "key").agg(F.count(F.lit(1)), F.sum("n_shingles")).first()
+    tasks = max(1, -(-(whole[0] or 0) // TASK_ROWS), -(-8 * (whole[1] or 0) // TASK_BYTES))
+    tiles = (
+        dealt.join(signed.select("key", "n_shingles", "signature"), "key")
+        .join(sets, "key")
+        .withColumn("task", F.pmod(F.xxhash64("bucket", "lower", "upper"), F.lit(tasks)).cast("int"))
+    )
+    more = tiles.groupBy("task").applyInPandas(_compare_blocks(percent, miss), PAIR)
+    return links.union(stored(more.distinct(), "links"))
 
 
 def row_digest(documents: DataFrame):
@@ -310,7 +387,7 @@ def near_duplicates(
     bucket are compared signature batch by signature batch; a pair is dropped
     when the posterior probability that it reaches the threshold falls below
     ``miss``, and the others are confirmed on their full sets. A pair at the
-    threshold shares no bucket with probability (1 - 0.8**4)**32 < 1e-7.
+    threshold shares no bucket with probability (1 - 0.8**6)**42 < 3e-6.
 
     Null, empty or blank text: no set, linked with nothing, a component of its
     own. Null doc_ids count as larger than all others, so a component of only
@@ -327,18 +404,19 @@ def near_duplicates(
     filled = signed.where("n_shingles > 0")
     nodes = stored(
         filled.groupBy("key").agg(
-            F.min("doc_id").alias("least"), F.min("rid").alias("rid"), F.any_value("signature").alias("signature")
+            F.min("doc_id").alias("least"), F.min("rid").alias("rid"),
+            F.any_value("n_shingles").alias("n_shingles"), F.any_value("signature").alias("signature"),
         ),
         "nodes",
     )
-    width = 4 * BAND_ROWS
+    width = 2 * BAND_ROWS
     bands = F.array(*[F.xxhash64(F.lit(i), F.substring("signature", 1 + width * i, width)) for i in range(BANDS)])
-    dealt = nodes.select("key", F.explode(bands).alias("bucket")).repartition("bucket")
+    dealt = nodes.select("key", F.posexplode(bands).alias("band", "bucket")).repartition("bucket")
     sizes = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = stored(dealt.join(sizes, "bucket"), "shared")
     mates = shared.groupBy("key").agg(F.sum("n").alias("mates"))
     members = stored(shared.drop("n").join(mates, "key"), "members")
-    wanted = members.select("key").distinct().join(nodes.select("key", "rid", "signature"), "key")
+    wanted = members.select("key").distinct().join(nodes.select("key", "rid", "n_shingles", "signature"), "key")
     wanted = stored(wanted, "wanted")
     sets = stored(
         rows.join(wanted.select("key", "rid"), "rid")
