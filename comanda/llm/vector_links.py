@@ -73,6 +73,20 @@ def _project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 )
 
 
+def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Enough of the links (a, b) to connect what they connect: each place with its least."""
+    lowest = np.arange(max(a.max(initial=-1), b.max(initial=-1)) + 1)
+    while len(a):
+        before = lowest.copy()
+        low = np.minimum(lowest[a], lowest[b])
+        np.minimum.at(lowest, lowest[a], low)
+        np.minimum.at(lowest, lowest[b], low)
+        lowest = lowest[lowest]
+        if (before == lowest).all() and (lowest[a] == lowest[b]).all():
+            break
+    return lowest
+
+
 def _collide(cosine: float):
     window = half_window(cosine)
     least = [least_collisions(n) for n in LOOKS]
@@ -84,7 +98,7 @@ def _collide(cosine: float):
         spots = (units @ directions(units.shape[1])).astype(np.float32)
         nodes, block = rows["node"].to_numpy(), rows["block"].to_numpy()
         here, there = np.flatnonzero(block == low), np.flatnonzero(block == high)
-        found = []
+        queries, partners = [], []
         # A strip of queries against the whole other block keeps the counts small.
         for at in range(0, len(here), 512):
             strip = here[at : at + 512]
@@ -93,6 +107,9 @@ def _collide(cosine: float):
                 return np.abs(spots[strip, None, j] - spots[None, there, j]) <= window
 
             open_pair = near(turn)
+            # What met in the window of an earlier turn is found there.
+            for j in range(turn):
+                open_pair &= ~near(j)
             if low == high:
                 open_pair &= nodes[strip][:, None] < nodes[there][None, :]
             count = np.zeros(open_pair.shape, np.int8)
@@ -105,26 +122,39 @@ def _collide(cosine: float):
                 met = met + (np.abs(spots[q, start:end] - spots[c, start:end]) <= window).sum(1)
                 go_on = met >= enough
                 q, c, met = q[go_on], c[go_on], met[go_on]
-            linked = np.einsum("ij,ij->i", units[q], units[c]) >= cosine
-            found.append(np.stack([nodes[q[linked]], nodes[c[linked]]], axis=1))
-        pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
-        return pd.DataFrame({"a": pairs.min(1, initial=np.iinfo(np.int64).max), "b": pairs.max(1, initial=-1)})
+            linked = np.concatenate(
+                [np.einsum("ij,ij->i", units[q[i : i + 65536]], units[c[i : i + 65536]]) >= cosine
+                 for i in range(0, len(q), 65536)] or [np.empty(0, bool)]
+            )
+            queries.append(q[linked])
+            partners.append(c[linked])
+        q, c = np.concatenate(queries), np.concatenate(partners)
+        copies = rows["copies"].to_numpy()
+        around = np.bincount(q, weights=copies[c], minlength=len(rows)) + np.bincount(c, weights=copies[q], minlength=len(rows))
+        met = np.flatnonzero(around)
+        root = _forest(q, c)
+        return pd.DataFrame({"a": nodes[met], "b": nodes[root[met]], "around": around[met].astype(np.int64)})
 
     return run
 
 
-def similar_pairs(nodes: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> DataFrame:
-    """Pairs (a, b) of nodes with one label whose cosine is at least ``cosine``.
+def similar(nodes: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> DataFrame:
+    """Links of nodes with one label whose cosine is at least ``cosine``: a, b, around.
+
+    ``nodes`` has node (long), label, width, copies and embedding. Each of a few
+    random projections is sorted within a label and cut into blocks of ``block``
+    rows; two blocks meet in a task if a window around some value of one reaches
+    the other. A task counts, for the pairs in each other's window, the
+    projections of all that put both in one window, drops pairs below counts
+    calibrated on the threshold, and confirms the others by cosine. So no task
+    holds more than two blocks, whatever a label's share of the rows. A pair
+    belongs to the first projection whose window it meets in, so to one task.
 
-    ``nodes`` has node (long), label, width and embedding. Each of a few random
-    projections is sorted within a label and cut into blocks of ``block`` rows;
-    two blocks meet in a task if a window around some value of one reaches the
-    other. A task counts, for the pairs in each other's window, the projections
-    of all that put both in one window, drops pairs below counts calibrated on
-    the threshold, and confirms the others by cosine. So no task holds more than
-    two blocks, whatever a label's share of the rows. A pair at the threshold
-    is found with probability above 0.9999: 1 - 0.046**4 for the windows, less 3e-6
-    for the counts; closer pairs with more.
+    A task returns a row for each node a with links there: ``around`` is how
+    many vectors, copies counted, it links a with, and b is a node that those
+    links reach. All (a, b) together connect what the links connect. A pair at
+    the threshold is found with probability above 0.9999: 1 - 0.046**4 for the
+    windows, less 3e-6 for the counts; closer pairs with more.
     """
     narrow = nodes.select("label", "width", "node", "embedding").mapInPandas(
         _project, f"label {dict(nodes.dtypes)['label']}, width int, turn int, value double, node long"
@@ -140,8 +170,9 @@ def similar_pairs(nodes: DataFrame, cosine: float = COSINE, block: int = BLOCK)
     meet = (F.col("left") <= F.col("right")) & (F.col("start") - F.col("end") <= half_window(cosine))
     tiles = stored(left.join(right, group).where(meet).select(*group, "left", "right"), "tiles")
     sides = tiles.withColumn("block", F.explode(F.array_distinct(F.array("left", "right"))))
-    dealt = placed.drop("value").join(sides, [*group, "block"]).join(nodes.select("node", "embedding"), "node")
-    return dealt.groupBy(*group, "left", "right").applyInPandas(_collide(cosine), "a long, b long").distinct()
+    vectors = nodes.select("node", "embedding", "copies")
+    dealt = placed.drop("value").join(sides, [*group, "block"]).join(vectors, "node")
+    return dealt.groupBy(*group, "left", "right").applyInPandas(_collide(cosine), "a long, b long, around long")
 
 
 def link_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> DataFrame:
@@ -167,18 +198,16 @@ def link_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK)
     nodes = stored(
         grouped.withColumn("width", F.size("embedding")).withColumn("node", F.monotonically_increasing_id()), "nodes"
     )
-    pairs = stored(similar_pairs(nodes, cosine, block), "pairs")
-    both = pairs.union(pairs.select("b", "a")).toDF("node", "other")
-    copies = nodes.select(F.col("node").alias("other"), "copies")
-    linked = both.join(copies, "other").groupBy("node").agg(F.sum("copies").alias("around"))
-    lows = components(pairs)
+    found = stored(similar(nodes, cosine, block), "similar")
+    linked = found.groupBy(F.col("a").alias("node")).agg(F.sum("around").alias("around"))
+    lows = components(found.select("a", "b"))
     marked = nodes.join(lows, "node", "left").withColumn("low", F.coalesce("low", "node"))
     ids = marked.groupBy("low").agg(F.min("least").alias("component_id"))
     per_node = marked.join(ids, "low").join(linked, "node", "left").select(
         *same, "component_id", (F.col("copies") - 1 + F.coalesce("around", F.lit(0))).alias("n_links")
     )
-    found = good.join(per_node, same).select("vec_id", "n_links", "component_id")
+    rated = good.join(per_node, same).select("vec_id", "n_links", "component_id")
     alone = rows.where(~F.col("usable")).select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
     )
-    return found.union(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return rated.union(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
