@@ -122,7 +122,10 @@ def association(with_toxic: np.ndarray, with_clean: np.ndarray, toxic: int, clea
 def _presence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
         for text, toxic in zip(rows["text"], rows["toxic"]):
-            yield pd.DataFrame({"feature": list(shares(text)), "toxic": int(toxic)})
+            features = list(shares(text if isinstance(text, str) else ""))
+            # A text without words has no row.
+            if features:
+                yield pd.DataFrame({"feature": np.array(features, object), "toxic": int(toxic)})
 
 
 def _chosen(names: list[str]):
@@ -130,7 +133,8 @@ def _chosen(names: list[str]):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            found = [{place[f]: s for f, s in shares(t).items() if f in place} for t in rows["text"]]
+            texts = [t if isinstance(t, str) else "" for t in rows["text"]]
+            found = [{place[f]: s for f, s in shares(t).items() if f in place} for t in texts]
             yield pd.DataFrame(
                 {"toxic": rows["toxic"], "at": [list(x) for x in found], "share": [list(x.values()) for x in found]}
             )
