@@ -369,13 +369,16 @@ def _kept_of(batch: pa.RecordBatch, decode: bool) -> pa.RecordBatch:
     )
 
 
-def _with_order(documents: DataFrame) -> DataFrame:
-    """Add doc and tie, which order the rows: doc_id, null last; the text, for equal ones."""
+def _with_order(documents: DataFrame) -> tuple[DataFrame, bool]:
+    """Add doc and tie, which order the rows: doc_id, null last; the text, for equal ones.
+
+    Also returns whether any doc_id is repeated; if not, all rows differ in doc.
+    """
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
     ids = documents.groupBy(doc.alias("doc")).agg(F.count(F.lit(1)).alias("n"))
     repeated = not ids.where("n > 1").isEmpty()
     tie = F.xxhash64("text") if repeated else F.lit(0).cast("long")
-    return documents.withColumn("doc", doc).withColumn("tie", tie)
+    return documents.withColumn("doc", doc).withColumn("tie", tie), repeated
 
 
 def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -474,17 +477,20 @@ def remove_repeats(
     agree.
 
     Null doc_ids come last. Rows with one doc_id are in the order of a digest of
-    their texts; rows equal in both are one document, repeated, and treated
-    alike. No rows: no rows. The names doc, tie, n_bytes, kept and removed must
-    be free.
+    their texts; rows equal in both are one document, repeated: none of them is
+    earlier than another, and each comes back with what the document keeps. No
+    rows: no rows. The names doc, tie, n_bytes, kept and removed must be free.
     """
     taken = {"doc", "tie", "n_bytes", "kept", "removed", "spans"} & set(documents.columns)
     if taken:
         raise ValueError(f"columns {sorted(taken)} must be free")
     text_batches(documents.sparkSession)
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    rows = _with_order(documents).withColumn("text", raw)
-    distinct = rows.where(F.octet_length("text") >= length)
+    rows, repeated = _with_order(documents.withColumn("text", raw))
+    distinct = rows.where(F.octet_length("text") >= length).select("doc", "tie", "text")
+    if repeated:
+        # A repeated row must not meet itself, or all its copies would lose what they share.
+        distinct = stored(distinct.dropDuplicates(["doc", "tie"]), "distinct")
     spans = repeated_spans(distinct, length, gram)
     grouped = stored(
         spans.distinct().groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "by_doc"

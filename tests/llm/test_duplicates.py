@@ -159,3 +159,19 @@ def test_removal_of_odd_rows(spark):
     # Of the two texts with one id, one is first; the repeated row is treated like it.
     assert sorted(r.n_removed for r in whole) in ([0, 0, len(text)], [0, len(text), len(text)])
     assert suffix_dedup.remove_repeats(spark.createDataFrame([], DOCUMENTS)).count() == 0
+
+
+@pytest.mark.parametrize("doc_id", [4, None])
+def test_repeated_rows_keep_their_text(spark, doc_id):
+    text = prose(random.Random(9), 40)
+    docs = documents(spark, [(doc_id, text, "s")] * 2)
+    assert tuples(suffix_dedup.drop_repeats(docs)) == tuples(docs)
+
+
+def test_a_table_loaded_twice_keeps_what_it_keeps_once(spark):
+    texts = passages(12)
+    rows = [(i if i % 3 else None, t, "s") for i, t in enumerate(texts)]
+    once = tuples(suffix_dedup.drop_repeats(documents(spark, rows)), "doc_id", "text")
+    twice = tuples(suffix_dedup.drop_repeats(documents(spark, rows * 2)), "doc_id", "text")
+    # A null id's repeated rows are one document as well, so copies come in twos.
+    assert twice == sorted(once * 2, key=repr)
