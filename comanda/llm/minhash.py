@@ -370,30 +370,9 @@ def row_digest(documents: DataFrame):
     return F.xxhash64(documents["doc_id"], documents["text"])
 
 
-def near_duplicates(
-    documents: DataFrame, words: int = WORDS, percent: int = PERCENT, miss: float = MISS
-) -> DataFrame:
-    """Components of near-equal documents: doc_id, rid, n_shingles, component_id, kept.
-
-    ``documents`` needs doc_id and text; other columns are left out. Texts are
-    compared as sets of runs of ``words`` words (A-Z small, cut at ASCII white
-    space); a text with fewer words is one run of all of them. Two texts are
-    linked if their sets' Jaccard similarity is at least ``percent`` hundredths.
-    Each row comes back with the smallest doc_id reachable by links, its own
-    included; kept tells whether that is its own. rid is ``row_digest``.
-
-    Texts of equal words are one node, whatever their number. Each node has a
-    MinHash signature, of which bands of hashes name buckets. Candidates of a
-    bucket are compared signature batch by signature batch; a pair is dropped
-    when the posterior probability that it reaches the threshold falls below
-    ``miss``, and the others are confirmed on their full sets. A pair at the
-    threshold shares no bucket with probability (1 - 0.8**6)**42 < 3e-6.
-
-    Null, empty or blank text: no set, linked with nothing, a component of its
-    own. Null doc_ids count as larger than all others, so a component of only
-    such has the id null, and its rows are not kept apart (kept is null).
-    Repeated rows each come back, with equal results. No rows: no rows.
-    """
+def _grouped(documents: DataFrame, words: int, percent: int, miss: float) -> tuple[DataFrame, DataFrame]:
+    """Signed rows (doc_id, rid, key, n_shingles, signature), and (key, least, low) of
+    each node with words: its least doc_id, and the least key of its component."""
     text_batches(documents.sparkSession)
     kind = dict(documents.dtypes)["doc_id"]
     rows = documents.select("doc_id", row_digest(documents).alias("rid"), "text")
@@ -428,6 +407,34 @@ def near_duplicates(
     links = _links(members, wanted, sets, percent, miss)
     lows = components(links).select(F.col("node").alias("key"), "low")
     grouped = nodes.select("key", "least").join(lows, "key", "left").withColumn("low", F.coalesce("low", "key"))
+    return signed, grouped
+
+
+def near_duplicates(
+    documents: DataFrame, words: int = WORDS, percent: int = PERCENT, miss: float = MISS
+) -> DataFrame:
+    """Components of near-equal documents: doc_id, rid, n_shingles, component_id, kept.
+
+    ``documents`` needs doc_id and text; other columns are left out. Texts are
+    compared as sets of runs of ``words`` words (A-Z small, cut at ASCII white
+    space); a text with fewer words is one run of all of them. Two texts are
+    linked if their sets' Jaccard similarity is at least ``percent`` hundredths.
+    Each row comes back with the smallest doc_id reachable by links, its own
+    included; kept tells whether that is its own. rid is ``row_digest``.
+
+    Texts of equal words are one node, whatever their number. Each node has a
+    MinHash signature, of which bands of hashes name buckets. Candidates of a
+    bucket are compared signature batch by signature batch; a pair is dropped
+    when the posterior probability that it reaches the threshold falls below
+    ``miss``, and the others are confirmed on their full sets. A pair at the
+    threshold shares no bucket with probability (1 - 0.8**6)**42 < 3e-6.
+
+    Null, empty or blank text: no set, linked with nothing, a component of its
+    own. Null doc_ids count as larger than all others, so a component of only
+    such has the id null, and its rows are not kept apart (kept is null).
+    Repeated rows each come back, with equal results. No rows: no rows.
+    """
+    signed, grouped = _grouped(documents, words, percent, miss)
     ids = grouped.groupBy("low").agg(F.min("least").alias("component_id"))
     by_key = stored(grouped.join(ids, "low").select("key", "component_id"), "components")
     found = signed.drop("signature").join(by_key, "key", "left")
@@ -442,16 +449,20 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """One document of each group of near-equal ones, with all its columns.
 
-    The one with the smallest doc_id stays; among rows that share it, the one
-    of the smallest digest, once. Documents without words all stay, as do those
-    whose whole component has no doc_id, but for repeats of one row.
+    Groups are the components of linked texts, whatever their doc_ids: texts that
+    share a doc_id and aren't linked are of different groups, and those without
+    one are of the group of their text. The row with the smallest doc_id stays,
+    nulls last; among rows that share it, the one of the smallest digest, once.
+    Documents without words all stay, but for repeats of one row.
     """
-    found = near_duplicates(documents, words, percent, miss)
-    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("row "), F.col("rid").cast("string")))
-    blank = F.col("n_shingles") == 0
-    group = F.when(blank, F.concat(F.lit("blank "), F.col("rid").cast("string"))).otherwise(group)
-    first = found.groupBy(group.alias("_group")).agg(F.min_by("rid", F.struct(F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1)), "rid")).alias("_rid"))
+    signed, grouped = _grouped(documents, words, percent, miss)
+    # Copies of a text are one row before they are joined.
+    turn = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid"))
+    texts = signed.where("n_shingles > 0").groupBy("key").agg(turn.alias("first"))
+    first = texts.join(grouped.select("key", "low"), "key").groupBy("low").agg(F.min("first").alias("first"))
+    blank = signed.where("n_shingles = 0").select("rid")
+    left = first.select(F.col("first.rid").alias("_rid")).union(blank).distinct()
     # Equal rows share a digest; one of them is left.
     marked = documents.withColumn("_rid", row_digest(documents))
-    stays = marked.join(first.select("_rid").distinct(), "_rid", "left_semi")
+    stays = marked.join(left, "_rid", "left_semi")
     return stays.dropDuplicates(["_rid", "doc_id"]).select(*documents.columns)

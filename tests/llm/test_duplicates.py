@@ -175,3 +175,17 @@ def test_a_table_loaded_twice_keeps_what_it_keeps_once(spark):
     twice = tuples(suffix_dedup.drop_repeats(documents(spark, rows * 2)), "doc_id", "text")
     # A null id's repeated rows are one document as well, so copies come in twos.
     assert twice == sorted(once * 2, key=repr)
+
+
+def test_texts_that_share_a_doc_id_are_not_one_group(spark):
+    a, b, c = (prose(random.Random(i), 40) for i in range(3))
+    rows = [(1, a, "s"), (1, b, "s"), (2, b + " end", "s"), (3, c, "s"), (1, c + " end", "s")]
+    left = minhash.drop_near_duplicates(documents(spark, rows), 5)
+    assert tuples(left, "doc_id", "text") == sorted([(1, a), (1, b), (1, c + " end")], key=repr)
+
+
+def test_near_copies_without_ids_are_one_group(spark):
+    a, b = (prose(random.Random(i), 40) for i in range(2))
+    rows = [(None, t, "s") for t in (a, a + " end", a.upper(), a.replace(" ", "  "), a, b)] + [(None, "", "s"), (5, " ", "s")]
+    left = [r.text for r in minhash.drop_near_duplicates(documents(spark, rows), 5).collect()]
+    assert len(left) == 4 and {"", " ", b} < set(left)
