@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import bpe, minhash, mixing, sharding, suffix_dedup, token_counts, topk, toxicity, url_filters, vector_links
+from comanda.llm import bpe, chunked_bpe, minhash, mixing, sharding, suffix_dedup, token_counts, topk, toxicity, url_filters, vector_links
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +83,13 @@ def op10_minhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op12_chunk_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of every document's ids under ranks for many languages, and of their bytes."""
+    path = _tokenizer("byte_bpe_multi_50k.tiktoken")
+    encoded = chunked_bpe.encode(_table(spark, folder, "documents"), path)
+    return chunked_bpe.digests(chunked_bpe.decode(encoded, path))
+
+
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op2_toxicity_grades": op2_toxicity_grades,
@@ -94,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op8_top_vectors": op8_top_vectors,
     "op9_bpe_round": op9_bpe_round,
     "op10_minhash_groups": op10_minhash_groups,
+    "op12_chunk_bpe": op12_chunk_bpe,
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
