@@ -34,7 +34,7 @@ OVERLAP = 1 << 9
 # A pre-token is settled by at most this many characters after its start or end.
 _AHEAD = 3
 # Pre-tokens whose ids a Python worker remembers; a cache, emptied when full.
-CACHE = 200_000
+CACHE = 150_000
 
 
 def _pattern(blank: str, letter: str, number: str, other: str) -> str:

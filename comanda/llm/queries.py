@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import bpe, chunked_bpe, minhash, mixing, sharding, suffix_dedup, token_counts, topk, toxicity, url_filters, vector_links
+from comanda.llm import (
+    bpe,
+    chunked_bpe,
+    dialogue_repair,
+    minhash,
+    mixing,
+    sharding,
+    suffix_dedup,
+    token_counts,
+    topk,
+    toxicity,
+    url_filters,
+    vector_links,
+    whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +97,11 @@ def op10_minhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_whitened_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors on their eight leading components, with unit covariance."""
+    return whitening.whiten(_table(spark, folder, "embeddings"))
+
+
 def op12_chunk_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of every document's ids under ranks for many languages, and of their bytes."""
     path = _tokenizer("byte_bpe_multi_50k.tiktoken")
@@ -90,6 +109,22 @@ def op12_chunk_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return chunked_bpe.digests(chunked_bpe.decode(encoded, path))
 
 
+def op13_dialogue_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """What is wrong with damaged conversations, their least edits, and a digest after them."""
+    conversations = _table(spark, folder, "conversations")
+    repair = dialogue_repair.Repair(dialogue_repair.damage(conversations))
+    found = conversations.select("conv_id").distinct()
+    for part in (repair.report(), repair.digests()):
+        part = part.withColumnRenamed("conv_id", "c")
+        found = found.join(part, F.col("conv_id").eqNullSafe(F.col("c")), "left").drop("c")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return found.select(
+        "conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op2_toxicity_grades": op2_toxicity_grades,
@@ -101,7 +136,9 @@ QUERIES: dict[str, Query] = {
     "op8_top_vectors": op8_top_vectors,
     "op9_bpe_round": op9_bpe_round,
     "op10_minhash_groups": op10_minhash_groups,
+    "op11_whitened_vectors": op11_whitened_vectors,
     "op12_chunk_bpe": op12_chunk_bpe,
+    "op13_dialogue_repair": op13_dialogue_repair,
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
