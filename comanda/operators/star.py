@@ -19,7 +19,8 @@ from comanda.functions.calendar import (
 from comanda.functions.keys import distinct_keys, one_per_key, surrogate_key
 from comanda.functions.numbers import line_amount
 from comanda.schemas import MONEY, PARTITION, WAREHOUSE
-from comanda.sources.tables import LazyTables, Tables, read_table
+from comanda.sinks.warehouse import STAR, current_load, read_load
+from comanda.sources.tables import LazyTables, Tables
 
 
 class Star(LazyTables):
@@ -245,7 +246,12 @@ def build_star(
 
 
 def read_star(spark: SparkSession, database: str) -> Star:
-    """The star as stored by the nightly load."""
-    return Star(
-        **{name: partial(read_table, spark, name, database) for name in WAREHOUSE}
-    )
+    """The star as the load that is shown now wrote it.
+
+    All tables are of that load, also in queries that are run after the next
+    one; read the star again to see that.
+    """
+    load = current_load(spark, STAR, database)
+    if load is None:
+        raise LookupError(f"no load has been published in {database}")
+    return Star(**{name: partial(read_load, spark, name, load, database) for name in WAREHOUSE})

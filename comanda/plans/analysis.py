@@ -15,7 +15,7 @@ from comanda.operators.routing import route_assignments
 from comanda.plans.arguments import add_source, read_source
 from comanda.session import materialise, prepare, remove_run_folders
 from comanda.sinks.files import export_graph, write_results
-from comanda.sinks.warehouse import write_tables
+from comanda.sinks.warehouse import ANALYSIS, write_tables
 from comanda.sources.normalise import normalise
 from comanda.sources.tables import Tables
 
@@ -73,7 +73,7 @@ def run(
     write_results(shown, results_folder)
     export_graph(data, pairs, routes, graph_folder, options.depot)
     if options.database:
-        write_tables({**results, "route_assignments": routes}, options.database)
+        write_tables({**results, "route_assignments": routes}, options.database, ANALYSIS)
 
 
 def register_views(data: Tables) -> None:

@@ -5,43 +5,56 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-from comanda.operators.graph import EDGE_KEYS, NODE_KEYS, from_files, upsert
-from comanda.session import materialise, prepare, remove_run_folders
-from comanda.sinks.warehouse import write_tables
+from comanda.operators.graph import EDGE_KEYS, NODE_KEYS, from_files
+from comanda.session import prepare, remove_run_folders
+from comanda.sinks.buckets import BUCKETS, BucketTable
+from comanda.sinks.warehouse import Version, new_load, publish
 from comanda.sources.tables import read_graph_files
 
 GRAPH_DATABASE = "comanda_grafo"
+GRAPH = "grafo"
 
 
-def load(spark: SparkSession, folder: str, database: str = GRAPH_DATABASE) -> dict[str, int]:
+def tables(database: str = GRAPH_DATABASE, buckets: int = BUCKETS) -> dict[str, BucketTable]:
+    """The stored tables of the graph, by node label and edge type, with their keys."""
+    keys = {f"node_{name}": key for name, key in NODE_KEYS.items()}
+    keys |= {f"edge_{name}": key for name, key in EDGE_KEYS.items()}
+    return {name: BucketTable(name, key, GRAPH, database, buckets) for name, key in keys.items()}
+
+
+def load(
+    spark: SparkSession, folder: str, database: str = GRAPH_DATABASE, buckets: int = BUCKETS
+) -> dict[str, int]:
     """Upsert the nodes and edges of the files; returns the rows of each table.
 
     A node or edge that is there already, by its key, takes the files' values.
-    All tables are shown together once they are complete.
+    Only buckets in which something is new or differs are written. All tables
+    are shown together, by one write, once they are complete.
     """
     prepare(spark)
     nodes, edges = from_files(read_graph_files(spark, folder))
-    keys = {f"node_{name}": key for name, key in NODE_KEYS.items()}
-    keys |= {f"edge_{name}": key for name, key in EDGE_KEYS.items()}
-    new: dict[str, DataFrame] = {f"node_{name}": getattr(nodes, name) for name in NODE_KEYS}
-    new |= {f"edge_{name}": getattr(edges, name) for name in EDGE_KEYS}
-    merged = {}
-    for table, df in new.items():
-        if spark.catalog.tableExists(f"{database}.{table}"):
-            df = upsert(spark.table(f"{database}.{table}"), materialise(df, table), *keys[table])
-        merged[table] = df
-    return write_tables(merged, database)
+    stored = tables(database, buckets)
+    number = new_load(spark, database)
+    versions: list[Version] = []
+    for name, table in stored.items():
+        kind, label = name.split("_", 1)
+        versions += table.upsert(getattr(nodes if kind == "node" else edges, label), number)
+    publish(spark, GRAPH, versions, number, database)
+    for table in stored.values():
+        table.drop_old(spark)
+    return {name: sum(v.rows for v in versions if v.table == name) for name in stored}
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Load the graph's exchange files")
     parser.add_argument("--graph", required=True, help="folder of the exchange CSVs")
     parser.add_argument("--database", default=GRAPH_DATABASE)
+    parser.add_argument("--buckets", type=int, default=BUCKETS, help="of each table; fixed by the first load")
     args = parser.parse_args(arguments)
     spark = SparkSession.builder.appName("comanda graph").getOrCreate()
-    print(load(spark, args.graph, args.database))
+    print(load(spark, args.graph, args.database, args.buckets))
     remove_run_folders()
 
 

@@ -9,19 +9,40 @@ from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from comanda.operators import star as star_operators
-from comanda.operators.quality import CATALOGUE, catalogue_changes, fingerprint, require_rows
+from comanda.operators.quality import (
+    BUCKET,
+    CATALOGUE,
+    catalogue_changes,
+    differing_buckets,
+    digest_tree,
+    require_rows,
+)
 from comanda.operators.star import Star
 from comanda.plans.arguments import add_source, read_source
 from comanda.schemas import DATABASE
 from comanda.session import materialise, prepare, remove_run_folders
+from comanda.sinks.buckets import BucketTable, bucketed
 from comanda.sinks.files import publish_changes
-from comanda.sinks.warehouse import Version, publish, write_tables, write_version
-from comanda.sources.tables import Tables, read_table
+from comanda.sinks.warehouse import (
+    CATALOGUE_STATE,
+    STAR,
+    Version,
+    create_tables,
+    current_load,
+    new_load,
+    publish,
+    read_load,
+    write_version,
+)
+from comanda.sources.tables import Tables
 
 SNAPSHOT = "catalogo_publicado"
-PRINT = "huella_catalogo"
+PRINT = "huellas_catalogo"
+# Buckets of the catalogue; a change costs the comparison of one.
+BUCKETS = 256
 
 
 @dataclass(frozen=True)
@@ -30,65 +51,75 @@ class LoadReport:
     published: str | None
 
 
-def _write_all(tables: dict[str, DataFrame], database: str) -> dict[str, Version]:
+def _write_all(tables: dict[str, DataFrame], load: int, database: str) -> list[Version]:
     """Write tables that do not depend on each other side by side."""
     with ThreadPoolExecutor(len(tables)) as pool:
-        running = {
-            name: pool.submit(write_version, df, name, database) for name, df in tables.items()
-        }
-        return {name: future.result() for name, future in running.items()}
+        running = [pool.submit(write_version, df, name, load, database) for name, df in tables.items()]
+        return [future.result() for future in running]
 
 
-def write_dimensions(source: Tables, database: str) -> dict[str, Version]:
+def write_dimensions(source: Tables, load: int, database: str) -> list[Version]:
     dims = {
         "dim_tiempo": star_operators.dim_tiempo(source.orders, source.reservations),
         "dim_usuario": star_operators.dim_usuario(source.users),
         "dim_restaurante": star_operators.dim_restaurante(source.restaurants),
         "dim_producto": star_operators.dim_producto(source.products),
     }
-    return _write_all(dims, database)
+    return _write_all(dims, load, database)
 
 
-def write_facts(
-    spark: SparkSession, source: Tables, dims: dict[str, Version], database: str
-) -> dict[str, Version]:
-    """Both facts against the dimensions just written."""
-    star = Star(**{n: partial(read_table, spark, v.table, database) for n, v in dims.items()})
+def write_facts(spark: SparkSession, source: Tables, load: int, database: str) -> list[Version]:
+    """Both facts against the dimensions of the same load."""
+    dims = (name for name in Star.NAMES if name.startswith("dim_"))
+    star = Star(**{name: partial(read_load, spark, name, load, database) for name in dims})
     facts = {
         "fact_items_pedido": star_operators.fact_items_pedido(
             source.orders, source.order_items, star
         ),
         "fact_reservaciones": star_operators.fact_reservaciones(source.reservations, star),
     }
-    return _write_all(facts, database)
+    return _write_all(facts, load, database)
 
 
 def load_star(spark: SparkSession, source: Tables, database: str = DATABASE) -> dict[str, int]:
-    """Write all six tables, then show them: dimensions and facts are of one load."""
-    versions = write_dimensions(source, database)
-    versions |= write_facts(spark, source, versions, database)
-    publish(spark, versions, database)
-    return {name: version.rows for name, version in versions.items()}
+    """Declare the warehouse, write all six tables, then show them by one write."""
+    create_tables(spark, database)
+    load = new_load(spark, database)
+    versions = write_dimensions(source, load, database)
+    versions += write_facts(spark, source, load, database)
+    publish(spark, STAR, versions, load, database)
+    return {version.table: version.rows for version in versions}
 
 
 def publish_catalogue(
-    spark: SparkSession, products: DataFrame, database: str, path: str
+    spark: SparkSession, products: DataFrame, database: str, path: str, buckets: int = BUCKETS
 ) -> str | None:
     """Publish what changed in the catalogue since it was last published.
 
-    The catalogue is read once and written down: what is compared, published
-    and remembered is that copy, whatever the source does meanwhile. It is
+    The catalogue is read once and written down, by buckets of its ids: what is
+    compared, published and remembered is that copy, whatever the source does
+    meanwhile. Its digest tree is held against the one remembered, from the top
+    down, and only buckets that differ are compared and stored anew. They are
     remembered only after the changes are out, so a failed publication is
     repeated by the next load. Returns the publication's folder, or None.
     """
-    catalogue = materialise(products.select(*CATALOGUE), "catalogue")
-    now = fingerprint(catalogue)
-    known = spark.catalog.tableExists(f"{database}.{PRINT}")
-    if known and now.exceptAll(spark.table(f"{database}.{PRINT}")).isEmpty():
+    catalogue = bucketed(products.select(*CATALOGUE), "id", buckets)
+    now = materialise(digest_tree(catalogue, buckets), "digests")
+    snapshot = BucketTable(SNAPSHOT, ("id",), CATALOGUE_STATE, database, buckets)
+    parts = snapshot.parts(spark)
+    remembered = current_load(spark, CATALOGUE_STATE, database)
+    tree = now.limit(0) if remembered is None else read_load(spark, PRINT, remembered, database)
+    differing = differing_buckets(tree, now, buckets)
+    if remembered is not None and not differing:
         return None
-    before = spark.table(f"{database}.{SNAPSHOT}") if known else catalogue.limit(0)
-    folder = publish_changes(catalogue_changes(before, catalogue), path)
-    write_tables({SNAPSHOT: catalogue, PRINT: now}, database)
+    after = catalogue.where(F.col(BUCKET).isin(differing)).drop(BUCKET)
+    before = snapshot.read(spark, [parts[b] for b in differing if b in parts]) if parts else after.limit(0)
+    folder = publish_changes(catalogue_changes(before, after), path)
+    load = new_load(spark, database)
+    versions = snapshot.replace(after, differing, load)
+    versions.append(write_version(now, PRINT, load, database))
+    publish(spark, CATALOGUE_STATE, versions, load, database)
+    snapshot.drop_old(spark)
     return folder
 
 

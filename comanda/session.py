@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Sequence
 
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
@@ -64,13 +65,13 @@ def remove_run_folders() -> None:
         _run_folders.discard(folder)
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def materialise(df: DataFrame, label: str, folders: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` once to the shared folder, by ``folders`` if given, and read it back.
 
     Cuts the lineage in a way that survives lost executors, and keeps column
     pruning for the readers. The size of the files then tells the planner what
     may be broadcast.
     """
     path = f"{run_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path) if folders else df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,16 +1,21 @@
-"""Write warehouse tables.
+"""Write warehouse tables, load by load, and show all tables of a load at once.
 
-A table is a view over one of its versions. A load writes new versions beside
-the old ones and then points the views at them, so that a reader always finds a
-whole table and a failed load leaves everything as it was.
+The rows of a table lie in one stored table, in a folder per load. A view shows
+those of the load that the pointer names. The pointer is the table ``cargas``:
+a publication appends one file to it, with a line per table of the load, so a
+single write switches all tables of a group, and a load that fails leaves
+everything as it was. The views of a group ask the same question of the pointer,
+which a query answers once, so tables that are joined are of one load.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Mapping
+import time
+from collections.abc import Iterable, Mapping
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,13 +23,25 @@ from pyspark.sql import types as T
 from comanda.schemas import DATABASE, PARTITION, WAREHOUSE
 
 PARTITIONED = ("fact_items_pedido", "fact_reservaciones")
+POINTER = "cargas"
+LOAD = "carga"
+# Tables that are always loaded together.
+STAR, CATALOGUE_STATE, ANALYSIS = "estrella", "catalogo", "analisis"
+# Loads that stay: the one shown, and the one before for those who still read it.
+KEPT_LOADS = 2
 
 
 class Version(NamedTuple):
-    """A table as one load wrote it."""
+    """A table as one load wrote it; ``part`` names a part of it, where it has several."""
 
     table: str
+    load: int
     rows: int
+    part: str = ""
+
+
+def stored_name(name: str) -> str:
+    return f"{name}__cargas"
 
 
 def _comment(name: str, column: str) -> str:
@@ -36,96 +53,221 @@ def _comment(name: str, column: str) -> str:
     return (schema[column].metadata or {}).get("comment", "") if known else ""
 
 
-def table_ddl(name: str, schema: T.StructType, database: str = DATABASE) -> str:
-    fields = [(f.name, f.dataType.simpleString().upper()) for f in schema.fields]
-    if name in PARTITIONED:
-        fields.append((PARTITION, "INT"))
+def table_ddl(
+    name: str,
+    schema: T.StructType,
+    database: str = DATABASE,
+    stored: str | None = None,
+    folders: tuple[tuple[str, str], ...] = ((LOAD, "BIGINT"),),
+) -> str:
+    """The stored table of ``name``: its columns, and the folders its rows lie in."""
+    inner = ((PARTITION, "INT"),) if name in PARTITIONED else ()
+    fields = [(f.name, f.dataType.simpleString().upper()) for f in schema.fields if f.name != PARTITION]
     columns = []
-    for field, kind in fields:
+    for field, kind in (*fields, *folders, *inner):
         comment = _comment(name, field)
-        columns.append(f"{field} {kind} COMMENT '{comment}'" if comment else f"{field} {kind}")
-    partition = f" PARTITIONED BY ({PARTITION})" if name in PARTITIONED else ""
+        columns.append(f"`{field}` {kind} COMMENT '{comment}'" if comment else f"`{field}` {kind}")
+    partition = ", ".join(f"`{c}`" for c, _ in (*folders, *inner))
     return (
-        f"CREATE TABLE IF NOT EXISTS {database}.{name} ({', '.join(columns)}) "
-        f"USING ORC OPTIONS ('compression' 'snappy'){partition}"
+        f"CREATE TABLE IF NOT EXISTS {database}.{stored or stored_name(name)} ({', '.join(columns)}) "
+        f"USING ORC OPTIONS ('compression' 'snappy') PARTITIONED BY ({partition})"
     )
 
 
-def create_tables(spark: SparkSession, database: str = DATABASE) -> None:
-    """Declare the empty warehouse; a load replaces its tables by views."""
+def _current(group: str, database: str) -> str:
+    return f"(SELECT max({LOAD}) FROM {database}.{POINTER} WHERE grupo = '{group}')"
+
+
+def shown_rows(name: str, group: str, database: str) -> str:
+    """The condition on a stored table for the rows of the load that is shown."""
+    return f"{LOAD} = {_current(group, database)}"
+
+
+def shown_parts(name: str, group: str, database: str) -> str:
+    """The same for a table of parts, of which a load replaces some."""
+    listed = (
+        f"SELECT parte FROM {database}.{POINTER} WHERE grupo = '{group}' AND tabla = '{name}' "
+        f"AND {LOAD} = {_current(group, database)}"
+    )
+    return f"parte IN ({listed})"
+
+
+def declare_pointer(spark: SparkSession, database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {database}.{POINTER} "
+        f"(tabla STRING, parte STRING, filas BIGINT, grupo STRING, {LOAD} BIGINT) "
+        f"USING ORC PARTITIONED BY (grupo, {LOAD})"
+    )
+
+
+def declare(
+    spark: SparkSession,
+    name: str,
+    schema: T.StructType,
+    database: str = DATABASE,
+    stored: str | None = None,
+    folders: tuple[tuple[str, str], ...] = ((LOAD, "BIGINT"),),
+) -> None:
+    """Create the stored table unless it is there; its columns must be those of ``schema``."""
+    stored = stored or stored_name(name)
+    spark.sql(table_ddl(name, schema, database, stored, folders))
+    there = dict(spark.table(f"{database}.{stored}").dtypes)
+    wanted = {f.name: f.dataType.simpleString() for f in schema} | {c: there[c] for c, _ in folders}
+    wanted |= {PARTITION: "int"} if name in PARTITIONED else {}
+    if there != wanted:
+        changed = sorted(set(there.items()) ^ set(wanted.items()))
+        raise ValueError(f"{database}.{name} has other columns than this load: {changed}")
+
+
+def declare_view(
+    spark: SparkSession, name: str, group: str, database: str = DATABASE, stored: str | None = None, shown=shown_rows
+) -> None:
+    """Have the table's view read what the pointer shows; one that does so stays."""
+    stored, table = stored or stored_name(name), f"{database}.{name}"
+    condition = shown(name, group, database)
+    if spark.catalog.tableExists(table):
+        if spark.catalog.getTable(table).tableType == "VIEW":
+            text = spark.sql(f"SHOW CREATE TABLE {table}").first()[0]
+            if f".{stored} " in text and f"'{group}'" in text:
+                return
+        else:
+            spark.sql(f"DROP TABLE {table}")
+    columns = [c for c in spark.table(f"{database}.{stored}").columns if c not in (LOAD, "parte")]
+    listed = ", ".join(f"`{c}` COMMENT '{_comment(name, c)}'" for c in columns)
+    taken = ", ".join(f"`{c}`" for c in columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {table} ({listed}) AS SELECT {taken} FROM {database}.{stored} WHERE {condition}")
+
+
+def create_tables(spark: SparkSession, database: str = DATABASE) -> None:
+    """Declare the warehouse by its contract, and the views over it; a load does so first."""
+    declare_pointer(spark, database)
     for name, schema in WAREHOUSE.items():
-        spark.sql(table_ddl(name, schema, database))
+        declare(spark, name, schema, database)
+        declare_view(spark, name, STAR, database)
 
 
-def write_version(df: DataFrame, name: str, database: str = DATABASE) -> Version:
-    """Write a new version of a table; its rows are counted while writing.
+def current_load(spark: SparkSession, group: str, database: str = DATABASE) -> int | None:
+    """The load that a group's views show; None before the first one."""
+    if not spark.catalog.tableExists(f"{database}.{POINTER}"):
+        return None
+    return spark.sql(f"SELECT {_current(group, database)}").first()[0]
+
+
+def new_load(spark: SparkSession, database: str = DATABASE) -> int:
+    """A number above those of all loads before; from the clock, so that it tells when."""
+    declare_pointer(spark, database)
+    last = spark.table(f"{database}.{POINTER}").agg(F.max(LOAD)).first()[0] or 0
+    return max(last + 1, time.time_ns() // 1_000_000)
+
+
+def read_load(spark: SparkSession, name: str, load: int, database: str = DATABASE) -> DataFrame:
+    """A table as a certain load wrote it, shown or not yet shown; no other folder is read."""
+    return spark.table(f"{database}.{stored_name(name)}").where(F.col(LOAD) == load).drop(LOAD)
+
+
+def write_version(df: DataFrame, name: str, load: int, database: str = DATABASE) -> Version:
+    """Write a table's rows of a load; they are counted while writing.
 
     Files are evened out first; a month too large for one task is split, and
     small ones share a task.
     """
     spark = df.sparkSession
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    version = f"{name}__v{uuid.uuid4().hex[:12]}"
-    seen = Observation(f"write {version}")
+    declare(spark, name, WAREHOUSE.get(name, df.schema), database)
+    seen = Observation(f"write {name} {load}")
     df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if name in PARTITIONED:
         df = df.withColumn(PARTITION, F.expr("cast(tiempo_key div 10000 as int)"))
         df = df.hint("rebalance", F.col(PARTITION))
     elif name == "dim_tiempo":
         df = df.sortWithinPartitions("tiempo_key")
-    writer = df.write.format("orc").option("compression", "snappy")
-    if name in PARTITIONED:
-        writer = writer.partitionBy(PARTITION)
-    writer.saveAsTable(f"{database}.{version}")
-    return Version(version, seen.get["rows"])
+    append(df.withColumn(LOAD, F.lit(load).cast("long")), f"{database}.{stored_name(name)}")
+    return Version(name, load, observed(seen, "rows"))
+
+
+def observed(seen: Observation, name: str) -> int:
+    """A count taken while writing; 0 where the plan turned out empty and was cut before it was observed."""
+    try:
+        return seen.get[name]
+    except Py4JJavaError as error:
+        if "assertion failed" not in str(error.java_exception):
+            raise
+        return 0
+
 
+def append(df: DataFrame, table: str) -> None:
+    """Add rows to a stored table, by name."""
+    df.select(*df.sparkSession.table(table).columns).write.insertInto(table)
 
-def publish(spark: SparkSession, versions: Mapping[str, Version], database: str = DATABASE) -> None:
-    """Point the tables at new versions, all after each other, and drop old ones.
 
-    The version before stays for those who still read it; older ones go.
+def publish(
+    spark: SparkSession, group: str, versions: Iterable[Version], load: int, database: str = DATABASE
+) -> None:
+    """Show a load: one write, after which all tables of the group are those of ``versions``.
+
+    Views are declared before. The load before stays readable; older ones, and
+    what failed loads left, go afterwards. One load of a group runs at a time.
     """
-    before = {name: _versions(spark, name, database) for name in versions}
-    current = {name: _target(spark, name, database) for name in versions}
-    for name, version in versions.items():
-        columns = spark.table(f"{database}.{version.table}").columns
-        listed = ", ".join(f"`{c}` COMMENT '{_comment(name, c)}'" for c in columns)
-        taken = ", ".join(f"`{c}`" for c in columns)
-        if spark.catalog.tableExists(f"{database}.{name}") and current[name] is None:
-            spark.sql(f"DROP TABLE {database}.{name}")
-        spark.sql(
-            f"CREATE OR REPLACE VIEW {database}.{name} ({listed}) AS "
-            f"SELECT {taken} FROM {database}.{version.table}"
-        )
-    for name, version in versions.items():
-        for old in before[name]:
-            if old not in (version.table, current[name]):
-                spark.sql(f"DROP TABLE IF EXISTS {database}.{old}")
-
-
-def _versions(spark: SparkSession, name: str, database: str) -> list[str]:
-    tables = spark.catalog.listTables(database, f"{name}__v*")
-    return [t.name for t in tables if not t.isTemporary]
-
-
-def _target(spark: SparkSession, name: str, database: str) -> str | None:
-    """The version that a table's view reads; None if it is no view yet."""
-    if not spark.catalog.tableExists(f"{database}.{name}"):
-        return None
-    if spark.catalog.getTable(f"{database}.{name}").tableType != "VIEW":
-        return None
-    text = spark.sql(f"SHOW CREATE TABLE {database}.{name}").first()[0]
-    return next((v for v in _versions(spark, name, database) if v in text), "")
+    versions = list(versions)
+    whole = [v.table for v in versions if not v.part]
+    for name in whole:
+        declare_view(spark, name, group, database)
+    lines = [(v.table, v.part, v.rows, group, load) for v in versions]
+    kinds = f"tabla string, parte string, filas long, grupo string, {LOAD} long"
+    append(spark.createDataFrame(lines, kinds).coalesce(1), f"{database}.{POINTER}")
+
+    kept = kept_loads(spark, group, database)
+    for name in whole:
+        for old in folders(spark, f"{database}.{stored_name(name)}"):
+            if int(old) not in kept and int(old) < load:
+                drop_folder(spark, f"{database}.{stored_name(name)}", {LOAD: old})
+    for old in folders(spark, f"{database}.{POINTER}", f"grupo={group}"):
+        if int(old) not in kept:
+            drop_folder(spark, f"{database}.{POINTER}", {"grupo": group, LOAD: old})
+
+
+def kept_loads(spark: SparkSession, group: str, database: str) -> list[int]:
+    """The shown load and those before it that stay."""
+    loads = spark.table(f"{database}.{POINTER}").where(F.col("grupo") == group).select(LOAD).distinct()
+    return [r[0] for r in loads.orderBy(F.desc(LOAD)).limit(KEPT_LOADS).collect()]
+
+
+def _path(spark: SparkSession, table: str, inner: str = ""):
+    """A stored table's folder, and its file system."""
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").collect()
+    path = spark._jvm.org.apache.hadoop.fs.Path(rows[0].data_type + ("/" + inner if inner else ""))
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folders(spark: SparkSession, table: str, inner: str = "") -> list[str]:
+    """The values of the folders right below a stored table's, or below one of these."""
+    path, files = _path(spark, table, inner)
+    found = files.listStatus(path) if files.exists(path) else []
+    names = [f.getPath().getName() for f in found if f.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if "=" in n)
 
 
-def write_tables(tables: Mapping[str, DataFrame], database: str = DATABASE) -> dict[str, int]:
-    """Replace tables and return their numbers of rows."""
-    versions = {name: write_version(df, name, database) for name, df in tables.items()}
-    if versions:
-        publish(next(iter(tables.values())).sparkSession, versions, database)
-    return {name: version.rows for name, version in versions.items()}
+def drop_folder(spark: SparkSession, table: str, values: Mapping[str, str]) -> None:
+    """Drop a folder with all below it, in the catalogue too where that keeps track of folders."""
+    spec = ", ".join(f"{c} = '{v}'" for c, v in values.items())
+    try:
+        for row in spark.sql(f"SHOW PARTITIONS {table} PARTITION ({spec})").collect():
+            inner = ", ".join("{} = '{}'".format(*part.split("=", 1)) for part in row[0].split("/"))
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({inner})")
+    except AnalysisException:
+        # A catalogue that finds folders by looking has nothing to forget.
+        pass
+    path, files = _path(spark, table, "/".join(f"{c}={v}" for c, v in values.items()))
+    files.delete(path, True)
+    spark.catalog.refreshTable(table)
 
 
-def write_table(df: DataFrame, name: str, database: str = DATABASE) -> int:
-    return write_tables({name: df}, database)[name]
+def write_tables(tables: Mapping[str, DataFrame], database: str, group: str) -> dict[str, int]:
+    """Replace all tables of a group and return their numbers of rows."""
+    if not tables:
+        return {}
+    spark = next(iter(tables.values())).sparkSession
+    load = new_load(spark, database)
+    versions = [write_version(df, name, load, database) for name, df in tables.items()]
+    publish(spark, group, versions, load, database)
+    return {v.table: v.rows for v in versions}

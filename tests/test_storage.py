@@ -53,15 +53,17 @@ def test_stored_tables_keep_their_contract(spark, loaded):
         assert [(f.name, f.dataType) for f in kept] == [(f.name, f.dataType) for f in schema]
         comments = {f.name: f.metadata.get("comment", "") for f in found.schema}
         assert all(comments[f.name] == f.metadata.get("comment", "") for f in schema)
-        version = warehouse._target(spark, name, DB)
-        detail = {r[0]: r[1] for r in spark.sql(f"describe formatted {DB}.{version}").collect()}
+        assert spark.catalog.getTable(f"{DB}.{name}").tableType == "VIEW"
+        stored = f"{DB}.{warehouse.stored_name(name)}"
+        detail = {r[0]: r[1] for r in spark.sql(f"describe formatted {stored}").collect()}
         assert detail["Provider"].lower() == "orc"
 
 
 def test_month_filter_reads_one_month(spark, loaded):
     found = spark.table(f"{DB}.fact_items_pedido").where(F.col(warehouse.PARTITION) == 202605)
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(anio_mes" in plan
+    filters = re.findall(r"PartitionFilters: (.*?), PushedFilters", plan)
+    assert any("anio_mes" in f and "202605" in f for f in filters)
     assert found.count() == 6
 
 
@@ -150,13 +152,18 @@ def test_readers_keep_a_whole_table_through_loads(spark, loaded, operational_sam
     before = sorted(rows(held))
     nightly.load_star(spark, operational_sample, DB)
     assert sorted(rows(held)) == before
-    assert len(warehouse._versions(spark, "fact_items_pedido", DB)) == 2
+    assert len(warehouse.folders(spark, f"{DB}.fact_items_pedido__cargas")) == 2
+    nightly.load_star(spark, operational_sample, DB)
+    assert len(warehouse.folders(spark, f"{DB}.fact_items_pedido__cargas")) == 2
+    assert spark.table(f"{DB}.{warehouse.POINTER}").where("grupo = 'estrella'").select("carga").distinct().count() == 2
 
 
 def test_declared_tables(spark):
     warehouse.create_tables(spark, "declarado_dw")
     found = {t.name for t in spark.catalog.listTables("declarado_dw") if not t.isTemporary}
-    assert found == set(WAREHOUSE)
+    stored = {warehouse.stored_name(name) for name in WAREHOUSE}
+    assert found == set(WAREHOUSE) | stored | {warehouse.POINTER}
+    assert all(spark.table(f"declarado_dw.{name}").isEmpty() for name in WAREHOUSE)
     warehouse.create_tables(spark, "declarado_dw")
 
 
