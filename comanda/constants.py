@@ -34,6 +34,8 @@ SMALL_FLEET = 2
 
 # Stops of one delivery shift; the fleet grows with the orders.
 STOPS_PER_COURIER = 40
+# A shift ends where no order follows for so long.
+SHIFT_GAP = "2 hours"
 
 # Fixed values -- graph query limits.
 MAX_PATH_HOPS = 8

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from comanda.constants import SOLD_IN_STAR
 from comanda.functions.numbers import growth_percent, money_avg, money_sum, percent_of
+from comanda.operators.ordinal import with_ordinal
 from comanda.operators.ranking import rank_within
 from comanda.operators.star import Star
 
@@ -235,6 +236,49 @@ def exact_unique_users(star: Star, sold: Sequence[str] = SOLD_IN_STAR) -> DataFr
     )
 
 
+def monthly_users(star: Star, members: DataFrame | None = None, sold: Sequence[str] = SOLD_IN_STAR) -> DataFrame:
+    """User activity per restaurant and month, of which months add up exactly.
+
+    Users are bits of a bitmap, of which a block has 32,768, so a row's size does
+    not grow with the users: what they number is a row per block. Orders and
+    revenue stand beside, where an order is of one month. ``members`` numbers
+    the users densely from 0, as (user's key, ordinal); a table that is carried
+    on must keep its numbers. A month's new rows are found from its lines alone.
+    Orders without a user count in a row of no block.
+    """
+    user, place = star.key("usuario"), star.key("restaurante")
+    lines = _sold_by_time(star, sold)
+    per_order = lines.groupBy(*MONTH, place, user, "pedido_id").agg(F.sum("monto_total").alias("monto"))
+    per_user = per_order.groupBy(*MONTH, place, user).agg(
+        F.count(F.lit(1)).alias("pedidos"), F.sum("monto").alias("monto")
+    )
+    if members is None:
+        members = with_ordinal(lines.select(user).where(F.col(user).isNotNull()).distinct(), [user])
+    numbered = _with(star, per_user, "restaurante").join(members, user, "left")
+    return numbered.groupBy(
+        F.col("nombre").alias("restaurante"), F.col("direccion").alias("zona"), *MONTH,
+        F.bitmap_bucket_number("ordinal").alias("bloque"),
+    ).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("ordinal")).alias("usuarios"),
+        F.sum("pedidos").alias("total_pedidos"),
+        money_sum("monto").alias("ingresos"),
+    )
+
+
+def users_rolled_up(monthly: DataFrame, *by: str) -> DataFrame:
+    """Distinct users, orders and revenue ``by`` any columns of ``monthly_users``, exact, without its lines."""
+    blocks = monthly.groupBy(*by, "bloque").agg(
+        F.bitmap_or_agg("usuarios").alias("usuarios"),
+        F.sum("total_pedidos").alias("total_pedidos"),
+        money_sum("ingresos").alias("ingresos"),
+    )
+    return blocks.groupBy(*by).agg(
+        F.sum(F.when(F.col("bloque").isNull(), 0).otherwise(F.bitmap_count("usuarios"))).alias("usuarios_unicos_total"),
+        F.sum("total_pedidos").alias("pedidos_total"),
+        money_sum("ingresos").alias("ingresos_total"),
+    )
+
+
 def card_monthly_activity(star: Star, sold: Sequence[str] = SOLD_IN_STAR) -> DataFrame:
     return (
         user_activity_by_restaurant(star, sold)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,17 +46,25 @@ def _best_paths(
 ) -> DataFrame:
     """The k first of all paths from ``start`` of 1 to ``max_hops`` edges.
 
-    ``order`` must put every path behind the shorter path it extends, and
-    compare paths of the same number of edges as it compares what they extend
-    to. The k first are then among the extensions of each hop's k first, so k
-    rows per hop are kept and joined with the edges; nothing else is built.
+    ``order`` must put every path behind the shorter path it extends. So a path
+    that k others come before never leads into the result, and neither does one
+    behind the k-th: only paths before the k-th are extended, hop by hop, and
+    where none of the last hop is left, what is found is proven. A hop is one
+    scan of the edges that leave its ends; k rows come to the driver, the report.
     """
-    paths = _first_hop(edges, start).orderBy(*order).limit(k)
-    hops = [paths]
-    for _ in range(max_hops - 1):
-        paths = _next_hop(paths, edges).orderBy(*order).limit(k)
-        hops.append(paths)
-    return reduce(DataFrame.unionByName, hops).orderBy(*order).limit(k)
+    spark = edges.sparkSession
+    best = _first_hop(edges, start)
+    schema, rows = best.schema, best.orderBy(*order).limit(k).collect()
+    for hop in range(1, max_hops):
+        before = rows[: k - 1] if len(rows) == k else rows
+        frontier = [r for r in before if r["hops"] == hop]
+        if not frontier:
+            break
+        leaving = edges.where(F.col("from_id").isin({r["at"] for r in frontier}))
+        further = _next_hop(spark.createDataFrame(frontier, schema), leaving)
+        best = spark.createDataFrame(rows, schema).unionByName(further)
+        rows = best.orderBy(*order).limit(k).collect()
+    return spark.createDataFrame(rows, schema).orderBy(*order)
 
 
 def _legs(edges: DataFrame) -> DataFrame:

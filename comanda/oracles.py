@@ -9,6 +9,7 @@ from __future__ import annotations
 from comanda.constants import (
     COURIER_KMH,
     COURIER_PREFIX,
+    DEFAULT_ZONE,
     DELIVERY_NAME_PREFIX,
     DEPOT_ID,
     DEPOT_LATITUDE,
@@ -18,6 +19,7 @@ from comanda.constants import (
     LOCATION_PREFIX,
     MONTH_NAMES,
     ROUTABLE_STATUSES,
+    SHIFT_GAP,
     STOPS_PER_COURIER,
     WEEKDAY_NAMES,
 )
@@ -227,6 +229,30 @@ stops AS (
 """
 
 
+# Shifts: orders of which each follows within the gap; the fleet follows from the shift.
+SHIFT_QUEUE = f"""
+routable AS (
+  SELECT id AS order_id, user_id, latitude, longitude, created_at
+  FROM src_orders WHERE status IN {ROUTABLE_STATUSES}),
+begun AS (
+  SELECT *, coalesce(created_at - lag(created_at) OVER (ORDER BY created_at) > INTERVAL '{SHIFT_GAP}', true) AS first
+  FROM routable),
+numbered AS (
+  SELECT *, SUM(first::BIGINT) OVER (ORDER BY created_at ROWS UNBOUNDED PRECEDING) AS nth FROM begun),
+dealt AS (
+  SELECT *, '{DEFAULT_ZONE} ' || strftime(MIN(created_at) OVER (PARTITION BY nth), '%Y-%m-%d %H:%M:%S') AS shift,
+         row_number() OVER (PARTITION BY nth ORDER BY created_at, order_id) - 1 AS place,
+         CAST(ceil(COUNT(*) OVER (PARTITION BY nth) / {STOPS_PER_COURIER}.0) AS BIGINT) AS fleet
+  FROM numbered),
+shift_stops AS (SELECT *, place % fleet AS own FROM dealt),
+stops AS (
+  SELECT order_id, user_id, latitude, longitude, shift, own,
+         row_number() OVER (ORDER BY shift, place) - 1 AS ordinal,
+         dense_rank() OVER (ORDER BY shift, own) - 1 AS courier
+  FROM shift_stops)
+"""
+
+
 def _great_circle(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     half_lat = f"sin(radians({lat2} - {lat1}) / 2)"
     half_lon = f"sin(radians({lon2} - {lon1}) / 2)"
@@ -437,6 +463,23 @@ ORACLES: dict[str, str] = {
         WHERE estado = 'confirmed' GROUP BY 1, 2
         """
     ),
+    "unique_users_rolled_up": on_lines(
+        f"""
+        SELECT r.name AS restaurante, r.address AS zona,
+               {count_of("user_id")} AS usuarios_unicos_total,
+               {count_of("pedido_id")} AS pedidos_total, {money("monto")} AS ingresos_total
+        FROM lines JOIN src_restaurants r ON r.id = restaurant_id
+        WHERE estado = 'confirmed' GROUP BY 1, 2
+        """
+    ),
+    "unique_users_per_year": on_lines(
+        f"""
+        SELECT CAST(year(ts) AS INTEGER) AS anio, {count_of("user_id")} AS usuarios_unicos_total,
+               {count_of("pedido_id")} AS pedidos_total, {money("monto")} AS ingresos_total
+        FROM lines JOIN src_restaurants r ON r.id = restaurant_id
+        WHERE estado = 'confirmed' GROUP BY 1
+        """
+    ),
     "revenue_per_restaurant": on_lines(
         f"""
         SELECT r.name AS nombre, {money("monto")} AS ingresos
@@ -634,6 +677,15 @@ ORACLES: dict[str, str] = {
         _paths(5),
     ),
     "courier_queue": with_sources("SELECT order_id, ordinal, courier FROM stops", QUEUE),
+    "shift_queue": with_sources("SELECT order_id, shift, place AS ordinal, own AS courier FROM shift_stops", SHIFT_QUEUE),
+    "shift_assignments": with_sources(
+        f"""
+        SELECT s.shift, '{COURIER_PREFIX}' || (s.own + 1) AS courier_id,
+               {ROUTE_COLUMNS.removeprefix("courier_id, ").replace("order_id, user_id", "r.order_id, r.user_id").replace("latitude, longitude", "r.latitude, r.longitude")}
+        FROM routes r JOIN stops s ON s.order_id = r.order_id
+        """,
+        SHIFT_QUEUE, TOUR, recursive=True,
+    ),
     "route_assignments": on_routes(f"SELECT {ROUTE_COLUMNS} FROM routes"),
     "route_edges": on_routes("SELECT * FROM edges"),
     "route_stops": on_routes("SELECT * FROM stop_rows", STOP_ROWS),
@@ -690,9 +742,9 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'fact_reservaciones', 'restaurante_key', COUNT(*) FROM src_reservations
           WHERE restaurant_id IS NULL OR restaurant_id NOT IN (SELECT id FROM known_restaurants)
         """,
-        "known_users AS (SELECT id FROM src_users WHERE CAST(id AS BIGINT) % 13 <> 1)",
-        "known_restaurants AS (SELECT id FROM src_restaurants WHERE CAST(id AS BIGINT) % 7 <> 1)",
-        "known_products AS (SELECT id FROM src_products WHERE CAST(id AS BIGINT) % 11 <> 1)",
+        "known_users AS (SELECT id FROM src_users)",
+        "known_restaurants AS (SELECT id FROM src_restaurants)",
+        "known_products AS (SELECT id FROM src_products)",
     ),
     "repeated_lines": with_sources(
         "SELECT order_id, product_id, COUNT(*) AS filas FROM src_items GROUP BY 1, 2"

@@ -25,6 +25,10 @@ def add_source(parser: argparse.ArgumentParser) -> None:
         "--jdbc-range", action="append", default=[], metavar="TABLE=LOW:HIGH",
         help="the range of a table's numeric ids; read by it instead of by a hash",
     )
+    parser.add_argument(
+        "--jdbc-sample", type=float, metavar="PERCENT",
+        help="split text ids into equally large ranges, by a sample of this share of each table",
+    )
     parser.add_argument("--mongo-database")
     parser.add_argument(
         "--option", action="append", default=[], metavar="NAME=VALUE", help="a reader option"
@@ -48,7 +52,7 @@ def read_source(spark: SparkSession, args: argparse.Namespace) -> Tables:
         mongo["database"] = args.mongo_database
     loaders = {
         "sample": sample.load,
-        "postgres": jdbc_loader(args.jdbc_url, jdbc, args.jdbc_partitions, ranges),
+        "postgres": jdbc_loader(args.jdbc_url, jdbc, args.jdbc_partitions, ranges, args.jdbc_sample),
         "mongo": collection_loader(mongo),
     }
     return load_source(spark, args.source, loaders, args.fallback)

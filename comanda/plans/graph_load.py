@@ -10,8 +10,8 @@ from pyspark.sql import SparkSession
 from comanda.operators.graph import EDGE_KEYS, NODE_KEYS, from_files
 from comanda.session import prepare, remove_run_folders
 from comanda.sinks.buckets import BUCKETS, BucketTable
-from comanda.sinks.warehouse import Version, new_load, publish
-from comanda.sources.tables import read_graph_files
+from comanda.sinks.warehouse import REJECTED, Version, new_load, publish, quarantine
+from comanda.sources.tables import read_graph_files_checked
 
 GRAPH_DATABASE = "comanda_grafo"
 GRAPH = "grafo"
@@ -31,10 +31,13 @@ def load(
 
     A node or edge that is there already, by its key, takes the files' values.
     Only buckets in which something is new or differs are written. All tables
-    are shown together, by one write, once they are complete.
+    are shown together, by one write, once they are complete. Lines that can't
+    be read go to the table of rejected ones, which each load adds to, and are
+    counted under its name.
     """
     prepare(spark)
-    nodes, edges = from_files(read_graph_files(spark, folder))
+    files, rejected = read_graph_files_checked(spark, folder)
+    nodes, edges = from_files(files)
     stored = tables(database, buckets)
     number = new_load(spark, database)
     versions: list[Version] = []
@@ -44,7 +47,8 @@ def load(
     publish(spark, GRAPH, versions, number, database)
     for table in stored.values():
         table.drop_old(spark)
-    return {name: sum(v.rows for v in versions if v.table == name) for name in stored}
+    refused = quarantine(rejected, number, database)
+    return {name: sum(v.rows for v in versions if v.table == name) for name in stored} | {REJECTED: refused}
 
 
 def main(arguments: Sequence[str] | None = None) -> None:

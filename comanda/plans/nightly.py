@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
@@ -35,6 +35,7 @@ from comanda.sinks.warehouse import (
     new_load,
     publish,
     read_load,
+    require_complete,
     write_version,
 )
 from comanda.sources.tables import Tables
@@ -47,8 +48,11 @@ BUCKETS = 256
 
 @dataclass(frozen=True)
 class LoadReport:
+    """Rows of each table, its rows without a key or measure, and the catalogue's publication."""
+
     rows: dict[str, int]
     published: str | None
+    missing: dict[str, dict[str, int]]
 
 
 def _write_all(tables: dict[str, DataFrame], load: int, database: str) -> list[Version]:
@@ -81,14 +85,27 @@ def write_facts(spark: SparkSession, source: Tables, load: int, database: str) -
     return _write_all(facts, load, database)
 
 
-def load_star(spark: SparkSession, source: Tables, database: str = DATABASE) -> dict[str, int]:
-    """Declare the warehouse, write all six tables, then show them by one write."""
+def load_versions(
+    spark: SparkSession, source: Tables, database: str = DATABASE, limits: Mapping[str, float] | None = None
+) -> list[Version]:
+    """Declare the warehouse, write all six tables, then show them by one write.
+
+    Each table comes back with how many rows miss a key or a measure, which the
+    writes have counted. Where that is more than ``limits`` (shares, by column)
+    allow, nothing is shown.
+    """
     create_tables(spark, database)
     load = new_load(spark, database)
     versions = write_dimensions(source, load, database)
     versions += write_facts(spark, source, load, database)
+    require_complete(versions, limits or {})
     publish(spark, STAR, versions, load, database)
-    return {version.table: version.rows for version in versions}
+    return versions
+
+
+def load_star(spark: SparkSession, source: Tables, database: str = DATABASE) -> dict[str, int]:
+    """The same without limits; the rows of each table."""
+    return {version.table: version.rows for version in load_versions(spark, source, database)}
 
 
 def publish_catalogue(
@@ -124,13 +141,19 @@ def publish_catalogue(
 
 
 def run(
-    spark: SparkSession, source: Tables, changes_path: str, database: str = DATABASE
+    spark: SparkSession,
+    source: Tables,
+    changes_path: str,
+    database: str = DATABASE,
+    limits: Mapping[str, float] | None = None,
 ) -> LoadReport:
     """Run the load in order; any failing step stops it."""
     prepare(spark)
     require_rows({"orders": source.orders})
-    rows = load_star(spark, source, database)
-    return LoadReport(rows, publish_catalogue(spark, source.products, database, changes_path))
+    versions = load_versions(spark, source, database, limits)
+    published = publish_catalogue(spark, source.products, database, changes_path)
+    missing = {v.table: {c: n for c, n in v.nulls.items() if n} for v in versions}
+    return LoadReport({v.table: v.rows for v in versions}, published, {t: m for t, m in missing.items() if m})
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
@@ -139,9 +162,14 @@ def main(arguments: Sequence[str] | None = None) -> None:
     add_source(parser)
     parser.add_argument("--changes", required=True, help="folder of the catalogue publications")
     parser.add_argument("--database", default=DATABASE)
+    parser.add_argument(
+        "--limit", action="append", default=[], metavar="COLUMN=SHARE",
+        help="reject the load where more than this share of rows misses a column",
+    )
     args = parser.parse_args(arguments)
+    limits = {c: float(share) for c, share in (text.rsplit("=", 1) for text in args.limit)}
     spark = SparkSession.builder.appName("comanda load").getOrCreate()
-    report = run(spark, read_source(spark, args), args.changes, args.database)
+    report = run(spark, read_source(spark, args), args.changes, args.database, limits)
     print(report)
     remove_run_folders()
 

@@ -108,27 +108,16 @@ def _upsert(source: Tables) -> DataFrame:
     return graph.upsert(products, later, "id")
 
 
+def _monthly_users(built: Star) -> DataFrame:
+    """The monthly table, written as a load would keep it."""
+    return materialise(olap.monthly_users(built), "monthly_users")
+
+
 def _duplicates(data: Tables) -> DataFrame:
     """Repeated (order, product) lines, which edges must be merged over."""
     return graph.duplicate_keys(data.order_items, "order_id", "product_id")
 
 
-def _with_strangers(source: Tables) -> Tables:
-    """The tables without some members that orders and reservations name."""
-
-    def without(df: DataFrame, every: int) -> DataFrame:
-        return df.where(F.col("id") % every != 1)
-
-    return Tables(
-        users=lambda: without(source.users, 13),
-        restaurants=lambda: without(source.restaurants, 7),
-        products=lambda: without(source.products, 11),
-        orders=lambda: source.orders,
-        order_items=lambda: source.order_items,
-        reservations=lambda: source.reservations,
-    )
-
-
 def _node_violations(data: Tables, routes: DataFrame) -> DataFrame:
     """Keys repeated in node tables of which some rows come twice."""
 
@@ -215,6 +204,10 @@ QUERIES: dict[str, Query] = {
     "card_status_by_month": _on_star(olap.card_status_by_month),
     "exact_average_ticket": _on_sold(olap.exact_average_ticket),
     "exact_unique_users": _on_sold(olap.exact_unique_users),
+    "unique_users_rolled_up": _on_sold(
+        lambda s: olap.users_rolled_up(_monthly_users(s), "restaurante", "zona")
+    ),
+    "unique_users_per_year": _on_sold(lambda s: olap.users_rolled_up(_monthly_users(s), "anio")),
     # Ad-hoc questions.
     "revenue_per_restaurant": _on_star(olap.revenue_per_restaurant),
     "orders_per_month": _on_star(olap.orders_per_month),
@@ -267,6 +260,10 @@ QUERIES: dict[str, Query] = {
     "courier_queue": _on_data(
         lambda d: routing.assign_couriers(d.orders).select("order_id", "ordinal", "courier")
     ),
+    "shift_queue": _on_data(
+        lambda d: routing.assign_shift_couriers(d.orders).select("order_id", "shift", "ordinal", "courier")
+    ),
+    "shift_assignments": _on_data(lambda d: routing.shift_assignments(d.orders)),
     "route_assignments": _on_data(_routes),
     "route_edges": _on_data(lambda d: routing.route_edges(_routes(d))),
     "route_stops": _on_data(lambda d: graph.route_stops(d, _routes(d))),
@@ -279,9 +276,7 @@ QUERIES: dict[str, Query] = {
     "shortest_paths_from_depot": _on_routes(_nearest),
     # Quality, differences, extracts.
     "row_counts": _on_source(_table_counts),
-    "dangling_keys": _on_source(
-        lambda s: quality.dangling_keys(star.build_star(_with_strangers(s)))
-    ),
+    "dangling_keys": _on_source(lambda s: quality.dangling_keys(star.build_star(s))),
     "repeated_lines": _on_data(_duplicates),
     "uniqueness_violations": _on_routes(_node_violations),
     "catalogue_changes": _on_source(

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Session windows are merged map-side before a key's come together.
+    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 # Folders of this process's applications, removed when it ends.

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Iterable, Mapping
+from types import MappingProxyType
 from typing import NamedTuple
 
 from py4j.protocol import Py4JJavaError
@@ -25,6 +26,7 @@ from comanda.schemas import DATABASE, PARTITION, WAREHOUSE
 PARTITIONED = ("fact_items_pedido", "fact_reservaciones")
 POINTER = "cargas"
 LOAD = "carga"
+REJECTED = "filas_rechazadas"
 # Tables that are always loaded together.
 STAR, CATALOGUE_STATE, ANALYSIS = "estrella", "catalogo", "analisis"
 # Loads that stay: the one shown, and the one before for those who still read it.
@@ -32,12 +34,48 @@ KEPT_LOADS = 2
 
 
 class Version(NamedTuple):
-    """A table as one load wrote it; ``part`` names a part of it, where it has several."""
+    """A table as one load wrote it; ``part`` names a part of it, where it has several.
+
+    ``nulls`` has the columns of the contract's keys and measures with how many
+    rows miss them, counted while writing.
+    """
 
     table: str
     load: int
     rows: int
     part: str = ""
+    nulls: Mapping[str, int] = MappingProxyType({})
+
+
+class LoadRejected(RuntimeError):
+    """What a load wrote misses more than it may; nothing of it is shown."""
+
+
+def checked_columns(name: str) -> list[str]:
+    """Keys and measures: what a row of a warehouse table should have."""
+    schema = WAREHOUSE.get(name, T.StructType())
+    measures = (T.DecimalType, T.IntegerType)
+    fact = name in PARTITIONED
+    return [
+        f.name for f in schema
+        if f.name.endswith("_key") or f.name.endswith("_id") or (fact and isinstance(f.dataType, measures))
+    ]
+
+
+def require_complete(versions: Iterable[Version], limits: Mapping[str, float]) -> None:
+    """Raise where a column misses a larger share of its rows than ``limits`` allow.
+
+    Limits are by ``table.column``, or by column for all tables. A column
+    without one may miss any number.
+    """
+    over = []
+    for v in versions:
+        for column, count in v.nulls.items():
+            limit = limits.get(f"{v.table}.{column}", limits.get(column))
+            if limit is not None and count > limit * v.rows:
+                over.append(f"{v.table}.{column}: {count} of {v.rows}")
+    if over:
+        raise LoadRejected("missing values: " + ", ".join(over))
 
 
 def stored_name(name: str) -> str:
@@ -167,7 +205,7 @@ def read_load(spark: SparkSession, name: str, load: int, database: str = DATABAS
 
 
 def write_version(df: DataFrame, name: str, load: int, database: str = DATABASE) -> Version:
-    """Write a table's rows of a load; they are counted while writing.
+    """Write a table's rows of a load; they and what they miss are counted while writing.
 
     Files are evened out first; a month too large for one task is split, and
     small ones share a task.
@@ -175,14 +213,29 @@ def write_version(df: DataFrame, name: str, load: int, database: str = DATABASE)
     spark = df.sparkSession
     declare(spark, name, WAREHOUSE.get(name, df.schema), database)
     seen = Observation(f"write {name} {load}")
-    df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    checked = [c for c in checked_columns(name) if c in df.columns]
+    missing = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in checked]
+    df = df.observe(seen, F.count(F.lit(1)).alias("rows"), *missing)
     if name in PARTITIONED:
         df = df.withColumn(PARTITION, F.expr("cast(tiempo_key div 10000 as int)"))
         df = df.hint("rebalance", F.col(PARTITION))
     elif name == "dim_tiempo":
         df = df.sortWithinPartitions("tiempo_key")
     append(df.withColumn(LOAD, F.lit(load).cast("long")), f"{database}.{stored_name(name)}")
-    return Version(name, load, observed(seen, "rows"))
+    nulls = {c: observed(seen, f"null_{c}") for c in checked}
+    return Version(name, load, observed(seen, "rows"), nulls=nulls)
+
+
+def quarantine(rejected: DataFrame, load: int, database: str = DATABASE) -> int:
+    """Keep the lines (source, file, line) that a load could not read, by its number; how many they are."""
+    spark, table = rejected.sparkSession, f"{database}.{REJECTED}"
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} (source STRING, file STRING, line STRING, {LOAD} BIGINT) "
+        f"USING ORC PARTITIONED BY ({LOAD})"
+    )
+    seen = Observation(f"rejected {load}")
+    append(rejected.observe(seen, F.count(F.lit(1)).alias("rows")).withColumn(LOAD, F.lit(load).cast("long")), table)
+    return observed(seen, "rows")
 
 
 def observed(seen: Observation, name: str) -> int:

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from itertools import pairwise
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from comanda.schemas import GRAPH_FILES
+from comanda.session import materialise
 
 log = logging.getLogger(__name__)
 
@@ -67,6 +72,43 @@ def jdbc_predicates(column: str, partitions: int, hash_sql: str) -> list[str]:
     return clauses
 
 
+# SQL for the least key of each of a number of equally large tiles of a sample.
+# The database sorts, as its order of text is what the clauses are judged by.
+_TILES = (
+    "SELECT min(k) AS k FROM (SELECT {{column}} AS k, ntile({{tiles}}) OVER (ORDER BY {{column}}) AS tile "
+    "FROM {{table}} {sample} WHERE {{column}} IS NOT NULL) tiles GROUP BY tile ORDER BY 1"
+)
+TILES = {
+    "postgresql": _TILES.format(sample="TABLESAMPLE SYSTEM ({percent})"),
+    "spark": _TILES.format(sample="TABLESAMPLE ({percent} PERCENT)"),
+}
+
+
+def _text_literal(value: str, dialect: str) -> str:
+    if dialect == "spark":
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+    return "'" + value.replace("'", "''") + "'"
+
+
+def tiles_query(table: str, column: str, partitions: int, percent: float, dialect: str) -> str:
+    """The query for the places where a table is cut into equally large parts, by a sample of it."""
+    return TILES[dialect].format(table=table, column=column, tiles=partitions, percent=percent)
+
+
+def range_predicates(column: str, tiles: Sequence[str], dialect: str = "postgresql") -> list[str]:
+    """WHERE clauses between the least keys of tiles: every row in exactly one, nulls in the first.
+
+    ``tiles`` are in the database's order. Ranges are half-open, so equal keys
+    stay together, and a key that fills several tiles has one clause.
+    """
+    cuts = [_text_literal(t, dialect) for t in dict.fromkeys(tiles[1:]) if t != tiles[0]]
+    if not cuts:
+        return ["1 = 1"]
+    middle = [f"{column} >= {a} AND {column} < {b}" for a, b in pairwise(cuts)]
+    return [f"{column} < {cuts[0]} OR {column} IS NULL", *middle, f"{column} >= {cuts[-1]}"]
+
+
 def read_jdbc_table(
     spark: SparkSession,
     url: str,
@@ -76,15 +118,24 @@ def read_jdbc_table(
     key: str = "id",
     dialect: str = "postgresql",
     key_range: tuple[int, int] | None = None,
+    sample_percent: float | None = None,
 ) -> DataFrame:
     """Read a database table in parallel.
 
     A numeric key with a known range is read as ranges, so that an index can
-    serve them; any other key is split by hash.
+    serve them. So is a text key, cut where a sample of ``sample_percent`` of
+    the table's blocks says that the parts are equally large; as many keys as
+    there are partitions come back from it. Any other key is split by hash,
+    for which each task has the database look at every row.
     """
     properties = dict(properties)
     if partitions <= 1:
         return spark.read.jdbc(url=url, table=table, properties=properties)
+    if key_range is None and sample_percent is not None:
+        query = tiles_query(table, key, partitions, sample_percent, dialect)
+        tiles = [str(r[0]) for r in read_jdbc_query(spark, url, query, properties).collect()]
+        clauses = range_predicates(key, tiles, dialect)
+        return spark.read.jdbc(url=url, table=table, predicates=clauses, properties=properties)
     if key_range is not None:
         low, high = key_range
         return spark.read.jdbc(
@@ -122,6 +173,49 @@ def read_documents(
     return spark.read.json(path, schema=schema) if schema else spark.read.json(path)
 
 
+# Where a reader leaves the text of a line that it can't read by the schema.
+CORRUPT = "_corrupt_record"
+
+
+class Checked(NamedTuple):
+    """Rows that could be read, and the lines that could not: (source, file, line)."""
+
+    rows: DataFrame
+    rejected: DataFrame
+
+
+def _checked(reader: DataFrameReader, fmt: str, path: str, schema: T.StructType, source: str) -> Checked:
+    """Read once, written down, so that both parts are of one reading."""
+    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).schema(wide)
+    read = materialise(reader.format(fmt).load(path).withColumn("_file", F.input_file_name()), "read")
+    bad = F.col(CORRUPT).isNotNull()
+    rejected = read.where(bad).select(
+        F.lit(source).alias("source"), F.col("_file").alias("file"), F.col(CORRUPT).alias("line")
+    )
+    return Checked(read.where(~bad).select(*schema.fieldNames()), rejected)
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType, source: str) -> Checked:
+    """``read_csv``, with lines apart that have a malformed value or another number of fields."""
+    options = {"header": True, "enforceSchema": False, "emptyValue": "", "nullValue": "\\N"}
+    return _checked(spark.read.options(**options), "csv", path, schema, source)
+
+
+def read_documents_checked(spark: SparkSession, path: str, schema: T.StructType, source: str) -> Checked:
+    """JSON lines by a schema, with lines apart that are no JSON or have a value of another type."""
+    return _checked(spark.read, "json", path, schema, source)
+
+
+def read_graph_files_checked(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The exchange files of the graph by name, and all lines that were rejected."""
+    read = {
+        name: read_csv_checked(spark, f"{folder}/{name}", schema, name) for name, schema in GRAPH_FILES.items()
+    }
+    rejected = reduce(DataFrame.unionByName, [found.rejected for found in read.values()])
+    return {name: found.rows for name, found in read.items()}, rejected
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Headered CSV with declared types; columns are matched by position."""
     reader = spark.read.options(header=True, enforceSchema=False, emptyValue="", nullValue="\\N")
@@ -175,14 +269,20 @@ def jdbc_loader(
     properties: Mapping[str, str],
     partitions: int = 8,
     key_ranges: Mapping[str, tuple[int, int]] | None = None,
+    sample_percent: float | None = None,
 ) -> Loader:
-    """Read all tables of a database; ``key_ranges`` has those of numeric ids, by table."""
+    """Read all tables of a database.
+
+    ``key_ranges`` has those of numeric ids, by table; with ``sample_percent``
+    the ids of the other tables are split by ranges of text.
+    """
 
     def load(spark: SparkSession) -> Tables:
         ranges = key_ranges or {}
         read = {
             name: read_jdbc_table(
-                spark, url, name, properties, partitions, key_range=ranges.get(name)
+                spark, url, name, properties, partitions, key_range=ranges.get(name),
+                sample_percent=sample_percent,
             )
             for name in (*TABLE_NAMES, "restaurants")
         }
