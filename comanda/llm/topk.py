@@ -53,8 +53,8 @@ class _Index:
     has in later segments, the proof's bound on what is still to come.
     """
 
-    def __init__(self, ids: np.ndarray, impacts: np.ndarray):
-        self.ids, self.impacts = ids, impacts
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, impacts: np.ndarray):
+        self.rows, self.ids, self.impacts = rows, ids, impacts
         size = np.abs(impacts.astype(np.float64))
         top = size.max(initial=0.0)
         # Single precision does while squares stay in range; the margin covers its error.
@@ -68,11 +68,11 @@ class _Index:
             later = np.where(size < high, size, 0.0)
             self.rest.append(np.sqrt((later * later).sum(1)))
 
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[pd.DataFrame]:
+    def search(self, query_rows: np.ndarray, queries: np.ndarray, k: int) -> Iterator[pd.DataFrame]:
         wide = queries.astype(np.float64)
         norms = np.sqrt((wide * wide).sum(1))
         wide = wide.astype(self.kind)
-        own = query_ids[:, None] == self.ids[None, :]
+        own = query_rows[:, None] == self.rows[None, :]
         have = np.zeros(own.shape, self.kind)
         # With fewer vectors than places nothing can be ruled out.
         place = len(self.ids) - k - 1
@@ -95,18 +95,19 @@ class _Index:
             exact = self.impacts[rows] @ queries[i]
             best = np.lexsort((self.ids[rows], -exact))[:k]
             yield pd.DataFrame(
-                {"query_id": query_ids[i], "vec_id": self.ids[rows[best]], "score": exact[best]}
+                {"query": query_rows[i], "vec_id": self.ids[rows[best]], "score": exact[best]}
             )
 
 
 def _search(k: int):
     def run(key, index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({c: np.array([], np.int64) for c in ("query_id", "vec_id", "score")})
+        empty = pd.DataFrame({c: np.array([], np.int64) for c in ("query", "vec_id", "score")})
         if index.empty or queries.empty:
             return empty
         width = max(index["impacts"].map(len).max(), queries["impacts"].map(len).max())
-        block = _Index(index["vec_id"].to_numpy(np.int64), _matrix(index["impacts"], width))
-        ids, rows = queries["vec_id"].to_numpy(np.int64), _matrix(queries["impacts"], width)
+        own, ids = index["row"].to_numpy(np.int64), index["vec_id"].to_numpy(np.int64)
+        block = _Index(own, ids, _matrix(index["impacts"], width))
+        ids, rows = queries["row"].to_numpy(np.int64), _matrix(queries["impacts"], width)
         parts = [
             found
             for at in range(0, len(ids), _STEP)
@@ -129,7 +130,7 @@ def top_k(
 
     ``vectors`` has vec_id and embedding. Components become floor(scale * x),
     the impacts; a score is their inner product, an integer. Queries are the
-    rows where ``is_query`` holds, candidates all rows with another vec_id; ties
+    rows where ``is_query`` holds, candidates all rows but the query's own; ties
     go to the smaller vec_id, and fewer than k candidates are returned all.
 
     Vectors are dealt by hash into index blocks of about ``index_block`` rows
@@ -140,15 +141,18 @@ def top_k(
     window keeps k; Spark limits each partition's groups before the shuffle.
 
     Vectors that are null or hold null or non-finite components take no part;
-    rows without vec_id neither. Shorter vectors count as ending in zeros. Of
-    rows with one vec_id, each is a candidate; as a query, the least vector of
-    them stands for all. Scores must fit a long. No rows: no rows.
+    rows without vec_id neither. Shorter vectors count as ending in zeros. Rows
+    with one vec_id are queries and candidates each, of each other too; a query
+    then has its k ranks for every such row. Scores must fit a long. No rows: no
+    rows.
     """
     impacts = quantised(F.col("embedding"), scale)
     rows = stored(
         vectors.where(F.col("vec_id").isNotNull())
         .select(F.col("vec_id").cast("long").alias("vec_id"), impacts.alias("impacts"), is_query.alias("asks"))
-        .where(F.col("impacts").isNotNull()),
+        .where(F.col("impacts").isNotNull())
+        # Written down, so that a row keeps its number.
+        .withColumn("row", F.monotonically_increasing_id()),
         "impacts",
     )
     n, asked = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("asks").cast("long")), F.lit(0))).first()
@@ -156,21 +160,23 @@ def top_k(
     n_query = max(1, math.ceil(asked / query_block))
 
     def dealt(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        mine = F.pmod(F.xxhash64("vec_id"), F.lit(n_own)).cast("int").alias(own)
+        mine = F.pmod(F.xxhash64("row"), F.lit(n_own)).cast("int").alias(own)
         every = F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).alias(other)
-        return df.select("vec_id", "impacts", mine, every)
+        return df.select("row", "vec_id", "impacts", mine, every)
 
     index = dealt(rows, "_i", n_index, "_q", n_query)
-    asking = rows.where("asks").groupBy("vec_id").agg(F.min("impacts").alias("impacts"))
+    asking = rows.where("asks")
     queries = dealt(asking, "_q", n_query, "_i", n_index)
     found = (
         index.groupBy("_i", "_q")
         .cogroup(queries.groupBy("_i", "_q"))
-        .applyInPandas(_search(k), "query_id long, vec_id long, score long")
+        .applyInPandas(_search(k), "query long, vec_id long, score long")
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    ids = asking.select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"))
     return (
         found.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
+        .join(ids, "query")
         .select("query_id", "rank", "vec_id", "score")
     )

@@ -94,6 +94,14 @@ def test_top_k_of_few_rows(spark):
     assert topk.top_k(vectors(spark, rows[1:2]), F.lit(False)).count() == 0
 
 
+def test_rows_of_one_vec_id_ask_and_answer_each(spark):
+    rows = [(20, [1.0, 0.0], 1), (20, [0.0, 1.0], 1), (1, [0.5, 0.5], 1), (20, [1.0, 0.0], 1)]
+    found = topk.top_k(vectors(spark, rows), F.col("vec_id") % 20 == 0, 2, 64)
+    one, half = 64 * 64, 32 * 64
+    want = [(20, 1, 20, one), (20, 2, 1, half)] * 2 + [(20, 1, 1, half), (20, 2, 20, 0)]
+    assert tuples(found) == sorted(want, key=repr)
+
+
 URLS = [
     "http://Example.ORG/es/1", "https://a.example.org/en/12?x", "http://example.org/en/2", "http://bexample.org/es/",
     "http://x.com/fr/1", "http://x.com/de/", "http://x.com/de", "http://com/de/#a", "http://org", "ftp://ORG/?q=/x",
