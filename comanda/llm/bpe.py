@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from comanda.llm.byte_level import (
     BLANK,
+    LATER_LETTERS,
+    LATER_NUMBERS,
     LATIN_BLANK,
     LATIN_LETTER,
     LATIN_NUMBER,
@@ -30,13 +32,30 @@ CACHE = 150_000
 _ROUND = 1 << 20
 
 
-def _words(blank: str, letter: str, number: str) -> str:
+def _words(letter: str, number: str, other: str) -> str:
     """Contractions, words, single digits, signs."""
-    return rf"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{blank}{letter}{number}]+"
+    return rf"'s|'t|'re|'ve|'m|'ll|'d|{letter}+|{number}|{other}+"
 
 
-_WORDS = regex.compile(_words(BLANK, r"\p{L}", r"\p{N}"))
-_LATIN_WORDS = re.compile(_words(LATIN_BLANK, LATIN_LETTER, LATIN_NUMBER))
+_WORDS = regex.compile(
+    _words(
+        rf"[\p{{L}}--[{LATER_LETTERS}]]",
+        rf"[\p{{N}}--[{LATER_NUMBERS}]]",
+        rf"[[^{BLANK}\p{{L}}\p{{N}}]||[{LATER_LETTERS}{LATER_NUMBERS}]]",
+    ),
+    regex.V1,
+)
+_LATIN_WORDS = re.compile(
+    _words(f"[{LATIN_LETTER}]", f"[{LATIN_NUMBER}]", f"[^{LATIN_BLANK}{LATIN_LETTER}{LATIN_NUMBER}]")
+)
+# Capitals that the library makes small and Python's tables don't have yet.
+_LATER_CAPITALS = {
+    0x1C89: 0x1C8A, 0xA7CB: 0x0264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3,
+    0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x019B,
+    **{c: c + 0x20 for c in range(0x10D50, 0x10D66)},
+    **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)},
+}
+_HAS_LATER_CAPITAL = re.compile("[" + "".join(map(chr, _LATER_CAPITALS)) + "]")
 _END = "</w>"
 
 
@@ -152,6 +171,8 @@ class WordBPE:
                 continue
             # Sigma has one small letter here, wherever it stands in a word.
             part = unicodedata.normalize("NFC", part).replace("\u03a3", "\u03c3")
+            if _HAS_LATER_CAPITAL.search(part):
+                part = part.translate(_LATER_CAPITALS)
             parts[i] = _WORDS.findall(part.lower())
         return parts
 

@@ -64,6 +64,17 @@ def test_bpe_equals_the_library():
         assert own.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_bpe_of_every_code_point_equals_the_library():
+    library = tokenizers.Tokenizer.from_file(WORD)
+    own = bpe.WordBPE(open(WORD, encoding="utf-8").read())
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 5000):
+        made = [f"x{c}1{c}?a" for c in points[at : at + 5000]]
+        wanted = library.encode_batch(made, add_special_tokens=False)
+        for text, ids, want in zip(made, own.encode(made), wanted):
+            assert np.frombuffer(ids, "<i4").tolist() == want.ids, ascii(text)
+
+
 def test_bpe_of_a_table(spark):
     library = tokenizers.Tokenizer.from_file(WORD)
     rows = [(i, t, "s") for i, t in enumerate(texts())] + [(None, "no id", "s"), (3, "twice", None), (3, "twice", None), (9000, None, "s")]
