@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +14,9 @@ from comanda.session import materialise as stored
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
+# The struct in which a caller's other columns go through an operator.
+TRAVELLING = "_travelling_columns"
+
 # Bytes of an Arrow batch that carries whole texts; a longer text is a batch alone.
 TEXT_BATCH = 4 << 20
 
@@ -34,6 +37,25 @@ def n_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 
 
+def with_own_columns(
+    docs: DataFrame, own: Sequence[str], operator: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Apply ``operator`` to the ``own`` columns, and give the others back as they were.
+
+    The others travel in one struct, whose fields are numbered, so no name of
+    the caller's can meet one of the operator's. Rows that ``operator`` takes
+    out or repeats, it does with what travels. The columns come back in their
+    order; those of the operator's that the caller doesn't have are left out.
+    """
+    others = [c for c in docs.columns if c not in own]
+    if not others:
+        return operator(docs).select(*docs.columns)
+    packed = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)])
+    found = operator(docs.select(*[c for c in docs.columns if c in own], packed.alias(TRAVELLING)))
+    places = {c: F.col(TRAVELLING)[f"c{i}"].alias(c) for i, c in enumerate(others)}
+    return found.select(*[places.get(c, F.col(f"`{c}`")) for c in docs.columns])
+
+
 def running_totals(
     df: DataFrame, group: Sequence[str], order: Sequence[str], value: str
 ) -> DataFrame:
