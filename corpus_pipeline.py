@@ -2,7 +2,8 @@
 
 Toxic documents go, then near-duplicates, then stretches that occur earlier;
 what is left is mixed to source weights and encoded. Each stage works on all
-that the one before kept, written as Parquet.
+that the one before kept, written as Parquet. Columns that a stage does not
+need go through it untouched, whatever they are called.
 """
 
 from __future__ import annotations
@@ -12,29 +13,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from comanda.llm import bpe, minhash, mixing, suffix_dedup, toxicity
-from comanda.llm.common import stored
+from comanda.llm.common import stored, with_own_columns
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model of the labels does not reject; its fit is on ``docs``."""
-    return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return with_own_columns(docs, ("doc_id", "text"), lambda d: toxicity.drop_toxic(d, labels))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles at 0.8 or more."""
-    return minhash.drop_near_duplicates(docs, words=5, percent=80)
+    return with_own_columns(
+        docs, ("doc_id", "text"), lambda d: minhash.drop_near_duplicates(d, words=5, percent=80)
+    )
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the bytes of 100-byte strings that start earlier too."""
-    return suffix_dedup.drop_repeats(docs)
+    return with_own_columns(docs, ("doc_id", "text", "n_chars"), suffix_dedup.drop_repeats)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that a mix to source weights 5, 2, 1 takes, a row for each time."""
-    return mixing.take_mix(docs, mixing.mix(docs))
+    own = ("doc_id", "text", "source", "n_chars")
+    return with_own_columns(docs, own, lambda d: mixing.take_mix(d, mixing.mix(d)))
 
 
 def encode_round(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,6 +47,7 @@ def encode_round(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     import public_tokenizers
 
     path = str(public_tokenizers.path("word_bpe_49k.json"))
+    # Takes doc_id and text alone.
     return bpe.digests(bpe.encode_decode(docs, path))
 
 
