@@ -5,6 +5,7 @@ import duckdb
 import numpy as np
 import pytest
 from llm.helpers import DOCUMENTS, WORD, documents, grouped, near_components, repeated, tuples
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from comanda.llm import mixing, toxicity
@@ -120,6 +121,31 @@ def test_each_stage_against_brute_force(spark):
     assert tuples(stages["bpe round"](spark, mixed, FOLDER)) == sorted(want, key=repr)
 
 
+CLASHING = [
+    "p_toxic", "severity", "grade", "rejected", "_text", "_rid", "rid", "key", "low", "doc", "tie", "n_bytes", "kept",
+    "removed", "spans", "_null", "passes", "last", "_source", "_words", "_cut", "size", "ids", "shard", "slot", "_size",
+    "a column", "select", "_travelling_columns_",
+]
+
+
+def test_stages_leave_columns_of_their_own_names_alone(spark):
+    stages = dict(corpus_pipeline.STAGES)
+    rows = [(i, t, "s" if i % 2 else "t") for i, t, _ in made(40, 3)]
+    rows += [(90, rows[0][1], "s"), (91, "stretch " * 40 + "one end", "s"), (92, "stretch " * 40 + "other end", None), (None, None, "s")]
+    plain = documents(spark, rows).drop("size", "shard_").coalesce(1)
+    wide = plain.select("*", *[F.concat(F.lit(f"{c} "), F.col("doc_id").cast("string")).alias(c) for c in CLASHING])
+    for name, stage in list(stages.items())[:-1]:
+        given, other = (corpus_pipeline.stored(df, "test") for df in (wide, plain))
+        wide = corpus_pipeline.stored(stage(spark, given, FOLDER), "test")
+        plain = corpus_pipeline.stored(stage(spark, other, FOLDER), "test")
+        assert wide.columns == given.columns, name
+        assert tuples(wide, *plain.columns) == tuples(plain), name
+        for r in wide.collect():
+            assert all(r[c] == (None if r.doc_id is None else f"{c} {r.doc_id}") for c in CLASHING), name
+    last = stages["bpe round"]
+    assert tuples(last(spark, wide, FOLDER)) == tuples(last(spark, plain, FOLDER))
+
+
 def mixing_sizes(docs):
     from comanda.llm.common import word_count
     from pyspark.sql import functions as F
