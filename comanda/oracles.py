@@ -677,6 +677,15 @@ ORACLES: dict[str, str] = {
         _paths(5),
     ),
     "courier_queue": with_sources("SELECT order_id, ordinal, courier FROM stops", QUEUE),
+    "depot_distances": with_sources(
+        f"""
+        SELECT order_id, '{DEFAULT_ZONE}' AS zone,
+               round({_great_circle(f"{DEPOT_LATITUDE}::DOUBLE", f"{DEPOT_LONGITUDE}::DOUBLE", "latitude", "longitude")}, 3)
+                 AS distance_km
+        FROM routable
+        """,
+        QUEUE,
+    ),
     "shift_queue": with_sources("SELECT order_id, shift, place AS ordinal, own AS courier FROM shift_stops", SHIFT_QUEUE),
     "shift_assignments": with_sources(
         f"""
@@ -859,3 +868,35 @@ ORACLES: dict[str, str] = {
         " CAST(restaurant_id AS BIGINT) AS restaurant_id FROM src_products"
     ),
 }
+
+# Results that other entries name as well.
+ORACLES |= {
+    f"warehouse_{name}": ORACLES[name]
+    for name in (
+        "revenue_by_month_category", "user_activity_by_restaurant", "order_status_mix",
+        "consumption_ranking", "peak_hours_weekday", "monthly_growth", "reservations_by_restaurant",
+    )
+}
+ORACLES |= {
+    "exchange_users": with_sources("SELECT id AS user_id, name, zone FROM src_users"),
+    "exchange_products": with_sources("SELECT id AS product_id, name, category, price FROM src_products"),
+    "exchange_orders": with_sources(
+        f"""
+        SELECT id AS order_id, user_id, restaurant_id, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at,
+               status, '{DEFAULT_ZONE}' AS zone
+        FROM src_orders
+        """
+    ),
+    "exchange_order_items": with_sources(
+        "SELECT order_id, product_id, quantity, price AS unit_price FROM src_items"
+    ),
+    "exchange_recommendations": with_sources(
+        "SELECT referred_by AS from_user_id, id AS to_user_id FROM src_users WHERE referred_by IS NOT NULL"
+    ),
+    "exchange_co_purchases": with_sources(
+        "SELECT product_a_id, product_b_id, times AS times_bought_together FROM pairs", CO_PURCHASES
+    ),
+    "exchange_locations": on_routes("SELECT * FROM places"),
+    "exchange_route_assignments": ORACLES["route_assignments"],
+    "exchange_route_edges": ORACLES["route_edges"],
+}

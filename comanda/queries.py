@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +11,13 @@ from pyspark.sql import functions as F
 from comanda.constants import SOLD_IN_STAR
 from comanda.operators import basket, graph, olap, paths, quality, routing, sales, star
 from comanda.operators.star import Star
-from comanda.session import materialise, prepare
+from comanda.plans import nightly
+from comanda.schemas import GRAPH_FILES
+from comanda.session import materialise, prepare, run_folder
+from comanda.sinks import files
 from comanda.sources import extracts, retail
 from comanda.sources.normalise import normalise
-from comanda.sources.tables import Tables
+from comanda.sources.tables import Tables, read_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -176,6 +180,39 @@ def _extract(name: str, *times: str) -> Query:
     return query
 
 
+# Stars that this process has loaded, by application and folder of tables.
+_loaded: dict[tuple[str, str], str] = {}
+
+
+def _on_warehouse(view: Callable[[Star], DataFrame]) -> Query:
+    """Views over the stored star, which is loaded once, into the application's own folder."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        source = _source(spark, folder)
+        key = (spark.sparkContext.applicationId, folder)
+        if key not in _loaded:
+            database = f"comanda_{uuid.uuid4().hex[:12]}"
+            spark.sql(f"CREATE DATABASE {database} LOCATION '{run_folder(spark)}/{database}'")
+            nightly.load_star(spark, source, database)
+            _loaded[key] = database
+        return view(star.read_star(spark, _loaded[key]))
+
+    return query
+
+
+def _exchanged(name: str) -> Callable[[Tables, DataFrame], DataFrame]:
+    """An exchange file of the graph, written and read again."""
+
+    def build(data: Tables, routes: DataFrame) -> DataFrame:
+        spark = routes.sparkSession
+        folder = f"{run_folder(spark)}/exchange-{name}-{uuid.uuid4().hex}"
+        table = files.graph_tables(data, basket.co_purchases(data.order_items), routes)[name]
+        files.write_csv(table, folder)
+        return read_csv(spark, folder, GRAPH_FILES[name])
+
+    return build
+
+
 QUERIES: dict[str, Query] = {
     # Star: dimensions and facts.
     "dim_tiempo": _on_source(lambda s: star.dim_tiempo(s.orders, s.reservations)),
@@ -195,6 +232,15 @@ QUERIES: dict[str, Query] = {
     "peak_hours_weekday": _on_sold(olap.peak_hours_weekday),
     "busiest_slots": _on_sold(olap.busiest_slots),
     "monthly_growth": _on_sold(olap.monthly_growth),
+    # The same over the star as a load stores it.
+    **{
+        f"warehouse_{view.__name__}": _on_warehouse(view)
+        for view in (
+            olap.revenue_by_month_category, olap.user_activity_by_restaurant, olap.order_status_mix,
+            olap.consumption_ranking, olap.peak_hours_weekday, olap.monthly_growth,
+            olap.reservations_by_restaurant,
+        )
+    },
     # Dashboard cards.
     "card_revenue_by_month_category": _on_sold(olap.card_revenue_by_month_category),
     "card_average_ticket": _on_sold(olap.card_average_ticket),
@@ -256,10 +302,12 @@ QUERIES: dict[str, Query] = {
         lambda d, r: graph.sample_legs(routing.route_edges(r), graph.delivery_locations(r))
     ),
     "graph_sample_paths": _on_routes(_sample_paths),
+    **{f"exchange_{name}": _on_routes(_exchanged(name)) for name in GRAPH_FILES},
     # Routes.
     "courier_queue": _on_data(
         lambda d: routing.assign_couriers(d.orders).select("order_id", "ordinal", "courier")
     ),
+    "depot_distances": _on_data(lambda d: routing.depot_distances(d.orders)),
     "shift_queue": _on_data(
         lambda d: routing.assign_shift_couriers(d.orders).select("order_id", "shift", "ordinal", "courier")
     ),

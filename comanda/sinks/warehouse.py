@@ -11,6 +11,7 @@ which a query answers once, so tables that are joined are of one load.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Iterable, Mapping
 from types import MappingProxyType
 from typing import NamedTuple
@@ -24,6 +25,11 @@ from pyspark.sql import types as T
 from comanda.schemas import DATABASE, PARTITION, WAREHOUSE
 
 PARTITIONED = ("fact_items_pedido", "fact_reservaciones")
+# By which keys the rows of a month lie together: a look-up by one skips what has none of it.
+CLUSTERED = {
+    "fact_items_pedido": ("usuario_key", "producto_key"),
+    "fact_reservaciones": ("usuario_key",),
+}
 POINTER = "cargas"
 LOAD = "carga"
 REJECTED = "filas_rechazadas"
@@ -106,9 +112,11 @@ def table_ddl(
         comment = _comment(name, field)
         columns.append(f"`{field}` {kind} COMMENT '{comment}'" if comment else f"`{field}` {kind}")
     partition = ", ".join(f"`{c}`" for c, _ in (*folders, *inner))
+    looked_up = ",".join(c for c in CLUSTERED.get(name, ()))
+    options = "'compression' 'snappy'" + (f", 'orc.bloom.filter.columns' '{looked_up}'" if looked_up else "")
     return (
         f"CREATE TABLE IF NOT EXISTS {database}.{stored or stored_name(name)} ({', '.join(columns)}) "
-        f"USING ORC OPTIONS ('compression' 'snappy') PARTITIONED BY ({partition})"
+        f"USING ORC OPTIONS ({options}) PARTITIONED BY ({partition})"
     )
 
 
@@ -208,7 +216,9 @@ def write_version(df: DataFrame, name: str, load: int, database: str = DATABASE)
     """Write a table's rows of a load; they and what they miss are counted while writing.
 
     Files are evened out first; a month too large for one task is split, and
-    small ones share a task.
+    small ones share a task. Inside a month, rows lie by user and then product:
+    stripes and row groups have narrow ranges of users and Bloom filters of both
+    keys, so a look-up reads few of them.
     """
     spark = df.sparkSession
     declare(spark, name, WAREHOUSE.get(name, df.schema), database)
@@ -218,10 +228,10 @@ def write_version(df: DataFrame, name: str, load: int, database: str = DATABASE)
     df = df.observe(seen, F.count(F.lit(1)).alias("rows"), *missing)
     if name in PARTITIONED:
         df = df.withColumn(PARTITION, F.expr("cast(tiempo_key div 10000 as int)"))
-        df = df.hint("rebalance", F.col(PARTITION))
+        df = df.hint("rebalance", F.col(PARTITION)).sortWithinPartitions(PARTITION, *CLUSTERED[name])
     elif name == "dim_tiempo":
         df = df.sortWithinPartitions("tiempo_key")
-    append(df.withColumn(LOAD, F.lit(load).cast("long")), f"{database}.{stored_name(name)}")
+    append_load(df, f"{database}.{stored_name(name)}", load)
     nulls = {c: observed(seen, f"null_{c}") for c in checked}
     return Version(name, load, observed(seen, "rows"), nulls=nulls)
 
@@ -253,6 +263,18 @@ def append(df: DataFrame, table: str) -> None:
     df.select(*df.sparkSession.table(table).columns).write.insertInto(table)
 
 
+def append_load(df: DataFrame, table: str, load: int) -> None:
+    """Add the rows of a load; its folder is named by the statement, so their order is kept."""
+    spark, view = df.sparkSession, f"load_{uuid.uuid4().hex}"
+    columns = [c for c in spark.table(table).columns if c != LOAD]
+    df.select(*columns).createOrReplaceTempView(view)
+    inner = f", {PARTITION}" if PARTITION in columns else ""
+    try:
+        spark.sql(f"INSERT INTO {table} PARTITION ({LOAD} = {load}{inner}) SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def publish(
     spark: SparkSession, group: str, versions: Iterable[Version], load: int, database: str = DATABASE
 ) -> None:

@@ -59,7 +59,7 @@ def test_a_reader_between_any_two_steps_sees_one_load(spark, operational_sample,
 
     SQL = SparkSession.sql
     with monkeypatch.context() as patch:
-        changing = ("CREATE OR", "ALTER", "DROP")
+        changing = ("CREATE OR", "ALTER", "DROP", "INSERT")
         patch.setattr(SparkSession, "sql", lambda session, text, *more: (
             watched(SQL) if text.startswith(changing) else SQL)(session, text, *more))
         for name in ("write_version", "create_tables"):
@@ -302,3 +302,24 @@ def test_a_load_without_reservations(spark, operational_sample):
     tables["reservations"] = tables["reservations"].where("false")
     counts = nightly.load_star(spark, Tables(**tables), "sin_reservas_dw")
     assert counts["fact_reservaciones"] == 0 and counts["fact_items_pedido"] == 18
+
+
+def test_a_look_up_skips_row_groups(spark):
+    n = 60_000
+    fields = {f.name: F.lit(None).cast(f.dataType) for f in warehouse.WAREHOUSE["fact_items_pedido"]}
+    fields |= {
+        "tiempo_key": F.lit(2026010112).cast("long"),
+        "usuario_key": F.xxhash64(F.col("id") % 5000),
+        "producto_key": F.xxhash64(F.lit("p"), F.col("id") % 30_000),
+        "pedido_id": F.col("id").cast("string"),
+    }
+    made = spark.range(0, n, 1, 3).select(*[c.alias(name) for name, c in fields.items()])
+    load = warehouse.new_load(spark, "busca_dw")
+    assert warehouse.write_version(made, "fact_items_pedido", load, "busca_dw").rows == n
+    stored = warehouse.read_load(spark, "fact_items_pedido", load, "busca_dw")
+    key = made.select("usuario_key").first()[0]
+    one = stored.where(F.col("usuario_key") == key).select("pedido_id")
+    assert one.count() == 12
+    assert sum(r for _, r in scanned(one)) <= n / 3
+    product = stored.where(F.col("producto_key") == 7).select("pedido_id")
+    assert product.count() == 0 and sum(r for _, r in scanned(product)) <= n / 3
