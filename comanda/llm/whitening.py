@@ -54,7 +54,7 @@ def usable(embeddings: DataFrame) -> DataFrame:
     odd = F.exists("embedding", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) >= _LIMIT))
     rows = rows.where(F.col("embedding").isNotNull() & ~odd)
     lengths = rows.groupBy(F.size("embedding").alias("dims")).count()
-    most = lengths.orderBy(F.desc("count"), F.desc("dims")).limit(1).collect()
+    most = lengths.orderBy(F.desc("count"), F.desc("dims")).limit(1).collect()  # bounded: one row
     return rows.where(F.size("embedding") == (most[0].dims if most else 0))
 
 
@@ -129,7 +129,7 @@ def covariance(rows: DataFrame) -> tuple[int, list[int], np.ndarray] | None:
     """
     exact = F.sum(F.col("total").cast("decimal(38,0)")).alias("total")
     sums = rows.mapInArrow(_totals, "i int, n long, total string").groupBy("i").agg(F.sum("n").alias("n"), exact)
-    found = {r.i: (r.n, int(r.total)) for r in sums.collect()}
+    found = {r.i: (r.n, int(r.total)) for r in sums.collect()}  # bounded: a row per dimension
     if not found:
         return None
     n, totals = found[0][0], [found[i][1] for i in range(len(found))]
@@ -137,7 +137,7 @@ def covariance(rows: DataFrame) -> tuple[int, list[int], np.ndarray] | None:
     moved = [s - n * int(c) for s, c in zip(totals, centre)]
     products = rows.mapInArrow(_products(centre), "i int, j int, total string").groupBy("i", "j").agg(exact)
     matrix = np.zeros((len(totals), len(totals)))
-    for r in products.collect():
+    for r in products.collect():  # bounded: a row per two dimensions
         matrix[r.i, r.j] = matrix[r.j, r.i] = _nearest(n * int(r.total) - moved[r.i] * moved[r.j], n * n)
     return n, totals, matrix
 
