@@ -54,7 +54,7 @@ def _best_paths(
     """
     spark = edges.sparkSession
     best = _first_hop(edges, start)
-    schema, rows = best.schema, best.orderBy(*order).limit(k).collect()
+    schema, rows = best.schema, best.orderBy(*order).limit(k).collect()  # bounded: k
     for hop in range(1, max_hops):
         before = rows[: k - 1] if len(rows) == k else rows
         frontier = [r for r in before if r["hops"] == hop]
@@ -63,7 +63,7 @@ def _best_paths(
         leaving = edges.where(F.col("from_id").isin({r["at"] for r in frontier}))
         further = _next_hop(spark.createDataFrame(frontier, schema), leaving)
         best = spark.createDataFrame(rows, schema).unionByName(further)
-        rows = best.orderBy(*order).limit(k).collect()
+        rows = best.orderBy(*order).limit(k).collect()  # bounded: k
     return spark.createDataFrame(rows, schema).orderBy(*order)
 
 

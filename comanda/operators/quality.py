@@ -120,7 +120,7 @@ def differing_buckets(old: DataFrame, new: DataFrame, buckets: int) -> list[int]
 
         before, after = lines(old), lines(new)
         changed = before.exceptAll(after).unionByName(after.exceptAll(before)).select("cubo").distinct()
-        below = sorted(r.cubo for r in changed.collect())
+        below = sorted(r.cubo for r in changed.collect())  # bounded: numbers of buckets
         if not below:
             break
     return below or []

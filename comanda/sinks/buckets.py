@@ -62,7 +62,7 @@ class BucketTable:
         lines = spark.table(f"{self.database}.{POINTER}").where(
             (F.col("grupo") == self.group) & (F.col("tabla") == self.name) & (F.col(LOAD) == load)
         )
-        found = lines.where(F.col(PART) != "").collect()
+        found = lines.where(F.col(PART) != "").collect()  # bounded: a line per bucket
         return {int(r.parte.split("-")[0]): Version(self.name, load, r.filas, r.parte) for r in found}
 
     def read(self, spark: SparkSession, parts: Iterable[Version]) -> DataFrame:
@@ -134,4 +134,4 @@ class BucketTable:
 
 def _buckets(df: DataFrame) -> list[int]:
     """The buckets that rows lie in: at most as many numbers as there are buckets."""
-    return sorted(r[0] for r in df.select("_bucket").distinct().collect())
+    return sorted(r[0] for r in df.select("_bucket").distinct().collect())  # bounded: numbers of buckets

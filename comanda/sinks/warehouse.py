@@ -289,7 +289,7 @@ def publish(
         declare_view(spark, name, group, database)
     lines = [(v.table, v.part, v.rows, group, load) for v in versions]
     kinds = f"tabla string, parte string, filas long, grupo string, {LOAD} long"
-    append(spark.createDataFrame(lines, kinds).coalesce(1), f"{database}.{POINTER}")
+    append(spark.createDataFrame(lines, kinds).coalesce(1), f"{database}.{POINTER}")  # bounded: a line per table and part
 
     kept = kept_loads(spark, group, database)
     for name in whole:
@@ -304,12 +304,12 @@ def publish(
 def kept_loads(spark: SparkSession, group: str, database: str) -> list[int]:
     """The shown load and those before it that stay."""
     loads = spark.table(f"{database}.{POINTER}").where(F.col("grupo") == group).select(LOAD).distinct()
-    return [r[0] for r in loads.orderBy(F.desc(LOAD)).limit(KEPT_LOADS).collect()]
+    return [r[0] for r in loads.orderBy(F.desc(LOAD)).limit(KEPT_LOADS).collect()]  # bounded: KEPT_LOADS
 
 
 def _path(spark: SparkSession, table: str, inner: str = ""):
     """A stored table's folder, and its file system."""
-    rows = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").collect()
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").collect()  # bounded: one row
     path = spark._jvm.org.apache.hadoop.fs.Path(rows[0].data_type + ("/" + inner if inner else ""))
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -326,7 +326,7 @@ def drop_folder(spark: SparkSession, table: str, values: Mapping[str, str]) -> N
     """Drop a folder with all below it, in the catalogue too where that keeps track of folders."""
     spec = ", ".join(f"{c} = '{v}'" for c, v in values.items())
     try:
-        for row in spark.sql(f"SHOW PARTITIONS {table} PARTITION ({spec})").collect():
+        for row in spark.sql(f"SHOW PARTITIONS {table} PARTITION ({spec})").collect():  # bounded: months of a load
             inner = ", ".join("{} = '{}'".format(*part.split("=", 1)) for part in row[0].split("/"))
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({inner})")
     except AnalysisException:

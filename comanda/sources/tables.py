@@ -133,7 +133,7 @@ def read_jdbc_table(
         return spark.read.jdbc(url=url, table=table, properties=properties)
     if key_range is None and sample_percent is not None:
         query = tiles_query(table, key, partitions, sample_percent, dialect)
-        tiles = [str(r[0]) for r in read_jdbc_query(spark, url, query, properties).collect()]
+        tiles = [str(r[0]) for r in read_jdbc_query(spark, url, query, properties).collect()]  # bounded: a key per partition
         clauses = range_predicates(key, tiles, dialect)
         return spark.read.jdbc(url=url, table=table, predicates=clauses, properties=properties)
     if key_range is not None:
