@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -15,6 +16,8 @@ from comanda.sources.tables import read_graph_files_checked
 
 GRAPH_DATABASE = "comanda_grafo"
 GRAPH = "grafo"
+# Tables that are written side by side.
+_AT_ONCE = 7
 
 
 def tables(database: str = GRAPH_DATABASE, buckets: int = BUCKETS) -> dict[str, BucketTable]:
@@ -40,10 +43,14 @@ def load(
     nodes, edges = from_files(files)
     stored = tables(database, buckets)
     number = new_load(spark, database)
-    versions: list[Version] = []
-    for name, table in stored.items():
+
+    def put(name: str) -> list[Version]:
         kind, label = name.split("_", 1)
-        versions += table.upsert(getattr(nodes if kind == "node" else edges, label), number)
+        return stored[name].upsert(getattr(nodes if kind == "node" else edges, label), number)
+
+    # The tables do not depend on each other.
+    with ThreadPoolExecutor(_AT_ONCE) as pool:
+        versions = [v for written in pool.map(put, stored) for v in written]
     publish(spark, GRAPH, versions, number, database)
     for table in stored.values():
         table.drop_old(spark)
