@@ -21,45 +21,53 @@ def _places(text: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _induce(text: np.ndarray, small: np.ndarray, starts: np.ndarray, ends: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Sort all suffixes from an order of the leftmost-smaller ones (-1 pads its ends)."""
+    """Sort all suffixes from an order of the leftmost-smaller ones (-1 pads its ends).
+
+    A place is kept as its index in an array (n + 1, texts) whose row 0 stands
+    before all places. The letters of that row belong to no bucket, and slots
+    not filled yet point to place 0, so a step needs no other test than whether
+    the place before has a bucket of the class that the scan fills.
+    """
     n, texts = text.shape
-    # A letter and its suffix's class in one look-up.
-    marked = (text.astype(np.int32) * 2 + small).ravel()
-    found = np.full((n, texts), -1, np.int32)
-    flat = found.ravel()
-    tails = ends.astype(np.int32).ravel()
-    for row in order[::-1]:
-        has = np.flatnonzero(row >= 0)
-        at = row[has]
-        bucket = (marked[at * texts + has] >> 1) * texts + has
-        place = tails[bucket] - 1
-        tails[bucket] = place
-        flat[place * texts + has] = at
-    heads = starts.astype(np.int32).ravel()
+    columns = np.arange(texts)
+    buckets = np.full((n + 1, texts), -1)
+    buckets[1:] = text.astype(np.int64) * texts + columns
+    slots = np.tile(columns + texts, n)
+    rows = slots.reshape(n, texts)
+
+    free = (ends * texts + columns).ravel()
+    flat = buckets.ravel()
+    seeds = np.where(order < 0, columns, (order + 1) * texts + columns)
+    for seed in seeds[::-1]:
+        bucket = flat[seed]
+        (has,) = (bucket >= 0).nonzero()
+        bucket = bucket[has]
+        slot = free[bucket] - texts
+        free[bucket] = slot
+        slots[slot] = seed[has]
+
+    marks = np.concatenate([np.zeros((1, texts), bool), small])
+    larger = np.where(marks, -1, buckets).ravel()
+    free = (starts * texts + columns).ravel()
     for i in range(n):
-        before = found[i] - 1
-        has = np.flatnonzero(before >= 0)
-        before = before[has]
-        mark = marked[before * texts + has]
-        larger = np.flatnonzero(mark & 1 == 0)
-        has, before = has[larger], before[larger]
-        bucket = (mark[larger] >> 1) * texts + has
-        place = heads[bucket]
-        heads[bucket] = place + 1
-        flat[place * texts + has] = before
-    tails = ends.astype(np.int32).ravel()
+        before = rows[i] - texts
+        bucket = larger[before]
+        (has,) = (bucket >= 0).nonzero()
+        bucket = bucket[has]
+        slot = free[bucket]
+        free[bucket] = slot + texts
+        slots[slot] = before[has]
+    smaller = np.where(marks, buckets, -1).ravel()
+    free = (ends * texts + columns).ravel()
     for i in range(n - 1, -1, -1):
-        before = found[i] - 1
-        has = np.flatnonzero(before >= 0)
-        before = before[has]
-        mark = marked[before * texts + has]
-        smaller = np.flatnonzero(mark & 1)
-        has, before = has[smaller], before[smaller]
-        bucket = (mark[smaller] >> 1) * texts + has
-        place = tails[bucket] - 1
-        tails[bucket] = place
-        flat[place * texts + has] = before
-    return found
+        before = rows[i] - texts
+        bucket = smaller[before]
+        (has,) = (bucket >= 0).nonzero()
+        bucket = bucket[has]
+        slot = free[bucket] - texts
+        free[bucket] = slot
+        slots[slot] = before[has]
+    return rows // texts - 1
 
 
 def suffix_arrays(text: np.ndarray, size: int) -> np.ndarray:
@@ -74,8 +82,9 @@ def suffix_arrays(text: np.ndarray, size: int) -> np.ndarray:
     if n == 1:
         return np.zeros((1, texts), np.int64)
     small = np.ones((n, texts), bool)
+    rises, stays = text[:-1] < text[1:], text[:-1] == text[1:]
     for i in range(n - 2, -1, -1):
-        small[i] = (text[i] < text[i + 1]) | ((text[i] == text[i + 1]) & small[i + 1])
+        small[i] = rises[i] | (stays[i] & small[i + 1])
     leftmost = small.copy()
     leftmost[0] = False
     leftmost[1:] &= ~small[:-1]

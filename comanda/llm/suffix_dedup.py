@@ -21,11 +21,13 @@ LENGTH = 100
 GRAM = 32
 # Windows of a territory that are settled together, where all of it can't be.
 BLOCK = 16
-# Blocks of one core that a shard takes; beyond it windows are dealt singly.
-SHARD_TERRITORIES = 256
-# Bytes of all shards of one task, and lengths of its shards.
+# Kinds of shards, by the blocks of one core that they take; beyond the last,
+# windows are dealt singly. Bytes of all shards of one task, which are of one kind.
+SHARD_BLOCKS = (2, 4, 16, 64, 256)
 TASK_BYTES = 1 << 20
-SHARD_BYTES = (2_048, 8_192)
+# One document in so many tells which keys are frequent. This steers how rows are
+# dealt over tasks; results don't depend on it.
+PILOT = 64
 # Largest filter of document ids that is handed to tasks.
 FILTER_BITS = 1 << 28
 
@@ -150,7 +152,7 @@ def _anchor_rows(length: int, gram: int):
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple]:
-    """(bytes, doc, tie, low, windows, gram's place, gram) of stretches of texts.
+    """(bytes, doc, tie, low, windows, gram's distance) of stretches of texts.
 
     A stretch runs from a text's first wanted territory on and is of bounded
     length; places in it count from its own start, which is returned as well.
@@ -158,18 +160,18 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple]:
     docs, ties = (batch.column(c).to_numpy() for c in ("doc", "tie"))
     for text, places, doc, tie in zip(batch.column("text"), batch.column("places"), docs, ties):
         rows = places.values
-        columns = [rows.field(c).to_numpy() for c in ("low", "windows", "back", "gram")]
+        columns = [rows.field(c).to_numpy() for c in ("low", "windows", "back")]
         order = np.argsort(columns[0], kind="stable")
-        low, windows, back, gram = (c[order] for c in columns)
+        low, windows, back = (c[order] for c in columns)
         raw = np.frombuffer(text.as_buffer(), np.uint8)
         at = 0
         while at < len(low):
             end = int(np.searchsorted(low, low[at] + PIECE, side="left"))
-            yield raw, doc, tie, *(c[at:end].astype(np.int64) for c in (low, windows, back)), gram[at:end]
+            yield raw, doc, tie, *(c[at:end].astype(np.int64) for c in (low, windows, back))
             at = end
 
 
-def _block_rows(length: int):
+def _block_rows(length: int, gram: int):
     """Territories cut at fixed distances from their gram, keyed by what their windows share.
 
     The windows of a block start BLOCK places or fewer apart, so all of them
@@ -181,7 +183,7 @@ def _block_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = []
-            for raw, doc, tie, low, windows, back, gram in _slices(batch):
+            for raw, doc, tie, low, windows, back in _slices(batch):
                 start, stop = int(low[0]), int((low + windows).max()) + length - 1
                 piece = raw[start:stop]
                 levels = doubled_hashes(piece, 128)
@@ -194,7 +196,8 @@ def _block_rows(length: int):
                 begin = place - np.minimum(far[of], block * BLOCK + BLOCK - 1)
                 count = place - np.maximum(near[of], block * BLOCK) - begin + 1
                 core = stretch_hash(levels, place - block * BLOCK - start, length - BLOCK + 1)
-                key = scramble(core + scramble(gram[of].view(np.uint64) + block.astype(np.uint64) * _ODD))
+                grams = stretch_hash(levels, place - start, gram)
+                key = scramble(core + scramble(grams + block.astype(np.uint64) * _ODD))
                 size = count + length - 1
                 stretch = np.empty(len(of), np.uint64)
                 for m in np.unique(size).tolist():
@@ -237,12 +240,12 @@ def _spans(doc: np.ndarray, tie: np.ndarray, start: np.ndarray, group: np.ndarra
     return pd.DataFrame({"doc": doc[first], "tie": tie[first], "start": start[first], "end": start[last] + length})
 
 
-def _repeats(rows: pd.DataFrame, members: np.ndarray, shard: np.ndarray, n: int, length: int) -> pd.DataFrame:
-    """Windows of shards of ``n`` bytes that an earlier territory of the shard has too.
+def _repeats(rows: pd.DataFrame, shard: np.ndarray, n: int, length: int) -> pd.DataFrame:
+    """Windows of shards of ``n`` bytes that an earlier row of the shard has too.
 
-    ``members`` are rows, in order, and ``shard`` the shard of each.
+    ``shard`` is the shard of each row.
     """
-    sizes = rows["size"].to_numpy()[members]
+    sizes = rows["size"].to_numpy()
     texts = int(shard[-1]) + 1
     used = np.bincount(shard, weights=sizes, minlength=texts).astype(np.int64)
     # Texts stand at the end of their row of bytes; what stands before is no window.
@@ -251,17 +254,17 @@ def _repeats(rows: pd.DataFrame, members: np.ndarray, shard: np.ndarray, n: int,
     inside = before - np.repeat(before[head], np.diff(np.append(np.flatnonzero(head), len(shard))))
     begin = inside + n - used[shard]
     data = np.full((texts, n), 255, np.uint8)
-    joined = np.frombuffer(b"".join(rows["bytes"].iloc[members]), np.uint8)
+    joined = np.frombuffer(b"".join(rows["bytes"]), np.uint8)
     spread = np.repeat(shard * n + begin - before, sizes) + np.arange(len(joined))
     data.ravel()[spread] = joined
     order = byte_suffix_arrays(data)
     common = permuted_common_prefixes(data, order, length)
-    windows = rows["windows"].to_numpy()[members]
+    windows = rows["windows"].to_numpy()
     is_window = np.zeros(texts * n, bool)
     owner_of = np.zeros(texts * n, np.int64)
     at = np.repeat(shard * n + begin - (np.cumsum(windows) - windows), windows) + np.arange(windows.sum())
     is_window[at] = True
-    owner_of[at] = np.repeat(np.arange(len(members)), windows)
+    owner_of[at] = np.repeat(np.arange(len(rows)), windows)
     # Suffixes of which each shares ``length`` bytes with the one before are a class.
     turned = order.T + np.arange(texts)[:, None] * n
     starts_class = common.ravel()[turned] < length
@@ -273,35 +276,27 @@ def _repeats(rows: pd.DataFrame, members: np.ndarray, shard: np.ndarray, n: int,
     earliest = np.repeat(np.minimum.reduceat(valued, heads), np.diff(np.append(heads, len(place))))
     again = np.sort(place[is_window[place] & (place != earliest)])
     who = owner_of[again]
-    start = rows["low"].to_numpy()[members][who] + again - (shard * n + begin)[who]
-    return _spans(rows["doc"].to_numpy()[members][who], rows["tie"].to_numpy()[members][who], start, who, length)
+    start = rows["low"].to_numpy()[who] + again - (shard * n + begin)[who]
+    return _spans(rows["doc"].to_numpy()[who], rows["tie"].to_numpy()[who], start, who, length)
 
 
 def _shards(length: int):
-    """Pack the territories of whole grams into shards, and find repeats in each."""
+    """Pack the blocks of whole cores into shards of one length, and find repeats in each."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["gram", "doc", "tie", "low"], ignore_index=True)
         rows["size"] = rows["bytes"].map(len)
         grams = rows["gram"].to_numpy()
         head = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
-        count = np.diff(np.append(head, len(rows)))
-        size = np.add.reduceat(rows["size"].to_numpy(), head)
-        found, below = [], 0
-        for bound in (*SHARD_BYTES, max(int(size.max()), SHARD_BYTES[-1] + 1)):
-            chosen = np.flatnonzero((size > below) & (size <= bound))
-            below = bound
-            if not len(chosen):
-                continue
-            shard_of, shard, filled = np.empty(len(chosen), np.int64), 0, 0
-            for i, s in enumerate(size[chosen].tolist()):
-                if filled and filled + s > bound:
-                    shard, filled = shard + 1, 0
-                shard_of[i] = shard
-                filled += s
-            members = np.concatenate([np.arange(head[g], head[g] + count[g]) for g in chosen])
-            found.append(_repeats(rows, members, np.repeat(shard_of, count[chosen]), bound, length))
-        return pd.concat(found, ignore_index=True)
+        bound = int(rows["kind"].iloc[0]) * (length + BLOCK - 1)
+        shard_of, shard, filled = np.empty(len(head), np.int64), 0, 0
+        for i, s in enumerate(np.add.reduceat(rows["size"].to_numpy(), head).tolist()):
+            if filled and filled + s > bound:
+                shard, filled = shard + 1, 0
+            shard_of[i] = shard
+            filled += s
+        shards = np.repeat(shard_of, np.diff(np.append(head, len(rows))))
+        return _repeats(rows, shards, bound, length)
 
     return run
 
@@ -386,21 +381,30 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
 
     ``documents`` has doc, tie and text (binary). Spans may overlap and repeat.
     """
-    rows = documents.select("doc", "tie", "text").mapInArrow(
-        _anchor_rows(length, gram),
-        f"gram long, stretch long, {_WHO}, low int, windows int, back int, sure boolean",
-    )
-    placed = stored(_classed(rows, "back"), "territories")
+    documents = documents.select("doc", "tie", "text")
+    chosen = F.pmod(F.xxhash64("doc", "tie"), F.lit(PILOT)) == 0
+    pilot = documents.where(chosen)
+
+    def anchors(of: DataFrame) -> DataFrame:
+        return of.mapInArrow(
+            _anchor_rows(length, gram),
+            f"gram long, stretch long, {_WHO}, low int, windows int, back int, sure boolean",
+        )
+
+    placed = stored(_classed(anchors(documents), _frequent(anchors(pilot)), "back"), "territories")
     unsure = placed.where("not covered")
-    places = unsure.groupBy("doc", "tie").agg(
-        F.collect_list(F.struct("gram", "low", "windows", "back")).alias("places")
-    )
-    texts = _only(documents, unsure, 5).join(places, ["doc", "tie"]).select("doc", "tie", "text", "places")
-    cut = texts.mapInArrow(
-        _block_rows(length),
-        f"gram long, stretch long, {_WHO}, low int, windows int, sure boolean, bytes binary",
-    )
-    blocks = stored(_classed(cut, "bytes").withColumn("bytes", F.expr("if(covered, null, bytes)")), "blocks")
+    near = _only(documents, unsure, 5)
+
+    def blocks_of(of: DataFrame, territories: DataFrame) -> DataFrame:
+        places = territories.groupBy("doc", "tie").agg(F.collect_list(F.struct("low", "windows", "back")).alias("places"))
+        return of.join(places, ["doc", "tie"]).select("doc", "tie", "text", "places").mapInArrow(
+            _block_rows(length, gram),
+            f"gram long, stretch long, {_WHO}, low int, windows int, sure boolean, bytes binary",
+        )
+
+    frequent = _frequent(blocks_of(pilot, unsure.where(chosen)).drop("bytes"))
+    found = _classed(blocks_of(near, unsure), frequent, "bytes")
+    blocks = stored(found.withColumn("bytes", F.expr("if(covered, null, bytes)")), "blocks")
 
     # What equals an earlier one is repeated throughout.
     end = F.col("low") + F.col("windows") + F.lit(length - 1)
@@ -408,35 +412,63 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
     covered = placed.where("covered").select(*span).union(blocks.where("covered").select(*span))
 
     open_blocks = blocks.where("not covered")
-    few = open_blocks.where(F.col("many") <= SHARD_TERRITORIES)
-    size = few.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
-    tasks = max(1, -(-size // TASK_BYTES))
-    task = F.pmod(F.xxhash64("gram"), F.lit(tasks)).cast("int")
-    in_shards = few.withColumn("task", task).groupBy("task").applyInPandas(_shards(length), _SPAN)
-
-    singles = open_blocks.where(F.col("many") > SHARD_TERRITORIES)
+    # The bytes of a core are bounded by its blocks, and the kind of shard by those.
+    kind = F.lit(None).cast("int")
+    for blocks_of_core in reversed(SHARD_BLOCKS):
+        kind = F.when(F.col("many") <= blocks_of_core, F.lit(blocks_of_core)).otherwise(kind)
+    few = open_blocks.withColumn("kind", kind).where("kind is not null")
+    # One row per kind.
+    sizes = few.groupBy("kind").agg(F.sum(F.octet_length("bytes")).alias("n")).collect()
+    dealt = {row["kind"]: -(-row["n"] // TASK_BYTES) for row in sizes}
+    task, tasks = F.lit(0).cast("long"), 0
+    for k, n in dealt.items():
+        task = F.when(F.col("kind") == k, F.lit(tasks) + F.pmod(F.xxhash64("gram"), F.lit(n))).otherwise(task)
+        tasks += n
+    parts = few.withColumn("task", task).repartition(max(1, tasks), "task")
+    in_shards = parts.groupBy("task").applyInPandas(_shards(length), _SPAN)
+
+    singles = open_blocks.where(F.col("many") > SHARD_BLOCKS[-1])
     windows = singles.select("doc", "tie", "low", "windows", "bytes").mapInArrow(
         _single_windows(length), f"one long, two long, {_WHO}, start int, sure boolean"
     )
     alone = Window.partitionBy("one", "two").orderBy("doc", "tie", "start")
     again = windows.withColumn("nth", F.row_number().over(alone)).where("nth > 1 or sure")
-    dealt = again.select("doc", "tie", "start", (F.col("start") + length).alias("end"))
-    return covered.union(stored(in_shards, "spans")).union(stored(dealt, "spans"))
+    dealt_singly = again.select("doc", "tie", "start", (F.col("start") + length).alias("end"))
+    return covered.union(stored(in_shards, "spans")).union(stored(dealt_singly, "spans"))
+
+
+def _frequent(rows: DataFrame) -> DataFrame:
+    """Keys (gram) of a pilot that would fill a good part of a task, were a key one task's.
+
+    At most four a shuffle partition, as each has that share of the pilot's rows.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = stored(rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "pilot")
+    whole = counts.agg(F.sum("n")).first()[0] or 0
+    return stored(counts.where(F.col("n") > max(8, whole / (4 * partitions))).select("gram"), "frequent")
 
 
-def _classed(rows: DataFrame, *more: str) -> DataFrame:
+def _classed(rows: DataFrame, frequent: DataFrame, *more: str) -> DataFrame:
     """Territories or blocks that an equal one precedes (covered), and those that
-    share their key with ``many`` different ones; what is alone is left out."""
+    share their key with ``many`` different ones; what is alone is left out.
+
+    Rows of ``frequent`` keys meet their equals only, not all of their key: these
+    have company in any case, and count as more than a shard takes.
+    """
     turn = ["doc", "tie", "low"]
+    marked = rows.join(F.broadcast(frequent.withColumn("hot", F.lit(True))), "gram", "left")
+    marked = marked.withColumn("hot", F.col("hot").isNotNull() & ~F.col("sure"))
+    marked = marked.withColumn("gram", F.when(F.col("hot"), F.xxhash64("gram", "stretch")).otherwise(F.col("gram")))
     by_key = Window.partitionBy("gram").orderBy(*turn)
     alike = Window.partitionBy("gram", "stretch").orderBy(*turn)
     # Most keys occur once: they go before anything is gathered.
     company = F.lag("doc").over(by_key).isNotNull() | F.lead("doc").over(by_key).isNotNull()
-    shared = rows.withColumn("_company", company).where("_company or sure")
+    shared = marked.withColumn("_company", company).where("_company or sure or hot")
     first = (F.col("nth") == 1).cast("int")
+    variants = F.sum(first).over(Window.partitionBy("gram"))
     return (
         shared.withColumn("nth", F.row_number().over(alike))
-        .withColumn("many", F.sum(first).over(Window.partitionBy("gram")))
+        .withColumn("many", F.when(F.col("hot"), F.lit(SHARD_BLOCKS[-1] + 1).cast("long")).otherwise(variants))
         .withColumn("covered", F.col("sure") | (F.col("nth") > 1))
         .where("covered or many > 1")
         .select("gram", *turn, "windows", "many", "covered", *more)

@@ -120,10 +120,15 @@ def passages(n):
     return texts + [texts[0], texts[1], "", None, "ab" * 4000, "z" * 700, shared[0], "é" * 300]
 
 
-@pytest.mark.parametrize("territories", [256, 2])
-def test_removal_equals_brute_force(spark, monkeypatch, territories):
-    monkeypatch.setattr(suffix_dedup, "SHARD_TERRITORIES", territories)
-    texts = passages(40)
+@pytest.mark.parametrize("kinds, pilot", [((2, 4, 16, 64, 256), 64), ((2,), 64), ((2, 4, 16, 64, 256), 1)])
+def test_removal_equals_brute_force(spark, monkeypatch, kinds, pilot):
+    monkeypatch.setattr(suffix_dedup, "SHARD_BLOCKS", kinds)
+    monkeypatch.setattr(suffix_dedup, "PILOT", pilot)
+    draw = random.Random(1)
+    header = prose(draw, 30)
+    # A header in a third of the documents, with other words around it each time.
+    framed = [prose(draw, 3) + header + prose(draw, 3) for _ in range(40)]
+    texts = passages(40) + framed
     docs = documents(spark, [(i, t, "s") for i, t in enumerate(texts)])
     found = sorted(suffix_dedup.remove_repeats(docs).collect(), key=lambda r: r.doc_id)
     for r, text, marks in zip(found, texts, repeated(texts, 100)):
@@ -139,6 +144,15 @@ def test_removal_equals_brute_force(spark, monkeypatch, territories):
         assert (r.text or "") == rest.decode("utf-8", "ignore") and (r.text is None) == (texts[r.doc_id] is None)
 
 
+def test_frequent_keys_are_found_and_meet_their_equals_only(spark, monkeypatch):
+    rows = spark.range(3000).selectExpr("if(id % 3 = 0, 7L, id) gram", "id stretch", "id doc", "0L tie", "0 low", "1 windows", "0 back", "false sure")
+    frequent = suffix_dedup._frequent(rows)
+    assert [r.gram for r in frequent.collect()] == [7]
+    found = suffix_dedup._classed(rows, frequent, "back")
+    assert found.count() == found.select("gram").distinct().count() == 1001
+    assert {r.many for r in found.collect()} == {suffix_dedup.SHARD_BLOCKS[-1] + 1}
+
+
 def test_long_texts_are_read_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PIECE", 500)
     texts = passages(12) + [" ".join(passages(12)[:10])]
