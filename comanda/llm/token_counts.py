@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -24,8 +25,10 @@ from comanda.llm.byte_level import (
 from comanda.llm.common import n_bytes, text_batches
 
 LIMIT = 512
-# Pieces whose totals a Python worker remembers; a cache, emptied when full.
+# Pieces whose counts a Python worker remembers; a cache, emptied when full. The
+# counts of a piece of up to 255 bytes are a byte each, longer ones aren't kept.
 CACHE = 300_000
+KEPT_BYTES = 255
 
 
 def _pieces(blank: str, letter: str, number: str) -> str:
@@ -38,19 +41,23 @@ def _pieces(blank: str, letter: str, number: str) -> str:
 
 _PIECE = regex.compile(_pieces(BLANK, r"\p{L}", r"\p{N}"))
 _LATIN_PIECE = re.compile(_pieces(LATIN_BLANK, LATIN_LETTER, LATIN_NUMBER))
+_LAST = itemgetter(-1)
 _BLANKS = regex.compile(rf"[{BLANK}]+")
 
 
-class _Totals(dict):
-    """Tokens per piece, computed when first asked for."""
+class _PieceCounts(dict):
+    """Tokens of the first 0, 1, ... bytes per piece, computed when first asked for."""
 
-    def __init__(self, count):
-        self.count = count
+    def __init__(self, counts):
+        self.counts = counts
 
-    def __missing__(self, piece: str) -> int:
+    def __missing__(self, piece: str) -> bytes | list[int]:
+        found = self.counts(piece.encode())
+        if len(found) > KEPT_BYTES:
+            return found
         if len(self) >= CACHE:
             self.clear()
-        found = self[piece] = self.count(piece.encode())
+        self[piece] = found = bytes(found)
         return found
 
 
@@ -76,7 +83,7 @@ class PrefixCounter:
             self.rank[left << 20 | right] = r
             self.made.setdefault(token, (r, left, right))
         self.apart: dict[int, bool] = {}
-        self.totals = _Totals(self.piece_total)
+        self.pieces = _PieceCounts(self.piece_counts)
 
     def _stay_apart(self, left: int, right: int) -> bool:
         """Whether the two tokens side by side are what merging leaves of their bytes.
@@ -120,37 +127,35 @@ class PrefixCounter:
                     break
         return counts
 
-    def piece_total(self, piece: bytes) -> int:
-        """Tokens of a whole piece, from those of its prefixes that it leads back to."""
-        if piece in self.tokens:
-            return 1
-        if len(piece) > 100:
-            return self.piece_counts(piece)[-1]
-        tokens, known, apart, stay = self.tokens, {}, self.apart, self._apart
-
-        def state(end: int) -> tuple[int, int]:
-            for start in range(end):
-                token = tokens.get(piece[start:end])
-                if token is None:
-                    continue
-                if not start:
-                    known[end] = found = (token, 1)
-                    return found
-                before = known.get(start) or state(start)
-                ok = apart.get(before[0] << 20 | token)
-                if ok or ok is None and stay(before[0], token):
-                    known[end] = found = (token, before[1] + 1)
-                    return found
-            raise AssertionError("every byte is a token")
-
-        return state(len(piece))[1]
-
     def total(self, text: str) -> int:
-        """Tokens of the whole text."""
+        """Tokens of the whole text: the last of each piece's counts."""
         parts = self.vocabulary.split_special(text)
-        count = self.totals.__getitem__
+        counts = self.pieces.__getitem__
         cut = _LATIN_PIECE.findall if is_latin(text) else _PIECE.findall
-        return len(parts) // 2 + sum(sum(map(count, cut(p))) for p in parts[::2])
+        return len(parts) // 2 + sum(sum(map(_LAST, map(counts, cut(p)))) for p in parts[::2])
+
+    def within(self, text: str, limit: int) -> int:
+        """Characters of the longest prefix of at most ``limit`` tokens, read off the counts.
+
+        The prefixes to look at end in the piece that passes the limit, or in the
+        run of blanks that it ends in or follows; all longer ones pass it too.
+        """
+        if len(self.vocabulary.split_special(text)) > 1:
+            return int(np.flatnonzero(self.prefix_counts(text) <= limit)[-1])
+        at, total, starts = 0, 0, []
+        for match in (_LATIN_PIECE if is_latin(text) else _PIECE).finditer(text):
+            starts.append((at, total))
+            at, total = match.end(), total + self.pieces[match.group()][-1]
+            if total > limit:
+                break
+        else:
+            return len(text)
+        first, before = starts.pop()
+        while first and _BLANKS.match(text, first - 1):
+            first, before = starts.pop()
+        run = _BLANKS.match(text, at) if _BLANKS.match(text, at - 1) else None
+        counts = self._segment_counts(text[first : run.end() if run else at])
+        return first + int(np.flatnonzero(before + np.array(counts) <= limit)[-1])
 
     def _segment_counts(self, text: str) -> list[int]:
         """Tokens of the first 0, 1, ... characters of a text without special strings.
@@ -163,14 +168,14 @@ class PrefixCounter:
         for match in _PIECE.finditer(text):
             piece = match.group()
             starts[match.start()] = total
-            inner, at = self.piece_counts(piece.encode()), 0
+            inner, at = self.pieces[piece], 0
             for i, c in enumerate(piece):
                 at += len(c.encode())
                 two = i == 1 and piece in ("'re", "'ve", "'ll")
                 counts.append(total + (2 if two else inner[at]))
             total += inner[-1]
         for run in _BLANKS.finditer(text):
-            inner, at = self.piece_counts(run.group().encode()), 0
+            inner, at = self.pieces[run.group()], 0
             for i, c in enumerate(run.group(), run.start() + 1):
                 at += len(c.encode())
                 counts[i] = starts[run.start()] + inner[at]
@@ -205,25 +210,25 @@ def _rows(spec, limit: int, prefixes: bool):
         for rows in batches:
             texts = [t if isinstance(t, str) else "" for t in rows.pop("text")]
             rows["n_tokens"] = np.array([own.total(t) for t in texts], np.int64)
+            counted = zip(texts, rows["n_tokens"].tolist())
+            rows["within_limit"] = np.array([len(t) if n <= limit else own.within(t, limit) for t, n in counted], np.int64)
             if prefixes:
-                counts = [own.prefix_counts(t) for t in texts]
-                rows["prefix_counts"] = counts
-                rows["within_limit"] = np.array([np.flatnonzero(c <= limit)[-1] for c in counts], np.int64)
+                rows["prefix_counts"] = [own.prefix_counts(t) for t in texts]
             yield rows
 
     return run
 
 
 def count_tokens(documents: DataFrame, spec_path: str, limit: int = LIMIT, prefixes: bool = False) -> DataFrame:
-    """Token counts of whole texts: doc_id, n_bytes, n_tokens, over_limit.
+    """Token counts of whole texts: doc_id, n_bytes, n_tokens, over_limit, within_limit.
 
     ``documents`` needs doc_id and text; other columns are left out. The file
     at ``spec_path`` is a byte-level BPE of the tokenizers library; its special
     strings in a text are one token each, as is that library's default, and
-    nothing is added at the ends. With ``prefixes`` there are also
-    prefix_counts, the tokens of the first 0, 1, ... characters, and
-    within_limit, the characters of the longest prefix of at most ``limit``
-    tokens: truncations and budgets are read off without encoding again.
+    nothing is added at the ends. within_limit is the characters of the longest
+    prefix of at most ``limit`` tokens. With ``prefixes`` there is also
+    prefix_counts, the tokens of the first 0, 1, ... characters. Truncations and
+    budgets are read off the counts of a piece's prefixes, without encoding again.
 
     One pass without a shuffle. A text may be of any length. Null or empty text:
     0 tokens. Null or repeated doc_ids: a row for each row. No rows: no rows.
@@ -233,8 +238,10 @@ def count_tokens(documents: DataFrame, spec_path: str, limit: int = LIMIT, prefi
     with open(spec_path, encoding="utf-8") as file:
         spec = spark.sparkContext.broadcast(file.read())
     rows = documents.select("doc_id", n_bytes(F.col("text")).alias("n_bytes"), "text")
-    schema = f"doc_id {dict(documents.dtypes)['doc_id']}, n_bytes long, n_tokens long"
+    schema = f"doc_id {dict(documents.dtypes)['doc_id']}, n_bytes long, n_tokens long, within_limit long"
     if prefixes:
-        schema += ", prefix_counts array<int>, within_limit long"
+        schema += ", prefix_counts array<int>"
     counted = rows.mapInPandas(_rows(spec, limit, prefixes), schema)
-    return counted.withColumn("over_limit", F.col("n_tokens") > limit)
+    counted = counted.withColumn("over_limit", F.col("n_tokens") > limit)
+    more = ["within_limit", *(["prefix_counts"] if prefixes else [])]
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit", *more)

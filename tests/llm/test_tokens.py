@@ -36,6 +36,14 @@ def test_totals_and_prefixes_equal_the_library(spark):
         assert own.prefix_counts(text).tolist() == [count(text[:k]) for k in range(len(text) + 1)], text
 
 
+def test_the_longest_prefix_within_a_limit_is_read_off_the_counts():
+    own = token_counts.PrefixCounter(open(BYTE, encoding="utf-8").read())
+    for text in texts()[:-1]:
+        counts = own.prefix_counts(text)
+        for limit in (0, 1, 2, 3, 5, 8, 17, 60):
+            assert own.within(text, limit) == np.flatnonzero(counts <= limit)[-1], (text[:60], limit)
+
+
 def test_token_counts_of_a_table(spark):
     library = tokenizers.Tokenizer.from_file(BYTE)
     rows = [(i, t, "s") for i, t in enumerate(texts())] + [(None, "no id", "s"), (3, "twice", None), (3, "twice", None), (9000, None, "s")]
