@@ -19,6 +19,7 @@ from comanda.functions.calendar import (
 from comanda.functions.keys import distinct_keys, one_per_key, surrogate_key
 from comanda.functions.numbers import line_amount
 from comanda.schemas import MONEY, PARTITION, WAREHOUSE
+from comanda.session import materialise
 from comanda.sinks.warehouse import STAR, current_load, read_load
 from comanda.sources.tables import LazyTables, Tables
 
@@ -132,11 +133,33 @@ def _conform(df: DataFrame, dims: Star | None, name: str, source: str, strategy:
     the dimension then drops the same rows.
     """
     own = F.col(source).cast("string")
+    key = surrogate_key(own, strategy)
     if dims is None:
-        found = {f"{name}_key": surrogate_key(own, strategy), f"{name}_id": own}
-        return df.withColumns(found).drop(source)
-    member = getattr(dims, f"dim_{name}").select(F.col(f"{name}_id"), F.col(f"{name}_key"))
-    return df.join(member, own == member[f"{name}_id"], "left").drop(source)
+        return df.withColumns({f"{name}_key": key, f"{name}_id": own}).drop(source)
+    other = _other_keys(df.select(own.alias("_ref")), dims, name, strategy)
+    found = df.withColumn("_own", own).join(other, F.col("_own") == F.col("_ref"), "left")
+    plain = F.col("_ref").isNull()
+    return found.withColumns(
+        {
+            f"{name}_key": F.when(plain, surrogate_key(F.col("_own"), strategy)).otherwise(F.col("_key")),
+            f"{name}_id": F.when(plain | F.col("_key").isNotNull(), F.col("_own")),
+        }
+    ).drop(source, "_own", "_ref", "_key")
+
+
+def _other_keys(references: DataFrame, dims: Star, name: str, strategy: str) -> DataFrame:
+    """References whose member has another key than their hash, or that no member has (NULL).
+
+    Mostly there are none or few. They are written, in a job while the plan is
+    built, so that their size tells the planner to broadcast them: a dimension
+    of any size is then met by distinct references, and facts aren't shuffled
+    for it. The reference column is read once more for that.
+    """
+    member = getattr(dims, f"dim_{name}").select(F.col(f"{name}_id").alias("_id"), F.col(f"{name}_key").alias("_key"))
+    known = references.where(F.col("_ref").isNotNull()).distinct()
+    met = known.join(member, F.col("_ref") == F.col("_id"), "left")
+    other = met.where(F.col("_key").isNull() | (F.col("_key") != surrogate_key(F.col("_ref"), strategy)))
+    return materialise(other.select("_ref", "_key"), f"other-{name}")
 
 
 def _known_hours(df: DataFrame, dims: Star | None) -> DataFrame:

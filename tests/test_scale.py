@@ -314,6 +314,24 @@ def test_lines_are_shuffled_for_order_and_product_only(spark):
     assert "restaurant_id" not in "".join(over_lines)
 
 
+def test_lines_are_not_shuffled_for_a_product_table_too_large_to_broadcast(spark):
+    """Only keys other than the hash are looked up, and here are none."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "4096",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        plan = QUERIES["fact_items_pedido"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    by_hash = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert by_hash and not re.search("product_id|l_partkey|_own", "".join(by_hash)), by_hash
+
+
 def test_sold_orders_are_filtered_by_the_scan(spark):
     for name in ("revenue_by_month_category", "best_sellers", "daily_trend", "peak_hours"):
         plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
