@@ -239,12 +239,13 @@ def exact_unique_users(star: Star, sold: Sequence[str] = SOLD_IN_STAR) -> DataFr
 def monthly_users(star: Star, members: DataFrame | None = None, sold: Sequence[str] = SOLD_IN_STAR) -> DataFrame:
     """User activity per restaurant and month, of which months add up exactly.
 
-    Users are bits of a bitmap, of which a block has 32,768, so a row's size does
-    not grow with the users: what they number is a row per block. Orders and
+    Users are bits of a bitmap, of which a row has a word of 64: rows are as small
+    as a sum's, and at most as many as there are users of a restaurant and month,
+    however few of all users these are. Orders and
     revenue stand beside, where an order is of one month. ``members`` numbers
     the users densely from 0, as (user's key, ordinal); a table that is carried
     on must keep its numbers. A month's new rows are found from its lines alone.
-    Orders without a user count in a row of no block.
+    Orders without a user count in a row of no word.
     """
     user, place = star.key("usuario"), star.key("restaurante")
     lines = _sold_by_time(star, sold)
@@ -257,9 +258,9 @@ def monthly_users(star: Star, members: DataFrame | None = None, sold: Sequence[s
     numbered = _with(star, per_user, "restaurante").join(members, user, "left")
     return numbered.groupBy(
         F.col("nombre").alias("restaurante"), F.col("direccion").alias("zona"), *MONTH,
-        F.bitmap_bucket_number("ordinal").alias("bloque"),
+        F.expr("ordinal div 64").alias("palabra"),
     ).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("ordinal")).alias("usuarios"),
+        F.bit_or(F.expr("shiftleft(1L, cast(ordinal % 64 as int))")).alias("usuarios"),
         F.sum("pedidos").alias("total_pedidos"),
         money_sum("monto").alias("ingresos"),
     )
@@ -267,13 +268,13 @@ def monthly_users(star: Star, members: DataFrame | None = None, sold: Sequence[s
 
 def users_rolled_up(monthly: DataFrame, *by: str) -> DataFrame:
     """Distinct users, orders and revenue ``by`` any columns of ``monthly_users``, exact, without its lines."""
-    blocks = monthly.groupBy(*by, "bloque").agg(
-        F.bitmap_or_agg("usuarios").alias("usuarios"),
+    words = monthly.groupBy(*by, "palabra").agg(
+        F.bit_or("usuarios").alias("usuarios"),
         F.sum("total_pedidos").alias("total_pedidos"),
         money_sum("ingresos").alias("ingresos"),
     )
-    return blocks.groupBy(*by).agg(
-        F.sum(F.when(F.col("bloque").isNull(), 0).otherwise(F.bitmap_count("usuarios"))).alias("usuarios_unicos_total"),
+    return words.groupBy(*by).agg(
+        F.sum(F.coalesce(F.bit_count("usuarios"), F.lit(0)).cast("long")).alias("usuarios_unicos_total"),
         F.sum("total_pedidos").alias("pedidos_total"),
         money_sum("ingresos").alias("ingresos_total"),
     )

@@ -227,3 +227,18 @@ def test_users_in_many_blocks_and_none(spark, operational_sample):
     rolled = olap.users_rolled_up(monthly, "restaurante", "zona")
     exact = olap.exact_unique_users(built, ("completed",))
     assert sorted(rows(rolled)) == sorted(rows(exact.select(*rolled.columns)))
+
+
+def test_users_of_a_restaurant_and_month_are_small_rows(spark, operational_sample):
+    """No buffer of thousands of bytes per group, be its users ever so few: sums and words of 64 bits only."""
+    built = star.build_star(operational_sample, resolve=False)
+    users = built.dim_usuario.select("usuario_id").where("usuario_id is not null").distinct()
+    apart = with_ordinal(users, ["usuario_id"]).withColumn("ordinal", F.col("ordinal") * 31 + 63)
+    monthly = olap.monthly_users(built, apart, ("completed", "cancelled"))
+    rolled = olap.users_rolled_up(monthly, "restaurante", "zona")
+    for found in (monthly, rolled):
+        plan = found._jdf.queryExecution().executedPlan().toString().split("\n")
+        assert any("bit_or" in line for line in plan)
+        assert not any("SortAggregate" in line and ("bit_or" in line or "bitmap" in line) for line in plan)
+    exact = olap.exact_unique_users(built, ("completed", "cancelled"))
+    assert sorted(rows(rolled)) == sorted(rows(exact.select(*rolled.columns)))
