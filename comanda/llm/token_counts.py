@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import accumulate
 from operator import itemgetter
 
 import numpy as np
@@ -25,10 +26,13 @@ from comanda.llm.byte_level import (
 from comanda.llm.common import n_bytes, text_batches
 
 LIMIT = 512
-# Pieces whose counts a Python worker remembers; a cache, emptied when full. The
-# counts of a piece of up to 255 bytes are a byte each, longer ones aren't kept.
-CACHE = 300_000
+# Pieces whose counts a Python worker remembers; a cache, whose older half goes when full. The
+# counts of a piece of up to 255 bytes are a byte each, longer ones aren't kept. An
+# entry takes about 200 bytes.
+CACHE = 600_000
 KEPT_BYTES = 255
+# Characters of the texts whose new pieces are counted together.
+TOGETHER = 1 << 20
 
 
 def _pieces(blank: str, letter: str, number: str) -> str:
@@ -46,20 +50,35 @@ _BLANKS = regex.compile(rf"[{BLANK}]+")
 
 
 class _PieceCounts(dict):
-    """Tokens of the first 0, 1, ... bytes per piece, computed when first asked for."""
+    """Tokens of the first 0, 1, ... bytes per piece, computed when first asked for.
+
+    When half of what may be kept has come together it becomes the older half,
+    from which pieces that are asked for again are taken over.
+    """
 
     def __init__(self, counts):
         self.counts = counts
+        self.older = {}
 
     def __missing__(self, piece: str) -> bytes | list[int]:
-        found = self.counts(piece.encode())
+        found = self.older.get(piece)
+        return self.keep(piece, next(self.counts([piece.encode()])) if found is None else found)
+
+    def keep(self, piece: str, found: bytes | list[int]) -> bytes | list[int]:
         if len(found) > KEPT_BYTES:
             return found
-        if len(self) >= CACHE:
+        if len(self) >= CACHE // 2:
+            self.older = dict(self)
             self.clear()
         self[piece] = found = bytes(found)
         return found
 
+    def learn(self, pieces: set[str]) -> None:
+        """Count those not known yet in order, so that one goes on from the bytes it shares with the one before."""
+        new = sorted(p.encode() for p in pieces if p not in self and p not in self.older)
+        for piece, found in zip(new, self.counts(new)):
+            self.keep(piece.decode(), found)
+
 
 class PrefixCounter:
     """Counts the tokens of all prefixes of a text in one pass over it.
@@ -76,7 +95,16 @@ class PrefixCounter:
         self.vocabulary = vocabulary
         special = set(vocabulary.special.values())
         self.tokens = {to_bytes(t): i for t, i in vocabulary.ids.items() if i not in special}
-        self.longest = max(map(len, self.tokens))
+        # Bytes from a token's end towards its start lead from state to state; some are
+        # a whole token. No longer token ends in bytes that lead to no state.
+        self.back, self.whole = {}, [None]
+        for token, i in self.tokens.items():
+            state = 0
+            for byte in reversed(token):
+                state = self.back.setdefault(state << 8 | byte, len(self.whole))
+                if state == len(self.whole):
+                    self.whole.append(None)
+            self.whole[state] = i
         self.rank = {}
         self.made = {}
         for r, (left, right, token) in enumerate(vocabulary.merges):
@@ -114,45 +142,90 @@ class PrefixCounter:
             found = self.apart[pair] = self._stay_apart(left, right)
         return found
 
-    def piece_counts(self, piece: bytes) -> list[int]:
-        """Tokens of the first 0, 1, ... bytes of a piece."""
-        tokens, apart = self.tokens, self._apart
-        last, counts = [0], [0]
-        for end in range(1, len(piece) + 1):
-            for start in range(max(0, end - self.longest), end):
-                token = tokens.get(piece[start:end])
-                if token is not None and (not start or apart(last[start], token)):
-                    last.append(token)
-                    counts.append(counts[start] + 1)
+    def piece_counts(self, pieces: Iterable[bytes]) -> Iterator[list[int]]:
+        """Tokens of the first 0, 1, ... bytes of each piece, best in sorted order."""
+        back, whole, known = self.back.get, self.whole, self.apart.get
+        previous, last, counts = b"", [0], [0]
+        for piece in pieces:
+            shared = 0
+            for a, b in zip(previous, piece):
+                if a != b:
                     break
-        return counts
+                shared += 1
+            del last[shared + 1 :], counts[shared + 1 :]
+            for end in range(shared + 1, len(piece) + 1):
+                state, start, ending = 0, end, []
+                while start:
+                    state = back(state << 8 | piece[start - 1])
+                    if state is None:
+                        break
+                    start -= 1
+                    token = whole[state]
+                    if token is not None:
+                        ending.append((start, token))
+                for start, token in reversed(ending):
+                    if not start:
+                        break
+                    apart = known(last[start] << 20 | token)
+                    if apart or (apart is None and self._apart(last[start], token)):
+                        break
+                last.append(token)
+                counts.append(counts[start] + 1)
+            previous = piece
+            yield counts[:]
+
+    def _cut(self, text: str) -> list[str]:
+        return (_LATIN_PIECE if is_latin(text) else _PIECE).findall(text)
 
     def total(self, text: str) -> int:
         """Tokens of the whole text: the last of each piece's counts."""
-        parts = self.vocabulary.split_special(text)
-        counts = self.pieces.__getitem__
-        cut = _LATIN_PIECE.findall if is_latin(text) else _PIECE.findall
-        return len(parts) // 2 + sum(sum(map(_LAST, map(counts, cut(p)))) for p in parts[::2])
+        return self.total_and_within(text, None)[0]
 
     def within(self, text: str, limit: int) -> int:
-        """Characters of the longest prefix of at most ``limit`` tokens, read off the counts.
+        """Characters of the longest prefix of at most ``limit`` tokens, read off the counts."""
+        return self.total_and_within(text, limit)[1]
+
+    def total_and_within(self, text: str, limit: int | None) -> tuple[int, int]:
+        """Both of one text; without a limit all its characters are within."""
+        return next(self.totals_and_within([text], limit))
+
+    def totals_and_within(self, texts: Iterable[str], limit: int | None) -> Iterator[tuple[int, int]]:
+        """Both per text. New pieces of some texts are counted together, from one cut of each."""
+        held, size = [], 0
+        for text in texts:
+            parts = self.vocabulary.split_special(text)
+            held.append((text, [self._cut(part) for part in parts[::2]]))
+            size += len(text)
+            if size >= TOGETHER:
+                yield from self._counted(held, limit)
+                held, size = [], 0
+        yield from self._counted(held, limit)
+
+    def _counted(self, held: list[tuple[str, list[list[str]]]], limit: int | None) -> Iterator[tuple[int, int]]:
+        self.pieces.learn({piece for _, cuts in held for pieces in cuts for piece in pieces})
+        for text, cuts in held:
+            totals = [list(map(_LAST, map(self.pieces.__getitem__, pieces))) for pieces in cuts]
+            total = len(cuts) - 1 + sum(map(sum, totals))
+            if limit is None or total <= limit:
+                yield total, len(text)
+            elif len(cuts) > 1:
+                yield total, int(np.flatnonzero(self.prefix_counts(text) <= limit)[-1])
+            else:
+                yield total, self._within(text, cuts[0], totals[0], limit)
+
+    def _within(self, text: str, pieces: list[str], totals: list[int], limit: int) -> int:
+        """Characters of the longest prefix within a limit that the whole text passes.
 
         The prefixes to look at end in the piece that passes the limit, or in the
         run of blanks that it ends in or follows; all longer ones pass it too.
         """
-        if len(self.vocabulary.split_special(text)) > 1:
-            return int(np.flatnonzero(self.prefix_counts(text) <= limit)[-1])
-        at, total, starts = 0, 0, []
-        for match in (_LATIN_PIECE if is_latin(text) else _PIECE).finditer(text):
-            starts.append((at, total))
-            at, total = match.end(), total + self.pieces[match.group()][-1]
-            if total > limit:
-                break
-        else:
-            return len(text)
-        first, before = starts.pop()
+        place = next(i for i, n in enumerate(accumulate(totals)) if n > limit)
+        first = sum(map(len, pieces[:place]))
+        at = first + len(pieces[place])
         while first and _BLANKS.match(text, first - 1):
-            first, before = starts.pop()
+            place -= 1
+            first -= len(pieces[place])
+        before = sum(totals[:place])
         run = _BLANKS.match(text, at) if _BLANKS.match(text, at - 1) else None
         counts = self._segment_counts(text[first : run.end() if run else at])
         return first + int(np.flatnonzero(before + np.array(counts) <= limit)[-1])
@@ -209,9 +282,8 @@ def _rows(spec, limit: int, prefixes: bool):
         own = counter(spec.value)
         for rows in batches:
             texts = [t if isinstance(t, str) else "" for t in rows.pop("text")]
-            rows["n_tokens"] = np.array([own.total(t) for t in texts], np.int64)
-            counted = zip(texts, rows["n_tokens"].tolist())
-            rows["within_limit"] = np.array([len(t) if n <= limit else own.within(t, limit) for t, n in counted], np.int64)
+            found = np.array(list(own.totals_and_within(texts, limit)), np.int64).reshape(-1, 2)
+            rows["n_tokens"], rows["within_limit"] = found[:, 0], found[:, 1]
             if prefixes:
                 rows["prefix_counts"] = [own.prefix_counts(t) for t in texts]
             yield rows

@@ -44,6 +44,25 @@ def test_the_longest_prefix_within_a_limit_is_read_off_the_counts():
             assert own.within(text, limit) == np.flatnonzero(counts <= limit)[-1], (text[:60], limit)
 
 
+def test_new_pieces_are_counted_on_from_shared_bytes_and_survive_a_full_cache(monkeypatch):
+    monkeypatch.setattr(token_counts, "CACHE", 40)
+    own = token_counts.PrefixCounter(open(BYTE, encoding="utf-8").read())
+    words = [a + b for a in ("fore", "forest", "\u00e9t", "\U0001f642\U0001f643", "x" * 300) for b in ("", "er", "ing", "\u00e9", "zq", "x")]
+    alone = [next(own.piece_counts([w.encode()])) for w in words[:6]]
+    own.pieces.learn(set(words))
+    assert [list(own.pieces[w]) for w in words[:6]] == alone
+    made, calls = texts(), []
+    want = [own.total(t) for t in made]
+    assert [n for n, _ in own.totals_and_within(made, 17)] == want
+    assert [w for _, w in own.totals_and_within(made, 17)] == [own.within(t, 17) for t in made]
+    # A piece that comes again and again is counted once, however many others pass.
+    counts = own.pieces.counts
+    own.pieces.counts = lambda pieces: counts([(calls.append(p), p)[1] for p in pieces])
+    for i in range(100):
+        assert own.total(f" often {i}\u00e9{i}") > 0
+    assert calls.count(b" often") <= 1
+
+
 def test_token_counts_of_a_table(spark):
     library = tokenizers.Tokenizer.from_file(BYTE)
     rows = [(i, t, "s") for i, t in enumerate(texts())] + [(None, "no id", "s"), (3, "twice", None), (3, "twice", None), (9000, None, "s")]
